@@ -1,11 +1,12 @@
 """JSON payload checks on the message value.
 
-A payload is well formed when its bytes are valid UTF-8 and the text is one
-JSON object with nothing after it. Spark's ``try_parse_json`` stops after the
-first value, so trailing text is found separately: string literals are
+A payload is accepted when its bytes are valid UTF-8 and the text is exactly
+one JSON object. Spark's ``try_parse_json`` stops after the first value, so
+text after it is found separately. For objects and arrays, string literals are
 blanked, every character but brackets is dropped, and the first return of the
-bracket depth to zero must be the last bracket. Flat objects (the producer's
-form) take a one-comparison fast path.
+bracket depth to zero must be the last bracket (flat objects, the producer's
+form, take a one-comparison fast path). Scalars must match the scalar grammar
+as a whole.
 """
 
 from __future__ import annotations
@@ -15,6 +16,12 @@ from pyspark.sql import functions as F
 
 _STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
 _NOT_BRACKET = r"[^\[\]{}]"
+_SCALAR = r'^\s*(-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|"(?:[^"\\]|\\.)*")\s*$'
+
+REASON_NULL = "null_value"
+REASON_UTF8 = "invalid_utf8"
+REASON_MALFORMED = "malformed_json"
+REASON_NOT_OBJECT = "not_an_object"
 
 
 def as_text(value: Column) -> Column:
@@ -27,8 +34,8 @@ def parse(value_text: Column) -> Column:
 
 
 def _closes_at_end(brackets: Column) -> Column:
-    # Position (1-based) where the depth first drops back to zero must equal the
-    # number of brackets.
+    # The position (1-based) where the depth first drops back to zero must be
+    # the last bracket.
     chars = F.split(brackets, "")
     init = F.struct(F.lit(0).alias("d"), F.lit(0).alias("z"), F.lit(0).alias("n"))
 
@@ -41,14 +48,15 @@ def _closes_at_end(brackets: Column) -> Column:
     return F.aggregate(chars, init, step, lambda acc: acc["z"] == F.length(brackets))
 
 
-def single_object(value_text: Column) -> Column:
-    """True when the text is exactly one JSON object (whitespace around allowed)."""
-    parsed = parse(value_text)
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
-    trimmed_end = F.regexp_replace(value_text, r"(?U)\s+$", "").endswith("}")
+def _whole_text(value_text: Column, kind: Column) -> Column:
+    """True when nothing but whitespace follows the first JSON value."""
+    stripped = F.regexp_replace(value_text, r"(?U)\s+$", "")
     brackets = F.regexp_replace(F.regexp_replace(value_text, _STRING_LITERAL, '""'), _NOT_BRACKET, "")
-    no_trailing = F.when(brackets == "{}", F.lit(True)).otherwise(_closes_at_end(brackets))
-    return F.coalesce(parsed.isNotNull() & is_object & trimmed_end & no_trailing, F.lit(False))
+    container = (kind.startswith("OBJECT") & stripped.endswith("}")) | (kind.startswith("ARRAY") & stripped.endswith("]"))
+    balanced = F.when(brackets.isin("{}", "[]"), F.lit(True)).otherwise(_closes_at_end(brackets))
+    return F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), container & balanced).otherwise(
+        value_text.rlike(_SCALAR)
+    )
 
 
 def string_key(parsed: Column, key: str) -> Column:
@@ -59,12 +67,14 @@ def string_key(parsed: Column, key: str) -> Column:
 
 
 def malformed_reason(value: Column) -> Column:
-    """Why a payload is rejected, or null when it is a single JSON object."""
+    """Why a payload is rejected, or null when it is one JSON object."""
     text = as_text(value)
+    parsed = parse(text)
+    kind = F.schema_of_variant(parsed)
     return (
-        F.when(value.isNull(), F.lit("null_value"))
-        .when(~F.is_valid_utf8(text), F.lit("invalid_utf8"))
-        .when(parse(text).isNull(), F.lit("invalid_json"))
-        .when(~F.schema_of_variant(parse(text)).startswith("OBJECT"), F.lit("not_an_object"))
-        .when(~single_object(text), F.lit("trailing_text"))
+        F.when(value.isNull(), F.lit(REASON_NULL))
+        .when(~F.is_valid_utf8(text), F.lit(REASON_UTF8))
+        .when(parsed.isNull(), F.lit(REASON_MALFORMED))
+        .when(~_whole_text(text, kind), F.lit(REASON_MALFORMED))
+        .when(~kind.startswith("OBJECT"), F.lit(REASON_NOT_OBJECT))
     )

@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # RFC 3339 date-time with a mandatory zone: 'Z' or +hh:mm. Any number of
-# fraction digits is accepted (comma or dot), digits past microseconds are cut.
-RFC3339_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.,][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
+# fraction digits is accepted (comma or dot); digits past microseconds are cut.
+RFC3339_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.,][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})\z"
 
 ZERO_TIME_UTC = "0001-01-01 00:00:00"
 
@@ -18,11 +18,10 @@ def kafka_ts(millis: Column) -> Column:
 
 
 def parse_processing_ts(text: Column) -> Column:
-    """ISO-8601 / RFC 3339 time with zone to a timestamp; null if bad or absent."""
-    s = F.regexp_replace(text, r"[,]", ".")
+    """RFC 3339 time with zone to a timestamp; null if bad or absent."""
+    s = F.regexp_replace(text, ",", ".")
     s = F.regexp_replace(s, r"(\.[0-9]{1,6})[0-9]*", "$1")
-    parsed = F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]XXX"))
-    return F.when(text.rlike(RFC3339_PATTERN), parsed)
+    return F.when(text.rlike(RFC3339_PATTERN), F.try_to_timestamp(s))
 
 
 def utc_wall_clock(ts: Column, session_tz: str) -> Column:
@@ -36,7 +35,7 @@ def from_utc_wall_clock(ntz: Column, session_tz: str) -> Column:
 
 
 def zero_time(session_tz: str) -> Column:
-    """0001-01-01T00:00:00Z, the zero value a Go time.Time holds."""
+    """0001-01-01T00:00:00Z, the zero value of a Go time."""
     return from_utc_wall_clock(F.lit(ZERO_TIME_UTC).cast("timestamp_ntz"), session_tz)
 
 

@@ -8,10 +8,17 @@ computed in two levels instead of one window over the whole key:
    split). A window partitioned by ``(key, block)`` gives the part of the scan
    inside the block; its size is bounded by the block.
 2. One summary row per ``(key, block)`` is aggregated from the windowed rows
-   (already partitioned by ``(key, block)``, so no extra shuffle), a window over
-   the summaries of each key gives what all earlier blocks contribute, and the
-   result is joined back on ``(key, block)``. Only the summary table moves in
-   that join; the row side keeps its partitioning.
+   (they are already partitioned by ``(key, block)``, so this needs no
+   shuffle), a window over the summaries of each key gives what all earlier
+   blocks contribute, and the result is joined back on ``(key, block)``. Only
+   the summary table moves for that join (AQE broadcasts it when its measured
+   size is small).
+
+Both branches read the same shuffle of the rows: the row payload travels as
+one struct that the summary branch also touches, and the block column is not
+nullable (no inferred null filter lands on one side only), so the two
+exchanges stay identical and Spark reuses the first instead of computing the
+input twice.
 
 A hot key is spread over as many tasks as it has blocks, and the summary table
 has one row per ``(key, block)`` pair. Keys are packed in one struct column so
@@ -29,6 +36,7 @@ DEFAULT_BLOCK_ROWS = 1 << 20
 
 _KEY = "__sc_key"
 _BLOCK = "__sc_block"
+_ROW = "__sc_row"
 
 
 def block_of(order_value: Column, block_rows: int = DEFAULT_BLOCK_ROWS) -> Column:
@@ -60,57 +68,81 @@ def segmented_scan(
     lasts = dict(lasts or {})
     totals = dict(totals or {})
     block_col = F.col(block) if isinstance(block, str) else block
-
-    value_cols = {}
-    for name, expr in sums.items():
-        value_cols[f"__sc_s_{name}"] = F.coalesce(expr, F.lit(0))
-    for name, expr in lasts.items():
-        value_cols[f"__sc_l_{name}"] = expr
-    for name, expr in totals.items():
-        value_cols[f"__sc_t_{name}"] = F.coalesce(expr, F.lit(0))
-
-    base = df.withColumn(_KEY, F.struct(*[F.col(k) for k in keys])).withColumn(_BLOCK, block_col)
-    for name, expr in value_cols.items():
-        base = base.withColumn(name, expr)
+    payload = [c for c in df.columns if c not in keys and c not in order]
+
+    values = [F.coalesce(e, F.lit(0)).alias(f"__sc_s_{n}") for n, e in sums.items()]
+    values += [e.alias(f"__sc_l_{n}") for n, e in lasts.items()]
+    values += [F.coalesce(e, F.lit(0)).alias(f"__sc_t_{n}") for n, e in totals.items()]
+    base = df.select(
+        F.struct(*[F.col(k) for k in keys]).alias(_KEY),
+        F.coalesce(block_col.cast("long"), F.lit(-1).cast("long")).alias(_BLOCK),
+        *[F.col(c) for c in order],
+        F.struct(*[F.col(c) for c in payload]).alias(_ROW),
+        *values,
+    )
 
     in_block = Window.partitionBy(_KEY, _BLOCK).orderBy(*order)
-    frame = in_block.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-
-    rows = base
-    for name in sums:
-        rows = rows.withColumn(f"__sc_is_{name}", F.coalesce(F.sum(f"__sc_s_{name}").over(frame), F.lit(0)))
-    for name in lasts:
-        rows = rows.withColumn(f"__sc_il_{name}", F.last(f"__sc_l_{name}", ignorenulls=True).over(frame))
-
-    # Block summaries, aggregated where the rows already sit.
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    frame = upto if inclusive else before
+
+    win = []
+    for n in sums:
+        win.append(F.coalesce(F.sum(f"__sc_s_{n}").over(frame), F.lit(0)).alias(f"__sc_is_{n}"))
+    for n in lasts:
+        win.append(F.last(f"__sc_l_{n}", ignorenulls=True).over(frame).alias(f"__sc_il_{n}"))
+    for n in totals:
+        win.append(F.coalesce(F.sum(f"__sc_t_{n}").over(before), F.lit(0)).alias(f"__sc_it_{n}"))
+    rows = base.select("*", *win)
+
+    # Block summaries from the windowed rows: the value up to the block's last row.
     position = F.struct(*[F.col(c) for c in order])
-    aggs = [F.sum(f"__sc_s_{n}").alias(f"__sc_bs_{n}") for n in sums]
-    aggs += [
-        F.max_by(F.col(f"__sc_l_{n}"), F.when(F.col(f"__sc_l_{n}").isNotNull(), position)).alias(f"__sc_bl_{n}")
-        for n in lasts
-    ]
-    aggs += [F.sum(f"__sc_t_{n}").alias(f"__sc_bt_{n}") for n in totals]
+    aggs = []
+    for n in sums:
+        upto_row = F.col(f"__sc_is_{n}") + (F.lit(0) if inclusive else F.col(f"__sc_s_{n}"))
+        aggs.append(F.max_by(upto_row, position).alias(f"__sc_bs_{n}"))
+    for n in lasts:
+        upto_row = F.col(f"__sc_l_{n}") if inclusive else F.coalesce(F.col(f"__sc_l_{n}"), F.col(f"__sc_il_{n}"))
+        aggs.append(F.max_by(F.coalesce(upto_row, F.col(f"__sc_il_{n}")), position).alias(f"__sc_bl_{n}"))
+    for n in totals:
+        aggs.append(F.max_by(F.col(f"__sc_it_{n}") + F.col(f"__sc_t_{n}"), position).alias(f"__sc_bt_{n}"))
+    # Ties the payload to this branch (first() is nullable, so the test stays).
+    aggs.append(F.first(_ROW).isNotNull().alias("__sc_n"))
     summary = rows.groupBy(_KEY, _BLOCK).agg(*aggs)
 
     earlier = Window.partitionBy(_KEY).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(_KEY)
     carry = summary.select(
-        _KEY,
-        _BLOCK,
+        F.col(_KEY).alias("__sc_ckey"),
+        F.col(_BLOCK).alias("__sc_cblock"),
+        "__sc_n",
         *[F.coalesce(F.sum(f"__sc_bs_{n}").over(earlier), F.lit(0)).alias(f"__sc_cs_{n}") for n in sums],
         *[F.last(f"__sc_bl_{n}", ignorenulls=True).over(earlier).alias(f"__sc_cl_{n}") for n in lasts],
         *[F.sum(f"__sc_bt_{n}").over(whole).alias(f"__sc_ct_{n}") for n in totals],
     )
 
-    out = rows.join(carry, [_KEY, _BLOCK], "inner")
-    for name in sums:
-        out = out.withColumn(name, F.col(f"__sc_cs_{name}") + F.col(f"__sc_is_{name}"))
-    for name in lasts:
-        out = out.withColumn(name, F.coalesce(F.col(f"__sc_il_{name}"), F.col(f"__sc_cl_{name}")))
-    for name in totals:
-        out = out.withColumn(name, F.col(f"__sc_ct_{name}"))
-    helper = [c for c in out.columns if c.startswith("__sc_")]
-    return out.drop(*helper)
+    cond = (
+        (rows[_KEY] == carry["__sc_ckey"])
+        & (rows[_BLOCK] == carry["__sc_cblock"])
+        & carry["__sc_n"]
+    )
+    joined = rows.join(carry, cond, "inner")
+    outs = []
+    for n in sums:
+        outs.append((F.col(f"__sc_cs_{n}") + F.col(f"__sc_is_{n}")).alias(n))
+    for n in lasts:
+        outs.append(F.coalesce(F.col(f"__sc_il_{n}"), F.col(f"__sc_cl_{n}")).alias(n))
+    for n in totals:
+        outs.append(F.col(f"__sc_ct_{n}").alias(n))
+    original = []
+    for c in df.columns:
+        if c in keys:
+            original.append(F.col(f"{_KEY}.{c}").alias(c))
+        elif c in order:
+            original.append(F.col(c))
+        else:
+            original.append(F.col(f"{_ROW}.{c}").alias(c))
+    return joined.select(*original, *outs)
 
 
 def dense_rank_in_key(

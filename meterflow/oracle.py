@@ -163,10 +163,187 @@ def detect_changes() -> str:
     return with_ctes(CHANGES, "SELECT * FROM changes")
 
 
+PAYLOAD_KEYS = sorted(ELEC + GASF + ["processingTimestampUTC", "telegramTimestamp"])
+PROCESSING_TEXT = "2024-02-01T00:00:00Z"
+PROCESSING_TS = "TIMESTAMP '2024-02-01 00:00:00'"
+
+
+def _json_member(k: str) -> str:
+    if k == "processingTimestampUTC":
+        return f"'\"{k}\":\"{PROCESSING_TEXT}\"'"
+    if k in ("telegramTimestamp", "gasTimestamp"):
+        return f"CASE WHEN \"{k}\" IS NOT NULL THEN '\"{k}\":\"' || \"{k}\" || '\"' END"
+    return f"CASE WHEN \"{k}\" IS NOT NULL THEN '\"{k}\":' || CAST(\"{k}\" AS VARCHAR) END"
+
+
+def change_messages() -> str:
+    members = ", ".join(_json_member(k) for k in PAYLOAD_KEYS)
+    return with_ctes(
+        CHANGES,
+        f"""SELECT meter_id, seq,
+       CASE WHEN topic = 'electricity' THEN 'p1-electricity' ELSE 'p1-gas' END AS topic,
+       CAST(meter_id AS VARCHAR) AS "key",
+       '{{' || concat_ws(',', {members}) || '}}' AS value,
+       {PROCESSING_TS} AS "timestamp"
+FROM changes""",
+    )
+
+
+def rebuild_readings() -> str:
+    elec = ", ".join(f'r."{f}"' for f in ELEC)
+    gas = ", ".join(f'r."{f}"' for f in GASF)
+    null_elec = ", ".join(
+        f'CAST(NULL AS {"INTEGER" if f == "currentTariff" else "DOUBLE"}) AS "{f}"' for f in ELEC
+    )
+    return with_ctes(
+        CHANGES,
+        f"""SELECT c.meter_id, c.seq, 'p1-electricity' AS topic, r."timestamp" AS "telegramTimestamp", {elec},
+       CAST(NULL AS VARCHAR) AS "gasTimestamp", CAST(NULL AS DOUBLE) AS "gasConsumption"
+FROM changes c JOIN valid r ON c.meter_id = r.meter_id AND c.seq = r.seq WHERE c.topic = 'electricity'
+UNION ALL
+SELECT c.meter_id, c.seq, 'p1-gas' AS topic, r."timestamp" AS "telegramTimestamp", {null_elec}, {gas}
+FROM changes c JOIN valid r ON c.meter_id = r.meter_id AND c.seq = r.seq WHERE c.topic = 'gas'""",
+    )
+
+
+RFC3339_SQL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.,][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})\z"
+
+MESSAGES = r"""
+msg_t AS (
+  SELECT *,
+    CASE WHEN event_type IN ('click','view','purchase') THEN 'p1-electricity'
+         WHEN event_type = 'signup' THEN 'p1-gas' ELSE 'p1-unknown' END AS topic,
+    CAST(user_id % 2 AS INTEGER) AS part,
+    '{"currentConsumption":' || CAST(CAST(round(value * 100) AS BIGINT) * 10 AS VARCHAR)
+      || ',"processingTimestampUTC":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+      || 'Z","telegramTimestamp":"' || strftime(ts, '%y%m%d%H%M%S') || '"}' AS good
+  FROM events),
+messages AS (
+  SELECT CAST(user_id AS VARCHAR) AS "key", topic, part AS "partition",
+    CAST(row_number() OVER (PARTITION BY topic, part ORDER BY event_id) - 1 AS BIGINT) AS "offset",
+    ts AS "timestamp",
+    CASE WHEN event_id % 97 = 0 THEN '{broken'
+         WHEN event_id % 89 = 0 THEN '[1,2]'
+         WHEN event_id % 83 = 0 THEN '{"telegramTimestamp":5,"processingTimestampUTC":"nope"}'
+         WHEN event_id % 79 = 0 THEN '{}'
+         WHEN event_id % 73 = 0 THEN good || ' trailing'
+         WHEN event_id % 71 = 0 THEN 'null'
+         WHEN event_id % 67 = 0 THEN '{"processingTimestampUTC":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+              || '789+02:00","telegramTimestamp":"' || strftime(ts, '%y%m%d%H%M%S') || '"}'
+         WHEN event_id % 61 = 0 THEN '{"processingTimestampUTC":"2025","telegramTimestamp":"x"}'
+         ELSE good END AS value
+  FROM msg_t),
+msg_j AS (
+  SELECT *,
+    CASE topic WHEN 'p1-electricity' THEN 'electricity' WHEN 'p1-gas' THEN 'gas' END AS rt,
+    CASE WHEN topic NOT IN ('p1-electricity', 'p1-gas') THEN 'unknown_topic'
+         WHEN value IS NULL THEN 'null_value'
+         WHEN NOT json_valid(value) THEN 'malformed_json'
+         WHEN json_type(value) <> 'OBJECT' THEN 'not_an_object' END AS reason,
+    CASE WHEN json_valid(value) THEN value END AS jv
+  FROM messages),
+msg_k AS (
+  SELECT *,
+    CASE WHEN json_type(jv, '$.processingTimestampUTC') = 'VARCHAR' THEN jv ->> '$.processingTimestampUTC' END AS pt,
+    CASE WHEN json_type(jv, '$.telegramTimestamp') = 'VARCHAR' THEN jv ->> '$.telegramTimestamp' END AS tt
+  FROM msg_j),
+routed AS (
+  SELECT topic AS kafka_topic, "partition" AS kafka_partition, "offset" AS kafka_offset,
+    "timestamp" AS kafka_timestamp,
+    CASE WHEN regexp_matches(pt, 'RFC') THEN timezone('UTC',
+      TRY_CAST(regexp_replace(replace(pt, ',', '.'), '(\.[0-9]{1,6})[0-9]*', '\1') AS TIMESTAMPTZ)) END
+      AS processing_timestamp,
+    tt AS telegram_timestamp, value AS raw_data,
+    CASE WHEN reason IS NULL THEN rt END AS route, reason AS reject_reason
+  FROM msg_k)""".replace("'RFC'", "'" + RFC3339_SQL + "'")
+
+RAW7 = "kafka_topic, kafka_partition, kafka_offset, kafka_timestamp, processing_timestamp, telegram_timestamp, raw_data"
+GROUP = "'p1-data-consumer-group'"
+OTHER = "'p1-audit-group'"
+
+
+def _hw(group: str, at: str, where: str) -> str:
+    return (
+        f"SELECT {group} AS consumer_group_id, kafka_topic AS topic, kafka_partition AS \"partition\", "
+        f"max(kafka_offset) AS last_offset, TIMESTAMP '{at}' AS updated_at FROM routed WHERE {where} GROUP BY 2, 3"
+    )
+
+
+LEDGERS = MESSAGES + f""",
+old_l AS (
+  {_hw(GROUP, '2024-01-16 00:00:00', "kafka_timestamp < TIMESTAMP '2024-01-16 00:00:00'")}
+  UNION ALL
+  {_hw(OTHER, '2024-01-08 00:00:00', "kafka_timestamp < TIMESTAMP '2024-01-08 00:00:00'")}),
+upd_l AS (
+  {_hw(GROUP, '2024-02-01 00:00:00', "kafka_topic = 'p1-electricity'")}
+  UNION ALL
+  {_hw(GROUP, '2024-02-02 00:00:00', "kafka_topic = 'p1-gas' AND kafka_timestamp < TIMESTAMP '2024-01-08 00:00:00'")}),
+both_l AS (SELECT * FROM old_l UNION ALL SELECT * FROM upd_l),
+up_l AS (
+  SELECT consumer_group_id, topic, "partition", last_offset, updated_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY consumer_group_id, topic, "partition"
+                                 ORDER BY last_offset DESC, updated_at DESC) AS rn FROM both_l) WHERE rn = 1),
+rw_l AS (
+  SELECT consumer_group_id, topic, "partition", last_offset, updated_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY consumer_group_id, topic, "partition"
+                                 ORDER BY updated_at DESC, last_offset DESC) AS rn FROM both_l) WHERE rn = 1)"""
+
+TYPED = ", ".join(
+    ["json_extract_string(raw_data, '$.telegramTimestamp') AS \"telegramTimestamp\"",
+     "json_extract_string(raw_data, '$.processingTimestampUTC') AS \"processingTimestampUTC\""]
+    + [
+        f"TRY_CAST(json_extract(raw_data, '$.{f}') AS {'INTEGER' if f == 'currentTariff' else 'DOUBLE'}) AS \"{f}\""
+        for f in ELEC
+    ]
+)
+
+
 def registry() -> dict[str, str]:
     return {
         "frame_telegrams": frame_telegrams(),
         "parse_readings": parse_readings(),
         "reject_telegrams": reject_telegrams(),
         "detect_changes": detect_changes(),
+        "change_messages": change_messages(),
+        "route_messages": with_ctes(
+            MESSAGES, "SELECT kafka_topic, kafka_partition, kafka_offset, route, reject_reason FROM routed"
+        ),
+        "rejected_messages": with_ctes(
+            MESSAGES,
+            "SELECT kafka_topic, kafka_partition, kafka_offset, reject_reason, raw_data FROM routed "
+            "WHERE reject_reason IS NOT NULL",
+        ),
+        "raw_electricity": with_ctes(MESSAGES, f"SELECT {RAW7} FROM routed WHERE route = 'electricity'"),
+        "raw_gas": with_ctes(MESSAGES, f"SELECT {RAW7} FROM routed WHERE route = 'gas'"),
+        "raw_zero_fill": with_ctes(
+            MESSAGES,
+            "SELECT route, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp, "
+            "coalesce(processing_timestamp, TIMESTAMP '0001-01-01 00:00:00') AS processing_timestamp, "
+            "coalesce(telegram_timestamp, '') AS telegram_timestamp, raw_data FROM routed WHERE reject_reason IS NULL",
+        ),
+        "high_water": with_ctes(
+            MESSAGES,
+            'SELECT kafka_topic AS topic, kafka_partition AS "partition", max(kafka_offset) AS last_offset '
+            "FROM routed GROUP BY 1, 2",
+        ),
+        "upsert_ledger": with_ctes(LEDGERS, "SELECT * FROM up_l"),
+        "upsert_ledger_rewind": with_ctes(LEDGERS, "SELECT * FROM rw_l"),
+        "last_offsets": with_ctes(
+            LEDGERS,
+            f"""SELECT t.topic, l."partition", l.last_offset
+FROM (VALUES ('p1-electricity'), ('p1-gas'), ('p1-water')) AS t(topic)
+LEFT JOIN (SELECT * FROM up_l WHERE consumer_group_id = {GROUP}) l ON t.topic = l.topic""",
+        ),
+        "resume": with_ctes(
+            LEDGERS,
+            f"""SELECT m.topic, m."partition", m."offset" FROM messages m
+LEFT JOIN (SELECT * FROM old_l WHERE consumer_group_id = {GROUP} AND topic IN ('p1-electricity', 'p1-gas')) l
+  ON m.topic = l.topic AND m."partition" = l."partition"
+WHERE l.last_offset IS NULL OR m."offset" > l.last_offset""",
+        ),
+        "dedup_raw": with_ctes(MESSAGES, f"SELECT {RAW7} FROM routed WHERE route = 'electricity'"),
+        "typed_payload": with_ctes(
+            MESSAGES, f"SELECT kafka_partition, kafka_offset, {TYPED} FROM routed WHERE route = 'electricity'"
+        ),
+        "rebuild_readings": rebuild_readings(),
     }

@@ -52,3 +52,224 @@ def detect_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.select(
         "meter_id", "seq", "topic", "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS
     )
+
+
+# --- producer: messages --------------------------------------------------
+
+def _processing_time(spark: SparkSession):
+    from .sources.fixtures import processing_time_constant
+
+    return processing_time_constant(spark)
+
+
+def _utc(spark: SparkSession, col):
+    from .functions.timestamps import utc_wall_clock
+    from .session import session_time_zone
+
+    return utc_wall_clock(F.col(col) if isinstance(col, str) else col, session_time_zone(spark))
+
+
+def _change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = producer.changes_from_readings(producer.fixture_readings(spark, sf_dir))
+    return producer.messages_from_changes(changes, _processing_time(spark))
+
+
+@register
+def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 + D4: sparse JSON update records for the two topics."""
+    m = _change_messages(spark, sf_dir)
+    return m.select("meter_id", "seq", "topic", "key", "value", _utc(spark, "timestamp").alias("timestamp"))
+
+
+# --- consumer: routing and raw rows --------------------------------------
+
+def _routed(spark: SparkSession, sf_dir: str, absent: str = "null") -> DataFrame:
+    from .plans.consumer import fixture_routed
+
+    return fixture_routed(spark, sf_dir, absent=absent)
+
+
+def _raw_out(spark: SparkSession, df: DataFrame) -> DataFrame:
+    return df.select(
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
+        _utc(spark, "kafka_timestamp").alias("kafka_timestamp"),
+        _utc(spark, "processing_timestamp").alias("processing_timestamp"),
+        "telegram_timestamp",
+        "raw_data",
+    )
+
+
+@register
+def route_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 + E6: where each record goes, and why a record is rejected."""
+    r = _routed(spark, sf_dir)
+    return r.select("kafka_topic", "kafka_partition", "kafka_offset", "route", "reject_reason")
+
+
+@register
+def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 + E6: the rejects table."""
+    r = _routed(spark, sf_dir).where(F.col("reject_reason").isNotNull())
+    return r.select("kafka_topic", "kafka_partition", "kafka_offset", "reject_reason", "raw_data")
+
+
+@register
+def raw_electricity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the electricity raw table."""
+    from .operators.routing import raw_rows
+
+    return _raw_out(spark, raw_rows(_routed(spark, sf_dir), "electricity"))
+
+
+@register
+def raw_gas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the gas raw table."""
+    from .operators.routing import raw_rows
+
+    return _raw_out(spark, raw_rows(_routed(spark, sf_dir), "gas"))
+
+
+@register
+def raw_zero_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted rows of both raw tables with absent times zero-filled."""
+    r = _routed(spark, sf_dir, absent="zero").where(F.col("reject_reason").isNull())
+    return r.select(
+        "route",
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
+        _utc(spark, "kafka_timestamp").alias("kafka_timestamp"),
+        _utc(spark, "processing_timestamp").alias("processing_timestamp"),
+        "telegram_timestamp",
+        "raw_data",
+    )
+
+
+# --- positions ------------------------------------------------------------
+
+GROUP = "p1-data-consumer-group"
+OTHER_GROUP = "p1-audit-group"
+
+
+def _ts(spark: SparkSession, text: str):
+    from .functions.timestamps import from_utc_wall_clock
+    from .session import session_time_zone
+
+    return from_utc_wall_clock(F.lit(text).cast("timestamp_ntz"), session_time_zone(spark))
+
+
+def _ledgers(spark: SparkSession, sf_dir: str):
+    from .operators.positions import high_water, ledger_updates
+
+    r = _routed(spark, sf_dir)
+    cut = _ts(spark, "2024-01-16 00:00:00")
+    early = _ts(spark, "2024-01-08 00:00:00")
+    old = ledger_updates(high_water(r.where(F.col("kafka_timestamp") < cut)), GROUP, _ts(spark, "2024-01-16 00:00:00"))
+    old = old.unionByName(
+        ledger_updates(high_water(r.where(F.col("kafka_timestamp") < early)), OTHER_GROUP, _ts(spark, "2024-01-08 00:00:00"))
+    )
+    fresh = ledger_updates(
+        high_water(r.where(F.col("kafka_topic") == "p1-electricity")), GROUP, _ts(spark, "2024-02-01 00:00:00")
+    )
+    stale = ledger_updates(
+        high_water(r.where((F.col("kafka_topic") == "p1-gas") & (F.col("kafka_timestamp") < early))),
+        GROUP,
+        _ts(spark, "2024-02-02 00:00:00"),
+    )
+    return old, fresh.unionByName(stale)
+
+
+def _ledger_out(spark: SparkSession, df: DataFrame) -> DataFrame:
+    return df.select("consumer_group_id", "topic", "partition", "last_offset", _utc(spark, "updated_at").alias("updated_at"))
+
+
+@register
+def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """greatest consumed offset per topic partition."""
+    from .operators.positions import high_water as hw
+
+    return hw(_routed(spark, sf_dir))
+
+
+@register
+def upsert_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stored positions after applying fresh and stale updates."""
+    from .operators.positions import upsert_ledger as up
+
+    old, updates = _ledgers(spark, sf_dir)
+    return _ledger_out(spark, up(old, updates))
+
+
+@register
+def upsert_ledger_rewind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 with rewind: the latest update wins even when lower."""
+    from .operators.positions import upsert_ledger as up
+
+    old, updates = _ledgers(spark, sf_dir)
+    return _ledger_out(spark, up(old, updates, rewind=True))
+
+
+@register
+def last_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """positions of one group for a topic list, none for unknown topics."""
+    from .operators.positions import last_offsets as lo
+    from .operators.positions import upsert_ledger as up
+
+    old, updates = _ledgers(spark, sf_dir)
+    return lo(spark, up(old, updates), GROUP, ["p1-electricity", "p1-gas", "p1-water"])
+
+
+@register
+def resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """records after the stored positions (from earliest where none)."""
+    from .operators.positions import last_offsets as lo
+    from .operators.positions import resume as rs
+    from .sources import fixtures
+
+    old, _ = _ledgers(spark, sf_dir)
+    pos = lo(spark, old, GROUP, ["p1-electricity", "p1-gas"])
+    msgs = fixtures.messages(spark, sf_dir)
+    return rs(msgs, pos).select("topic", "partition", "offset")
+
+
+# --- consumer-side obligations ----------------------------------------------
+
+@register
+def dedup_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: raw rows after a replay wrote every third record again."""
+    from .operators.rebuild import dedup_raw as dd
+    from .operators.routing import raw_rows
+
+    raw = raw_rows(_routed(spark, sf_dir), "electricity")
+    replay = raw.where(F.col("kafka_offset") % 3 == 0)
+    return _raw_out(spark, dd(raw.unionByName(replay).unionByName(replay)))
+
+
+@register
+def typed_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Electricity payloads as typed columns (absent keys null)."""
+    from .operators.rebuild import typed_payload as tp
+    from .operators.routing import raw_rows
+    from .schemas import ELECTRICITY_PAYLOAD_SCHEMA
+
+    t = tp(raw_rows(_routed(spark, sf_dir), "electricity"), "electricity")
+    return t.select("kafka_partition", "kafka_offset", *[f.name for f in ELECTRICITY_PAYLOAD_SCHEMA.fields])
+
+
+@register
+def rebuild_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full readings rebuilt from the sparse update records, per topic."""
+    from .operators.rebuild import rebuild_readings as rb
+    from .operators.rebuild import typed_payload as tp
+    from .operators.scan import block_of
+
+    msgs = _change_messages(spark, sf_dir).select("meter_id", "seq", "topic", F.col("value").alias("raw_data"))
+    parts = []
+    for topic, name in (("electricity", "p1-electricity"), ("gas", "p1-gas")):
+        typed = tp(msgs.where(F.col("topic") == name), topic).drop("raw_data", "processingTimestampUTC")
+        rebuilt = rb(typed, topic, key=["meter_id"], order=["seq"], block=block_of(F.col("seq")))
+        parts.append(rebuilt)
+    out = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return out.select("meter_id", "seq", "topic", "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS)

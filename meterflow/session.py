@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small local inputs: keep shuffles split across all cores. On a cluster
+    # the partitions are far above this floor anyway.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Repeated JSON keys are accepted, last one wins, as the reference's
     # decoders do.
