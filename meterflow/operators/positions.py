@@ -107,3 +107,9 @@ def starting_offsets_json(rows: Sequence, topics: Sequence[str]) -> str:
             continue
         out.setdefault(r["topic"], {})[str(r["partition"])] = int(r["last_offset"]) + 1
     return json.dumps({t: p for t, p in out.items() if p}) if any(out.values()) else "earliest"
+
+
+def current_ledger(log: DataFrame) -> DataFrame:
+    """The ledger held by an append-only position log: one row per key."""
+    empty = log.sparkSession.createDataFrame([], log.select(*LEDGER_COLUMNS).schema)
+    return upsert_ledger(empty, log)

@@ -4,8 +4,8 @@ Running counts, running sums and "last non-null value so far" per key are
 computed in two levels instead of one window over the whole key:
 
 1. Rows are cut into blocks by a block column that never decreases along the
-   order (for example ``seq div 1_000_000``, or the byte offset of a file
-   split). A window partitioned by ``(key, block)`` gives the part of the scan
+   order (for example ``seq div 1_000_000``, or the file and byte offset of a
+   file split; any orderable, non-null value). A window partitioned by ``(key, block)`` gives the part of the scan
    inside the block; its size is bounded by the block.
 2. One summary row per ``(key, block)`` is aggregated from the windowed rows
    (they are already partitioned by ``(key, block)``, so this needs no
@@ -31,6 +31,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BLOCK_ROWS = 1 << 20
 
@@ -68,6 +69,10 @@ def segmented_scan(
     lasts = dict(lasts or {})
     totals = dict(totals or {})
     block_col = F.col(block) if isinstance(block, str) else block
+    block_type = df.select(block_col).schema.fields[0].dataType
+    if isinstance(block_type, T.IntegralType):
+        # Not nullable, so no inferred null filter lands on one branch only.
+        block_col = F.coalesce(block_col.cast("long"), F.lit(-1).cast("long"))
     payload = [c for c in df.columns if c not in keys and c not in order]
 
     values = [F.coalesce(e, F.lit(0)).alias(f"__sc_s_{n}") for n, e in sums.items()]
@@ -75,7 +80,7 @@ def segmented_scan(
     values += [F.coalesce(e, F.lit(0)).alias(f"__sc_t_{n}") for n, e in totals.items()]
     base = df.select(
         F.struct(*[F.col(k) for k in keys]).alias(_KEY),
-        F.coalesce(block_col.cast("long"), F.lit(-1).cast("long")).alias(_BLOCK),
+        block_col.alias(_BLOCK),
         *[F.col(c) for c in order],
         F.struct(*[F.col(c) for c in payload]).alias(_ROW),
         *values,

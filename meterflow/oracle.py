@@ -298,6 +298,14 @@ TYPED = ", ".join(
 )
 
 
+def _roundtrip() -> str:
+    body = rebuild_readings()
+    ctes, select = body[len("WITH "):].split("\nSELECT c.meter_id", 1)
+    inner = "SELECT c.meter_id" + select
+    cols = ", ".join(f'"{f}"' for f in ELEC + GASF)
+    return "WITH " + ctes + f"\nSELECT meter_id, topic, \"telegramTimestamp\", {cols} FROM ({inner}) x"
+
+
 def registry() -> dict[str, str]:
     return {
         "frame_telegrams": frame_telegrams(),
@@ -346,4 +354,16 @@ WHERE l.last_offset IS NULL OR m."offset" > l.last_offset""",
             MESSAGES, f"SELECT kafka_partition, kafka_offset, {TYPED} FROM routed WHERE route = 'electricity'"
         ),
         "rebuild_readings": rebuild_readings(),
+        "capture_files": with_ctes(
+            READINGS, f"SELECT meter_id, telegram_no, {_cols()} FROM readings"
+        ),
+        "table_setup": with_ctes(MESSAGES, f"SELECT {RAW7} FROM routed WHERE route = 'electricity'"),
+        "stream_ingest": with_ctes(MESSAGES, f"SELECT route, {RAW7} FROM routed WHERE reject_reason IS NULL"),
+        "stream_positions": with_ctes(
+            MESSAGES,
+            f'SELECT {GROUP} AS consumer_group_id, kafka_topic AS topic, kafka_partition AS "partition", '
+            "max(kafka_offset) AS last_offset FROM routed GROUP BY 2, 3",
+        ),
+        "stream_changes": detect_changes(),
+        "publish_roundtrip": _roundtrip(),
     }

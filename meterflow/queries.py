@@ -273,3 +273,155 @@ def rebuild_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts.append(rebuilt)
     out = parts[0].unionByName(parts[1], allowMissingColumns=True)
     return out.select("meter_id", "seq", "topic", "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS)
+
+
+# --- sources, tables, sinks, streams ----------------------------------------
+# These write derived inputs into a fresh folder under the session's
+# checkpoint root (``session.work_dir``), then run the job over them.
+
+def _write_in_order(df: DataFrame, path: str, chunk: str, chunks: int) -> None:
+    """Write ``df`` in ``chunks`` sequential appends by ``chunk`` value, so
+    that a file stream sees earlier chunks first."""
+    for c in range(chunks):
+        df.where(F.col(chunk) == c).drop(chunk).write.mode("append").parquet(path)
+
+
+@register
+def capture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + C1 + C2: telegram text files per meter, read line by line and parsed."""
+    from .operators.framing import frame_lines
+    from .operators.parsing import parse_telegram_lines
+    from .session import work_dir
+    from .sources import fixtures
+    from .sources.captures import capture_block, capture_source
+
+    path = work_dir(spark, "captures")
+    t = fixtures.telegrams(spark, sf_dir)
+    (t.repartitionByRange(8, "meter_id", "seq").sortWithinPartitions("meter_id", "seq")
+     .select("meter_id", "telegram").write.partitionBy("meter_id").text(path))
+    lines = capture_source(spark, path)
+    order = ["capture_file", "split_start", "pos"]
+    framed = frame_lines(lines, capture=["meter_id"], order=order, block=capture_block())
+    readings = parse_telegram_lines(framed, telegram=["meter_id", "telegram_no"], order=order)
+    return readings.select(F.col("meter_id").cast("long").alias("meter_id"), "telegram_no", *READING_FIELDS)
+
+
+@register
+def table_setup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 - B5 + A4: create namespace and tables, ingest one batch twice
+    (a replay), read the electricity table back."""
+    import uuid
+
+    from .plans.tables import setup_tables
+    from .session import work_dir
+    from .sources import fixtures
+    from .streaming.ingest import ingest_batch
+
+    ns = f"meterflow_{uuid.uuid4().hex[:8]}"
+    names = setup_tables(spark, ns, work_dir(spark, "warehouse"), day=True, reset=True)
+    msgs = fixtures.messages(spark, sf_dir)
+    for _ in range(2):
+        ingest_batch(msgs, 0, names, ingest_id="setup", updated_at=_ts(spark, "2024-02-01 00:00:00"))
+    return _raw_out(spark, spark.table(names["electricity"]))
+
+
+def _stream_ingest_run(spark: SparkSession, sf_dir: str):
+    import uuid
+
+    from .plans.tables import setup_tables
+    from .session import work_dir
+    from .sources import fixtures
+    from .sources.topics import topic_source
+    from .streaming.ingest import start_ingest
+
+    log = work_dir(spark, "topic-log")
+    msgs = fixtures.messages(spark, sf_dir)
+    # Four appends in time order; the stream drains them two files at a time.
+    chunked = msgs.withColumn("__chunk", F.floor((F.dayofmonth(_utc(spark, "timestamp")) - 1) * 4 / 31).cast("int"))
+    _write_in_order(chunked.repartition(2), log, "__chunk", 4)
+    ns = f"meterflow_{uuid.uuid4().hex[:8]}"
+    names = setup_tables(spark, ns, work_dir(spark, "warehouse"), reset=True)
+    src = topic_source(spark, ["p1-electricity", "p1-gas", "p1-unknown"], stream=True, path=log, max_per_batch=2)
+    q = start_ingest(src, names, work_dir(spark, "ckpt"), ingest_id="stream", available_now=True,
+                     updated_at=_ts(spark, "2024-02-01 00:00:00"))
+    q.awaitTermination()
+    return names
+
+
+@register
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A4 + F5 - F7: file topic log drained by a stream into the raw tables."""
+    names = _stream_ingest_run(spark, sf_dir)
+    parts = [
+        _raw_out(spark, spark.table(names[t])).withColumn("route", F.lit(t)) for t in ("electricity", "gas")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@register
+def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + F2 + F7: the ledger a stream leaves after draining the topic log."""
+    from .operators.positions import current_ledger
+
+    names = _stream_ingest_run(spark, sf_dir)
+    return current_ledger(spark.table(names["ledger"])).select(
+        "consumer_group_id", "topic", "partition", "last_offset"
+    )
+
+
+@register
+def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 stateful: readings arrive as a stream in four appends; state per meter."""
+    from .session import work_dir
+    from .streaming.changes import stream_changes as sc
+
+    readings = producer.fixture_readings(spark, sf_dir).where(F.col("valid")).select("meter_id", "seq", *READING_FIELDS)
+    src_path = work_dir(spark, "readings")
+    # Four appends by sequence range; the driver reads one scalar (the top seq).
+    top = readings.agg(F.max("seq")).first()[0] or 0
+    chunked = readings.withColumn("__chunk", F.floor(F.col("seq") * 4 / (top + 1)).cast("int"))
+    _write_in_order(chunked, src_path, "__chunk", 4)
+    stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", "8").parquet(src_path)
+    out = work_dir(spark, "changes")
+    q = (sc(stream).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", work_dir(spark, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select(
+        "meter_id", "seq", "topic", "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS
+    )
+
+
+@register
+def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + A1 + E + G: publish update records to a topic log, read them back,
+    rebuild full readings per meter in offset order."""
+    from .operators.rebuild import rebuild_readings as rb
+    from .operators.rebuild import typed_payload as tp
+    from .operators.routing import raw_rows, route_messages
+    from .operators.scan import block_of
+    from .plans.sinks import publish
+    from .session import work_dir
+    from .sources.topics import topic_source
+
+    log = work_dir(spark, "published")
+    msgs = _change_messages(spark, sf_dir)
+    publish(msgs.select("key", "value", "topic", "timestamp", "seq"), path=log, partitions=4,
+            order=["key", "seq"], block=F.struct(F.col("key"), block_of(F.col("seq"))))
+    records = topic_source(spark, ["p1-electricity", "p1-gas"], stream=False, path=log)
+    routed = route_messages(records).join(
+        records.select(F.col("topic").alias("kafka_topic"), F.col("partition").alias("kafka_partition"),
+                       F.col("offset").alias("kafka_offset"), F.col("key").cast("string").alias("meter")),
+        ["kafka_topic", "kafka_partition", "kafka_offset"],
+    )
+    parts = []
+    for topic in ("electricity", "gas"):
+        raw = raw_rows(routed, topic).join(
+            routed.select("kafka_topic", "kafka_partition", "kafka_offset", "meter"),
+            ["kafka_topic", "kafka_partition", "kafka_offset"],
+        )
+        typed = tp(raw, topic).drop("processingTimestampUTC")
+        rebuilt = rb(typed, topic, key=["meter"], order=["kafka_offset"], block=block_of(F.col("kafka_offset")))
+        parts.append(rebuilt.select(F.col("meter").cast("long").alias("meter_id"), F.col("kafka_topic").alias("topic"),
+                                    "telegramTimestamp", *[c for c in rebuilt.columns if c in ELECTRICITY_FIELDS + GAS_FIELDS]))
+    out = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return out.select("meter_id", "topic", "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS)

@@ -7,7 +7,6 @@ that is unset (local runs, tests) is a temporary folder chosen and set.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -59,11 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the checkpoint root, unique per call."""
-    path = f"{checkpoint_root(spark)}/meterflow/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, not yet existing folder below the checkpoint root, unique per call."""
+    return f"{checkpoint_root(spark)}/meterflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def session_time_zone(spark: SparkSession) -> str:
