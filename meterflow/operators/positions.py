@@ -106,7 +106,7 @@ def starting_offsets_json(rows: Sequence, topics: Sequence[str]) -> str:
         if r["partition"] is None:
             continue
         out.setdefault(r["topic"], {})[str(r["partition"])] = int(r["last_offset"]) + 1
-    return json.dumps({t: p for t, p in out.items() if p}) if any(out.values()) else "earliest"
+    return json.dumps({t: p for t, p in out.items() if p}, sort_keys=True) if any(out.values()) else "earliest"
 
 
 def current_ledger(log: DataFrame) -> DataFrame:
