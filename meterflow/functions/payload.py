@@ -66,10 +66,13 @@ def string_key(parsed: Column, key: str) -> Column:
     return F.when(kind == "STRING", F.try_variant_get(parsed, path, "string"))
 
 
-def malformed_reason(value: Column) -> Column:
-    """Why a payload is rejected, or null when it is one JSON object."""
-    text = as_text(value)
-    parsed = parse(text)
+def malformed_reason(value: Column, text: Column | None = None, parsed: Column | None = None) -> Column:
+    """Why a payload is rejected, or null when it is one JSON object.
+
+    ``text`` and ``parsed`` may be given as already computed columns.
+    """
+    text = as_text(value) if text is None else text
+    parsed = parse(text) if parsed is None else parsed
     kind = F.schema_of_variant(parsed)
     return (
         F.when(value.isNull(), F.lit(REASON_NULL))

@@ -32,9 +32,14 @@ def frame_lines(
     block: Column | str,
     line: str = "line",
     telegram_col: str = "telegram_no",
+    position: Column | None = None,
 ) -> DataFrame:
     """Keep the lines that belong to complete telegrams.
 
+    ``position``: optional single value rising with ``order`` (for example
+    ``seq * 2**20 + line_no``); comparing one number is cheaper than
+    comparing the ``order`` columns as a struct.
+
     Returns the input columns with ``line`` trimmed and ``telegram_col`` (the
     number of end lines before the telegram's end line in its capture; numbers
     of segments that hold no telegram are skipped).
@@ -43,7 +48,7 @@ def frame_lines(
     df = lines.withColumn(line, t)
     is_bang = F.col(line).startswith("!")
     is_slash = F.col(line).startswith("/")
-    pos = F.struct(*[F.col(c) for c in order])
+    pos = position if position is not None else F.struct(*[F.col(c) for c in order])
     scanned = segmented_scan(
         df,
         keys=capture,
@@ -53,6 +58,7 @@ def frame_lines(
         lasts={"__last_bang": F.when(is_bang, pos), "__last_slash": F.when(is_slash, pos)},
         totals={"__bangs": F.when(is_bang, 1).otherwise(0)},
         inclusive=False,
+        position=position,
     )
     ls, lb = F.col("__last_slash"), F.col("__last_bang")
     started = is_slash | (ls.isNotNull() & (lb.isNull() | (ls > lb)))

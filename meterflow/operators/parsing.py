@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.obis import DST_FLAG_PATTERN, FIELD_PATTERNS, extract
+from ..functions.obis import DST_FLAG_PATTERN, FIELD_PATTERNS, raw_match, typed
 from ..schemas import READING_FIELDS, ZERO_VALUES
 
 REJECT_MISSING_TIMESTAMP = "missing_timestamp"
@@ -27,6 +27,7 @@ def parse_telegram_lines(
     line: str = "line",
     carry: Mapping[str, Column] | None = None,
     keep_dst_flag: bool = False,
+    position: Column | None = None,
 ) -> DataFrame:
     """Group telegram lines into one reading per telegram.
 
@@ -34,19 +35,35 @@ def parse_telegram_lines(
     to keep (for example ``{"seq": F.min("seq")}``).
     """
     l = F.col(line)
-    pos = F.struct(*[F.col(c) for c in order])
+    # One regex evaluation per field and line, in a projection of its own.
+    matched = telegram_lines.select(
+        "*",
+        *[raw_match(l, pattern, group).alias(f"__m_{field}") for field, pattern, group, _ in FIELD_PATTERNS],
+        *([raw_match(l, DST_FLAG_PATTERN, 1).alias("__m_dstFlag")] if keep_dst_flag else []),
+    )
+    pos = position if position is not None else F.struct(*[F.col(c) for c in order])
     aggs = []
-    for field, pattern, group, spark_type in FIELD_PATTERNS:
-        hit = l.rlike(pattern)
-        value = extract(l, pattern, group, spark_type)
-        aggs.append(F.max_by(value, F.when(hit, pos)).alias(field))
+    # The 12-digit times travel as longs (and the DST flag as a number), so
+    # every aggregation buffer is fixed width and Spark can hash-aggregate
+    # (with partial aggregation) instead of sorting all lines.
+    for field, _, _, spark_type in FIELD_PATTERNS:
+        raw = F.col(f"__m_{field}")
+        value = typed(raw, "long" if spark_type == "string" else spark_type)
+        aggs.append(F.max_by(value, F.when(raw != "", pos)).alias(field))
     if keep_dst_flag:
-        hit = l.rlike(DST_FLAG_PATTERN)
-        aggs.append(F.max_by(F.regexp_extract(l, DST_FLAG_PATTERN, 1), F.when(hit, pos)).alias("dstFlag"))
+        raw = F.col("__m_dstFlag")
+        aggs.append(F.max_by(F.when(raw == "S", 1).when(raw == "W", 0), F.when(raw != "", pos)).alias("dstFlag"))
     for name, expr in (carry or {}).items():
         aggs.append(expr.alias(name))
-    grouped = telegram_lines.groupBy(*telegram).agg(*aggs)
-    filled = [F.coalesce(F.col(f), F.lit(ZERO_VALUES[f])).alias(f) for f in READING_FIELDS]
+    grouped = matched.groupBy(*telegram).agg(*aggs)
+    filled = []
+    for f in READING_FIELDS:
+        col = F.col(f)
+        if ZERO_VALUES[f] == "":
+            col = F.lpad(col.cast("string"), 12, "0")
+        filled.append(F.coalesce(col, F.lit(ZERO_VALUES[f])).alias(f))
+    if keep_dst_flag:
+        grouped = grouped.withColumn("dstFlag", F.when(F.col("dstFlag") == 1, "S").when(F.col("dstFlag") == 0, "W"))
     rest = [c for c in grouped.columns if c not in READING_FIELDS]
     return grouped.select(*rest, *filled)
 

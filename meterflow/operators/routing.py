@@ -50,9 +50,15 @@ def route_messages(
     for topic, table in routes.items():
         route = F.when(F.col("topic") == topic, F.lit(table)).otherwise(route)
 
-    text = as_text(F.col("value"))
-    parsed = parse(text)
-    payload_reason = malformed_reason(F.col("value"))
+    # Decode and parse once per record; later expressions read the columns.
+    staged = messages.select(
+        "*",
+        as_text(F.col("value")).alias("__text"),
+        parse(as_text(F.col("value"))).alias("__parsed"),
+    )
+    text = F.col("__text")
+    parsed = F.col("__parsed")
+    payload_reason = malformed_reason(F.col("value"), text, parsed)
     if on_malformed == "fail":
         payload_reason = F.when(
             payload_reason.isNotNull(),
@@ -68,7 +74,7 @@ def route_messages(
         processing = F.coalesce(processing, zero_time(tz))
         telegram = F.coalesce(telegram, F.lit(""))
 
-    return messages.select(
+    return staged.select(
         F.col("topic").alias("kafka_topic"),
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("long").alias("kafka_offset"),

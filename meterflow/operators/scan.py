@@ -7,18 +7,17 @@ computed in two levels instead of one window over the whole key:
    order (for example ``seq div 1_000_000``, or the file and byte offset of a
    file split; any orderable, non-null value). A window partitioned by ``(key, block)`` gives the part of the scan
    inside the block; its size is bounded by the block.
-2. One summary row per ``(key, block)`` is aggregated from the windowed rows
-   (they are already partitioned by ``(key, block)``, so this needs no
-   shuffle), a window over the summaries of each key gives what all earlier
-   blocks contribute, and the result is joined back on ``(key, block)``. Only
-   the summary table moves for that join (AQE broadcasts it when its measured
-   size is small).
-
-Both branches read the same shuffle of the rows: the row payload travels as
-one struct that the summary branch also touches, and the block column is not
-nullable (no inferred null filter lands on one side only), so the two
-exchanges stay identical and Spark reuses the first instead of computing the
-input twice.
+2. One summary row per ``(key, block)`` is hash-aggregated from the same
+   shuffled rows (no sort), a window over the summaries of each key gives
+   what all earlier blocks contribute, and the result is joined back on
+   ``(key, block)``. Only the summary table moves for that join (AQE
+   broadcasts it when its measured size is small).
+
+Both branches read one explicit shuffle of the rows: the row payload travels
+as one struct that the summary branch also digests, and the block column is
+not nullable (no inferred null filter lands on one side only), so column
+pruning leaves the two exchanges identical and Spark reuses the first instead
+of computing the input twice.
 
 A hot key is spread over as many tasks as it has blocks, and the summary table
 has one row per ``(key, block)`` pair. Keys are packed in one struct column so
@@ -45,6 +44,10 @@ def block_of(order_value: Column, block_rows: int = DEFAULT_BLOCK_ROWS) -> Colum
     return F.floor(order_value / F.lit(block_rows)).cast("long")
 
 
+def position_of(order: Sequence[str]) -> Column:
+    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+
+
 def segmented_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,6 +57,7 @@ def segmented_scan(
     lasts: Mapping[str, Column] | None = None,
     totals: Mapping[str, Column] | None = None,
     inclusive: bool = False,
+    position: Column | None = None,
 ) -> DataFrame:
     """Add scan columns to ``df``.
 
@@ -63,7 +67,9 @@ def segmented_scan(
     of the key before this row (or up to it when ``inclusive``).
     ``totals``: out column -> numeric expression; the sum over all rows of the
     key.
-    ``order`` must be a total order within a key.
+    ``order`` must be a total order within a key. ``position``: optional
+    single value rising with ``order``; a number keeps the block summary a
+    hash aggregation.
     """
     sums = dict(sums or {})
     lasts = dict(lasts or {})
@@ -86,6 +92,9 @@ def segmented_scan(
         *values,
     )
 
+    # One shuffle by (key, block), read by both branches below.
+    shuffled = base.repartition(_KEY, _BLOCK)
+
     in_block = Window.partitionBy(_KEY, _BLOCK).orderBy(*order)
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)
     upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
@@ -96,24 +105,20 @@ def segmented_scan(
         win.append(F.coalesce(F.sum(f"__sc_s_{n}").over(frame), F.lit(0)).alias(f"__sc_is_{n}"))
     for n in lasts:
         win.append(F.last(f"__sc_l_{n}", ignorenulls=True).over(frame).alias(f"__sc_il_{n}"))
-    for n in totals:
-        win.append(F.coalesce(F.sum(f"__sc_t_{n}").over(before), F.lit(0)).alias(f"__sc_it_{n}"))
-    rows = base.select("*", *win)
-
-    # Block summaries from the windowed rows: the value up to the block's last row.
-    position = F.struct(*[F.col(c) for c in order])
-    aggs = []
-    for n in sums:
-        upto_row = F.col(f"__sc_is_{n}") + (F.lit(0) if inclusive else F.col(f"__sc_s_{n}"))
-        aggs.append(F.max_by(upto_row, position).alias(f"__sc_bs_{n}"))
-    for n in lasts:
-        upto_row = F.col(f"__sc_l_{n}") if inclusive else F.coalesce(F.col(f"__sc_l_{n}"), F.col(f"__sc_il_{n}"))
-        aggs.append(F.max_by(F.coalesce(upto_row, F.col(f"__sc_il_{n}")), position).alias(f"__sc_bl_{n}"))
-    for n in totals:
-        aggs.append(F.max_by(F.col(f"__sc_it_{n}") + F.col(f"__sc_t_{n}"), position).alias(f"__sc_bt_{n}"))
-    # Ties the payload to this branch (first() is nullable, so the test stays).
-    aggs.append(F.first(_ROW).isNotNull().alias("__sc_n"))
-    summary = rows.groupBy(_KEY, _BLOCK).agg(*aggs)
+    rows = shuffled.select("*", *win)
+
+    # Block summaries straight from the shuffled rows (hash aggregation, no
+    # sort): block sums, the block's last non-null value, and a fixed-width
+    # digest of the payload that keeps this branch reading the same shuffle.
+    position = position_of(order) if position is None else position
+    aggs = [F.sum(f"__sc_s_{n}").alias(f"__sc_bs_{n}") for n in sums]
+    aggs += [
+        F.max_by(F.col(f"__sc_l_{n}"), F.when(F.col(f"__sc_l_{n}").isNotNull(), position)).alias(f"__sc_bl_{n}")
+        for n in lasts
+    ]
+    aggs += [F.sum(f"__sc_t_{n}").alias(f"__sc_bt_{n}") for n in totals]
+    aggs.append(F.max(F.xxhash64(F.col(_ROW), *[F.col(c) for c in order])).alias("__sc_n"))
+    summary = shuffled.groupBy(_KEY, _BLOCK).agg(*aggs)
 
     earlier = Window.partitionBy(_KEY).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(_KEY)
@@ -129,7 +134,7 @@ def segmented_scan(
     cond = (
         (rows[_KEY] == carry["__sc_ckey"])
         & (rows[_BLOCK] == carry["__sc_cblock"])
-        & carry["__sc_n"]
+        & carry["__sc_n"].isNotNull()
     )
     joined = rows.join(carry, cond, "inner")
     outs = []

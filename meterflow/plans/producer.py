@@ -18,6 +18,12 @@ from ..sources import fixtures
 # Lines of the derived fixture stream are ordered by (seq, line_no); a block
 # holds this many telegrams.
 TELEGRAMS_PER_BLOCK = 1 << 16
+# Lines of one telegram text stay below this many.
+LINE_SLOTS = 1 << 20
+
+
+def stream_position():
+    return F.col("seq") * F.lit(LINE_SLOTS) + F.col("line_no")
 
 
 def fixture_framed_lines(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
@@ -28,6 +34,7 @@ def fixture_framed_lines(spark: SparkSession, sf_dir: str, block_rows: int = DEF
         capture=["meter_id"],
         order=["seq", "line_no"],
         block=block_of(F.col("seq"), min(block_rows, TELEGRAMS_PER_BLOCK)),
+        position=stream_position(),
     )
 
 
@@ -50,6 +57,7 @@ def fixture_readings(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT
         telegram=["meter_id", "telegram_no"],
         order=["seq", "line_no"],
         carry={"seq": F.min("seq")},
+        position=stream_position(),
     )
     return with_validity(readings).drop("telegram_no")
 

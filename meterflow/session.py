@@ -33,6 +33,9 @@ def build_session(master: str = "local[*]", app: str = "meterflow", shuffle_part
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # Local mode runs everything in the driver JVM.
+        conf["spark.driver.memory"] = "8g"
     conf.update({k.replace("__", "."): str(v) for k, v in extra.items()})
     for k, v in conf.items():
         builder = builder.config(k, v)
