@@ -49,10 +49,14 @@ def with_previous(readings: DataFrame, key: Sequence[str], order: Sequence[str],
         lasts={"__prev": F.struct(*[F.col(f) for f in READING_FIELDS])},
         inclusive=False,
     )
-    out = prev.withColumn("is_first", F.col("__prev").isNull())
-    for f in READING_FIELDS:
-        out = out.withColumn(f"prev_{f}", F.coalesce(F.col(f"__prev.{f}"), F.lit(ZERO_VALUES[f]).cast(FIELD_TYPES[f])))
-    return out.drop("__prev")
+    return prev.select(
+        *[c for c in readings.columns],
+        F.col("__prev").isNull().alias("is_first"),
+        *[
+            F.coalesce(F.col(f"__prev.{f}"), F.lit(ZERO_VALUES[f]).cast(FIELD_TYPES[f])).alias(f"prev_{f}")
+            for f in READING_FIELDS
+        ],
+    )
 
 
 def change_rows(with_prev: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

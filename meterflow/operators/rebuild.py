@@ -70,11 +70,61 @@ def rebuild_readings(
         lasts={f"__rb_{f}": F.col(f) for f in fields},
         inclusive=True,
     )
-    out = scanned
-    for f in fields:
-        out = out.withColumn(f, F.coalesce(F.col(f"__rb_{f}"), F.lit(ZERO_VALUES[f]).cast(FIELD_TYPES[f])))
-    return out.drop(*[f"__rb_{f}" for f in fields])
+    cols = [
+        F.coalesce(F.col(f"__rb_{c}"), F.lit(ZERO_VALUES[c]).cast(FIELD_TYPES[c])).alias(c) if c in fields else F.col(c)
+        for c in typed.columns
+    ]
+    return scanned.select(*cols)
 
 
 RAW_KEY = ["kafka_topic", "kafka_partition", "kafka_offset"]
 __all__ = ["dedup_raw", "typed_payload", "rebuild_readings", "RAW_COLUMNS", "RAW_KEY"]
+
+
+ALL_PAYLOAD_FIELDS = ELECTRICITY_FIELDS + GAS_FIELDS
+
+
+def typed_payload_all(raw: DataFrame, payload_col: str = "raw_data") -> DataFrame:
+    """Payload keys of both topics as typed columns (absent keys null)."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType(
+        [T.StructField("telegramTimestamp", T.StringType()), T.StructField("processingTimestampUTC", T.StringType())]
+        + [T.StructField(f, FIELD_TYPES[f]) for f in ALL_PAYLOAD_FIELDS]
+    )
+    parsed = F.from_json(F.col(payload_col), schema)
+    return raw.select("*", *[parsed[f.name].alias(f.name) for f in schema.fields])
+
+
+def rebuild_all(
+    typed: DataFrame,
+    topic_col: str,
+    topic_kinds: dict[str, str],
+    key: Sequence[str],
+    order: Sequence[str],
+    block: Column | str,
+) -> DataFrame:
+    """G3 for both topics in one scan keyed by (key, topic).
+
+    ``topic_kinds`` maps topic names to ``electricity`` or ``gas``. A row gets
+    its own topic's fields rebuilt (zero before the first value) and null for
+    the other topic's fields.
+    """
+    scanned = segmented_scan(
+        typed,
+        keys=[*key, topic_col],
+        block=block,
+        order=order,
+        lasts={f"__rb_{f}": F.col(f) for f in ALL_PAYLOAD_FIELDS},
+        inclusive=True,
+    )
+    kind = F.lit(None).cast("string")
+    for name, k in topic_kinds.items():
+        kind = F.when(F.col(topic_col) == name, F.lit(k)).otherwise(kind)
+    rebuilt = {}
+    for f in ALL_PAYLOAD_FIELDS:
+        own = kind == ("electricity" if f in ELECTRICITY_FIELDS else "gas")
+        full = F.coalesce(F.col(f"__rb_{f}"), F.lit(ZERO_VALUES[f]).cast(FIELD_TYPES[f]))
+        rebuilt[f] = F.when(own, full).cast(FIELD_TYPES[f]).alias(f)
+    cols = [rebuilt.get(c, F.col(c)) for c in typed.columns]
+    return scanned.select(*cols)

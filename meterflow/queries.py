@@ -150,6 +150,7 @@ def raw_zero_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- positions ------------------------------------------------------------
 
 GROUP = "p1-data-consumer-group"
+TOPIC_KINDS = {"p1-electricity": "electricity", "p1-gas": "gas"}
 OTHER_GROUP = "p1-audit-group"
 
 
@@ -261,17 +262,12 @@ def typed_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def rebuild_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full readings rebuilt from the sparse update records, per topic."""
-    from .operators.rebuild import rebuild_readings as rb
-    from .operators.rebuild import typed_payload as tp
+    from .operators.rebuild import rebuild_all, typed_payload_all
     from .operators.scan import block_of
 
     msgs = _change_messages(spark, sf_dir).select("meter_id", "seq", "topic", F.col("value").alias("raw_data"))
-    parts = []
-    for topic, name in (("electricity", "p1-electricity"), ("gas", "p1-gas")):
-        typed = tp(msgs.where(F.col("topic") == name), topic).drop("raw_data", "processingTimestampUTC")
-        rebuilt = rb(typed, topic, key=["meter_id"], order=["seq"], block=block_of(F.col("seq")))
-        parts.append(rebuilt)
-    out = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    typed = typed_payload_all(msgs).drop("raw_data", "processingTimestampUTC")
+    out = rebuild_all(typed, "topic", TOPIC_KINDS, key=["meter_id"], order=["seq"], block=block_of(F.col("seq")))
     return out.select("meter_id", "seq", "topic", "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS)
 
 
@@ -413,15 +409,12 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("offset").alias("kafka_offset"), F.col("key").cast("string").alias("meter")),
         ["kafka_topic", "kafka_partition", "kafka_offset"],
     )
-    parts = []
-    for topic in ("electricity", "gas"):
-        raw = raw_rows(routed, topic).join(
-            routed.select("kafka_topic", "kafka_partition", "kafka_offset", "meter"),
-            ["kafka_topic", "kafka_partition", "kafka_offset"],
-        )
-        typed = tp(raw, topic).drop("processingTimestampUTC")
-        rebuilt = rb(typed, topic, key=["meter"], order=["kafka_offset"], block=block_of(F.col("kafka_offset")))
-        parts.append(rebuilt.select(F.col("meter").cast("long").alias("meter_id"), F.col("kafka_topic").alias("topic"),
-                                    "telegramTimestamp", *[c for c in rebuilt.columns if c in ELECTRICITY_FIELDS + GAS_FIELDS]))
-    out = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    from .operators.rebuild import rebuild_all, typed_payload_all
+
+    accepted = routed.where(F.col("reject_reason").isNull())
+    typed = typed_payload_all(accepted).drop("processingTimestampUTC")
+    rebuilt = rebuild_all(typed, "kafka_topic", TOPIC_KINDS, key=["meter"], order=["kafka_offset"],
+                          block=block_of(F.col("kafka_offset")))
+    out = rebuilt.select(F.col("meter").cast("long").alias("meter_id"), F.col("kafka_topic").alias("topic"),
+                         "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS)
     return out.select("meter_id", "topic", "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS)
