@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -74,11 +75,29 @@ def publish(
     out.write.mode("append").partitionBy("topic").parquet(path)
 
 
+def overwrite_batch(rows: DataFrame, table: str, ingest_id: str, batch_id: int, dynamic: Sequence[str] = ()) -> None:
+    """Replace the ``(ingest_id, batch_id)`` partition of ``table`` with ``rows``.
+
+    The write position is a static partition spec, so exactly that batch is
+    replaced whatever the session's partition overwrite mode; ``dynamic``
+    partition columns below it (such as ``day``) come from the rows.
+    """
+    spark = rows.sparkSession
+    target = [c for c in spark.table(table).columns if c not in ("ingest_id", "batch_id")]
+    view = f"__meterflow_batch_{uuid.uuid4().hex[:12]}"
+    rows.select(*target).createOrReplaceTempView(view)
+    spec = f"ingest_id = '{ingest_id}', batch_id = {int(batch_id)}" + "".join(f", {c}" for c in dynamic)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {', '.join(f'`{c}`' for c in target)} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def append_raw(rows: DataFrame, table: str, ingest_id: str, batch_id: int, day: bool | None = None) -> None:
     """Write one batch into a raw table's ``(ingest_id, batch_id)`` partition (A4).
 
-    Dynamic partition overwrite: writing the same batch again replaces what
-    the first attempt wrote, so a replayed micro-batch adds no rows.
+    Writing the same batch again replaces what the first attempt wrote, so a
+    replayed micro-batch adds no rows.
     """
     if day is None:
         day = "day" in rows.sparkSession.table(table).columns
@@ -86,8 +105,7 @@ def append_raw(rows: DataFrame, table: str, ingest_id: str, batch_id: int, day:
     out = rows.select(*cols)
     if day:
         out = out.withColumn("day", F.to_date(F.to_utc_timestamp(F.col("kafka_timestamp"), _tz(rows))))
-    out = out.withColumn("ingest_id", F.lit(ingest_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table))
+    overwrite_batch(out, table, ingest_id, batch_id, dynamic=["day"] if day else [])
 
 
 def _tz(df: DataFrame) -> str:

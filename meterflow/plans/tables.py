@@ -3,8 +3,8 @@
 Raw tables are Parquet tables (Iceberg when its runtime is on the classpath)
 with the seven declared columns plus the write position ``ingest_id,
 batch_id``: a replayed micro-batch overwrites exactly its own partition, so
-replays do not duplicate rows. ``day=True`` adds a ``day`` partition (UTC date
-of the broker time) for pruning and later compaction.
+replays do not duplicate rows. ``day=True`` adds a ``day`` partition below it
+(UTC date of the broker time) for pruning and later compaction.
 """
 
 from __future__ import annotations
@@ -46,14 +46,16 @@ def table_format(spark: SparkSession) -> str:
 
 
 def raw_partitions(day: bool) -> list[str]:
-    return (["day"] if day else []) + ["ingest_id", "batch_id"]
+    # Write position first: a batch is replaced by a static partition spec,
+    # whatever the session's partition overwrite mode.
+    return ["ingest_id", "batch_id"] + (["day"] if day else [])
 
 
 def ensure_raw_table(spark: SparkSession, name: str, location: str | None = None, day: bool = False,
                      codec: str | None = "zstd", reset: bool = False, fmt: str = "parquet",
                      rejects: bool = False) -> None:
     """Raw table with the declared columns; ``reset`` drops it first."""
-    cols = (REJECT_DDL if rejects else RAW_DDL) + (", day DATE" if day else "") + ", " + POSITION_DDL
+    cols = (REJECT_DDL if rejects else RAW_DDL) + ", " + POSITION_DDL + (", day DATE" if day else "")
     _create(spark, name, cols, raw_partitions(day), location, codec, reset, fmt)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.positions import high_water, ledger_updates
 from ..operators.routing import DEFAULT_ROUTES, raw_rows, rejected_rows, route_messages
-from ..plans.sinks import append_raw
+from ..plans.sinks import append_raw, overwrite_batch
 from ..schemas import DEFAULT_GROUP_ID
 
 
@@ -46,10 +46,7 @@ def ingest_batch(
         if "ledger" in tables:
             stamp = updated_at if updated_at is not None else F.current_timestamp()
             positions = ledger_updates(high_water(routed), group_id, stamp)
-            positions = positions.withColumn("ingest_id", F.lit(ingest_id)).withColumn(
-                "batch_id", F.lit(batch_id).cast("long")
-            )
-            positions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(tables["ledger"])
+            overwrite_batch(positions, tables["ledger"], ingest_id, batch_id)
     finally:
         routed.unpersist()
 
