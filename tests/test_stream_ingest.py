@@ -58,3 +58,17 @@ def test_drain_in_batches_equals_one_and_restart(spark):
     la = current_ledger(spark.table(names_k["ledger"])).select("topic", "partition", "last_offset")
     lb = current_ledger(spark.table(names_1["ledger"])).select("topic", "partition", "last_offset")
     assert sorted(map(tuple, la.collect())) == sorted(map(tuple, lb.collect()))
+
+
+def test_batches_survive_static_overwrite_mode(spark):
+    names = tables(spark)
+    msgs = fixtures.messages(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        ingest_batch(msgs.where(F.col("offset") < 50), 0, names, "s")
+        ingest_batch(msgs.where(F.col("offset") >= 50), 1, names, "s")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    total = sum(spark.table(names[t]).count() for t in ("electricity", "gas", "rejects"))
+    assert total == msgs.count()
