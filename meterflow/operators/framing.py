@@ -71,12 +71,13 @@ def frame_lines(
 
 def telegram_summary(
     telegram_lines: DataFrame, capture: Sequence[str], order: Sequence[str], line: str = "line",
-    telegram_col: str = "telegram_no",
+    telegram_col: str = "telegram_no", position: Column | None = None, carry: dict | None = None,
 ) -> DataFrame:
-    """One row per telegram: line count, first and last line."""
-    pos = F.struct(*[F.col(c) for c in order])
+    """One row per telegram: line count, first and last line (plus ``carry`` aggregates)."""
+    pos = position if position is not None else F.struct(*[F.col(c) for c in order])
     return telegram_lines.groupBy(*capture, telegram_col).agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.min_by(F.col(line), pos).alias("first_line"),
         F.max_by(F.col(line), pos).alias("last_line"),
+        *[expr.alias(name) for name, expr in (carry or {}).items()],
     )

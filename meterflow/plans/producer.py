@@ -40,9 +40,8 @@ def fixture_framed_lines(spark: SparkSession, sf_dir: str, block_rows: int = DEF
 
 def fixture_frames(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     framed = fixture_framed_lines(spark, sf_dir, block_rows)
-    summary = telegram_summary(framed, ["meter_id"], ["seq", "line_no"])
-    firsts = framed.groupBy("meter_id", "telegram_no").agg(F.min("seq").alias("seq"))
-    return summary.join(firsts, ["meter_id", "telegram_no"])
+    return telegram_summary(framed, ["meter_id"], ["seq", "line_no"], position=stream_position(),
+                            carry={"seq": F.min("seq")})
 
 
 def fixture_readings(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
