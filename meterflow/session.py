@@ -56,7 +56,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="meterflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - some sessions refuse core settings at runtime
+            pass
     return root.rstrip("/")
 
 
