@@ -12,11 +12,13 @@ is indexed alone; lighter forms, which many unrelated sets share, only in pairs
 of segments. Two linked sets therefore always share an index key.
 
 Keys are grouped and every set is compared with the smallest set under the key
-it shares, so a key of k sets costs k comparisons, not k^2. What is compared is
-decided exactly from the texts. Sets that share a key but ended up in different
-components are compared in further rounds, each again against one centre per
-key, until no key holds an uncompared pair from different components. No pair
-is lost and a group of similar documents never expands into its pairs.
+it shares, so a key of k sets costs k comparisons, not k^2. A comparison first
+looks at sizes and at 512-bit parity sketches, which differ in no more bits than
+the sets in shingles, so it rules out no link; what passes is decided exactly
+from the texts. Sets that still share a key but are in different components
+after two such rounds are compared sketch against sketch in blocks of bounded
+size, and again only what the sketch cannot rule out is decided from the texts.
+No pair is lost, and a group of similar documents never expands into its pairs.
 
 Defined cases: words are maximal runs outside space and 0x09-0x0D, A-Z
 lower-cased; fewer than k words make one shingle of the whole sequence; a null
@@ -41,6 +43,9 @@ LIGHT = 2
 BAND_RATIO = 1.3
 SHARED = 0.2  # cost model: chance that two sets of a band share a given shingle
 PROBE_COST = 20.0  # cost model: one comparison against one index row
+SKETCH = tuple(f"s{i}" for i in range(8))  # 512 bits, each the parity of the shingles that hash to it
+CENTRES = 2
+BLOCK = 1024
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,6 +79,13 @@ def set_keys(hashes: np.ndarray, texts: np.ndarray, n: int) -> tuple[np.ndarray,
     return sizes, _group_sums(mix(hashes), texts, n), _group_sums(mix(hashes + np.uint64(0x51ED270B)), texts, n)
 
 
+def sketches(hashes: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
+    """512-bit parity sketch of each set, as eight longs."""
+    bit = (mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(55)).astype(np.int64)
+    odd = (np.bincount(texts * 512 + bit, minlength=n * 512) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, 512), axis=1).view(np.int64)
+
+
 class Bands:
     """Size bands and, per band, the chosen segments: ``exact`` of allowance 1, ``loose`` of allowance 2."""
 
@@ -178,7 +190,8 @@ def _classes_of(k: int):
             for lo, hi in in_chunks(texts):
                 hashes, owner = shingle_sets(cut_words(texts[lo:hi], lower=True), k)
                 size, key, check = set_keys(hashes, owner, hi - lo)
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[lo:hi].array, "tx": b["tx"].to_numpy()[lo:hi], "n": size.astype(np.int64), "key": _signed(key), "chk": _signed(check)})
+                out = {"doc_id": b["doc_id"].iloc[lo:hi].array, "tx": b["tx"].to_numpy()[lo:hi], "n": size.astype(np.int64), "key": _signed(key), "chk": _signed(check)}
+                yield pd.DataFrame(out | dict(zip(SKETCH, sketches(hashes, owner, hi - lo).T)))
 
     return run
 
@@ -238,10 +251,10 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tx"), text.alias("text"))
-    members = materialise(rows.mapInPandas(_classes_of(k), "doc_id bigint, tx bigint, n bigint, key bigint, chk bigint"), "set-classes")
+    members = materialise(rows.mapInPandas(_classes_of(k), "doc_id bigint, tx bigint, n bigint, key bigint, chk bigint, " + ", ".join(f"{c} bigint" for c in SKETCH)), "set-classes")
     # A class is one distinct set; its text is that of its first row.
-    classes = members.where("n > 0").groupBy("key", "chk", "n").agg(F.min(F.struct("doc_id", "tx")).alias("rep"))
-    classes = materialise(classes.select("key", "chk", "n", "rep", F.monotonically_increasing_id().alias("cid")), "classes")
+    classes = members.where("n > 0").groupBy("key", "chk", "n").agg(F.min(F.struct("doc_id", "tx")).alias("rep"), *[F.max(c).alias(c) for c in SKETCH])
+    classes = materialise(classes.select("key", "chk", "n", "rep", *SKETCH, F.monotonically_increasing_id().alias("cid")), "classes")
     # Sizes grow with the logarithm of nothing but the longest text: bounded by band.
     widths = {r["n"]: r["c"] for r in _size_histogram(classes).collect()}
     bands = Bands(percent, widths)
@@ -252,7 +265,7 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     links = _compare(rows, classes, buckets, k, percent)
     roots = connected(links)
     names = classes.join(roots, F.col("cid") == F.col("node"), "left").select("key", "chk", F.coalesce("root", "cid").alias("root"))
-    own = members.join(names, ["key", "chk"], "left")
+    own = members.select("doc_id", "tx", "n", "key", "chk").join(names, ["key", "chk"], "left")
     least = own.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = materialise(own.select("doc_id", "tx", "n", "root"), "set-members")
     out = out.join(materialise(least, "component-names"), "root", "left")
@@ -273,40 +286,47 @@ def _shared_keys(index: DataFrame) -> DataFrame:
 
 
 def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links among the sets of each bucket: rounds of one centre per bucket."""
+    """Links among the sets of each bucket."""
     spark = rows.sparkSession
-    involved = buckets.select("cid").distinct().join(classes.select("cid", "rep.*"), "cid")
-    texts = rows.alias("r").join(
-        involved.alias("i"), F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.tx") == F.col("i.tx"))
-    )
-    texts = materialise(texts.select("cid", "text").dropDuplicates(["cid"]), "set-texts")
-    empty = spark.createDataFrame([], "a bigint, b bigint")
-    links, left = empty, buckets
-    while True:
-        # Of the sets still open under a key, the smallest is the centre. It is
-        # compared with the others, and leaves the key.
+    links, left = spark.createDataFrame([], "a bigint, b bigint"), buckets
+    for _ in range(CENTRES):
+        # The smallest set still open under a key is its centre; it is compared
+        # with the others and leaves the key.
         centre = left.groupBy("sig").agg(F.min("cid").alias("a"))
-        star = left.join(centre, "sig").where("cid <> a")
-        pairs = star.select("a", F.col("cid").alias("b")).distinct()
-        if links is not empty:
-            roots = connected(links)
-            pairs = _apart(pairs, roots)
-        pairs = materialise(pairs, "set-pairs")
-        if pairs.isEmpty():
-            return links
-        joined = pairs.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("b_text")), "b")
-        joined = joined.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("a_text")), "a")
-        found = materialise(joined.select("a", "b", "a_text", "b_text").mapInPandas(_linked(k, percent), "a bigint, b bigint"), "set-links")
-        links = found if links is empty else links.union(found)
-        left = _open(left.join(centre, "sig").where("cid <> a").select("sig", "cid"), connected(links))
-        left = materialise(left, "buckets")
-
-
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    both = pairs.join(ra, "a", "left").join(rb, "b", "left")
-    return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+        others = materialise(left.join(centre, "sig").where("cid <> a"), "bucket-stars")
+        pairs = others.select("a", F.col("cid").alias("b")).distinct()
+        links = links.union(_verified(_near(pairs, classes, percent), rows, classes, k, percent))
+        left = materialise(_open(others.select("sig", "cid"), connected(links)), "buckets")
+    # What is left under a key is compared block against block by sketch. Only
+    # pairs of different components that the sketch cannot rule out come back.
+    near = _blockwise(left.join(connected(links).select(F.col("node").alias("cid"), F.col("root")), "cid", "left"), classes, percent)
+    return links.union(_verified(near, rows, classes, k, percent))
+
+
+def _within(percent: int) -> str:
+    """Condition under which sizes and sketches allow a link.
+
+    Two linked sets differ in at most (100 - p) / (100 + p) of their summed
+    sizes, and sketches differ in no more bits than the sets in shingles.
+    """
+    bits = " + ".join(f"bit_count(a_{s} ^ b_{s})" for s in SKETCH)
+    return f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n) AND {100 + percent} * ({bits}) <= {100 - percent} * (a_n + b_n)"
+
+
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    side = lambda x: classes.select(F.col("cid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", *SKETCH)])
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_within(percent)).select("a", "b")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs that are links, decided on the texts."""
+    pairs = materialise(pairs, "set-pairs")
+    who = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct().join(classes.select("cid", "rep.*"), "cid")
+    texts = rows.alias("r").join(who.alias("i"), F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.tx") == F.col("i.tx")))
+    texts = materialise(texts.select("cid", "text").dropDuplicates(["cid"]), "set-texts")
+    both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("b_text")), "b")
+    both = both.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("a_text")), "a")
+    return materialise(both.select("a", "b", "a_text", "b_text").mapInPandas(_linked(k, percent), "a bigint, b bigint"), "set-links")
 
 
 def _open(left: DataFrame, roots: DataFrame) -> DataFrame:
@@ -314,3 +334,57 @@ def _open(left: DataFrame, roots: DataFrame) -> DataFrame:
     named = left.join(roots, F.col("cid") == F.col("node"), "left").select("sig", "cid", F.coalesce("root", "cid").alias("root"))
     mixed = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
     return named.join(mixed, "sig", "left_semi").select("sig", "cid")
+
+
+def _blockwise(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of one key and different roots that pass ``_within``.
+
+    A key's sets are dealt into blocks of about ``BLOCK``; every pair of blocks
+    meets in one group, so no task holds more than two blocks of a key.
+    """
+    full = left.select("sig", "cid", F.coalesce("root", "cid").alias("root")).join(classes.select("cid", "n", *SKETCH), "cid")
+    sizes = left.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("g"))
+    full = full.join(sizes, "sig").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("g")).cast("int"))
+    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    full = full.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "cid", "root", "n", *SKETCH)
+    dealt = full.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return dealt.mapInPandas(_block_pairs(percent), "a bigint, b bigint").distinct()
+
+
+def _block_pairs(percent: int):
+    def group(g: pd.DataFrame):
+        sk = g[list(SKETCH)].to_numpy().view(np.uint64)
+        n, root, cid, blk = (g[c].to_numpy() for c in ("n", "root", "cid", "blk"))
+        own = g["i"].iat[0] == g["j"].iat[0]
+        for x in range(len(g) - 1):
+            y = slice(x + 1, None)
+            ok = (root[y] != root[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))
+            if not own:
+                ok &= blk[y] != blk[x]
+            if ok.any():
+                at = np.flatnonzero(ok) + x + 1
+                bits = np.bitwise_count(sk[at] ^ sk[x]).sum(1, dtype=np.int64)
+                at = at[(100 + percent) * bits <= (100 - percent) * (n[at] + n[x])]
+                if len(at):
+                    yield np.minimum(cid[at], cid[x]), np.maximum(cid[at], cid[x])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for b in batches:
+            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
+            cut = _starts(b)
+            rest = b.iloc[cut[-1] :]  # the last group may go on in the next batch
+            yield from pairs_of(b, cut)
+        if rest is not None and len(rest):
+            yield from pairs_of(rest, np.array([0, len(rest)]))
+
+    def pairs_of(b, cut):
+        found = [p for lo, hi in zip(cut[:-1], cut[1:]) if hi - lo > 1 for p in group(b.iloc[lo:hi])]
+        if found:
+            yield pd.DataFrame({"a": np.concatenate([a for a, _ in found]), "b": np.concatenate([c for _, c in found])})
+
+    def _starts(b):
+        key = b[["sig", "i", "j"]].to_numpy()
+        return np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1])
+
+    return run

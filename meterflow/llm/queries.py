@@ -46,7 +46,15 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.jaccard_join import similar_components
+
+    out = similar_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 REGISTRY = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
+    "op5_jaccard_join": op5_jaccard_join,
 }
