@@ -53,8 +53,22 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.line_quality import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.html_text import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 REGISTRY = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
     "op5_jaccard_join": op5_jaccard_join,
+    "op7_line_quality": op7_line_quality,
+    "op10_html_text": op10_html_text,
 }
