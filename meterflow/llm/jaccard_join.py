@@ -243,10 +243,11 @@ def _linked(k: int, percent: int):
 
 
 def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, tx, n_shingles, component_id``.
+    """One row per document: ``doc_id, tx, n_shingles, component_id, first``.
 
     Links are pairs with ``100 * |A & B| >= percent * |A | B|``. ``tx`` is the
-    xxhash64 of the text, which tells rows of one id apart.
+    xxhash64 of the text, which tells rows of one id apart; ``first`` marks the
+    component's row with the smallest id (then smallest ``tx``).
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -266,10 +267,29 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     roots = connected(links)
     names = classes.join(roots, F.col("cid") == F.col("node"), "left").select("key", "chk", F.coalesce("root", "cid").alias("root"))
     own = members.select("doc_id", "tx", "n", "key", "chk").join(names, ["key", "chk"], "left")
-    least = own.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = materialise(own.select("doc_id", "tx", "n", "root"), "set-members")
-    out = out.join(materialise(least, "component-names"), "root", "left")
-    return out.select("doc_id", "tx", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    own = materialise(own.select("doc_id", "tx", "n", "root"), "set-members")
+    least = own.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "tx")).alias("least"))
+    out = own.join(materialise(least, "component-names"), "root", "left")
+    lone = F.col("root").isNull()
+    return out.select(
+        "doc_id",
+        "tx",
+        F.col("n").alias("n_shingles"),
+        F.when(lone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+        (lone | (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("tx") == F.col("least.tx")))).alias("first"),
+    )
+
+
+def keep_first(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` without those that link, directly or not, to a smaller one; all columns.
+
+    Rows that repeat id and text stay together.
+    """
+    gone = similar_components(docs, k, percent, id_col, text_col).where(~F.col("first")).select(F.col("doc_id").alias("g_id"), F.col("tx").alias("g_tx")).distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("bigint").alias("d_id"), F.xxhash64(text).alias("d_tx"))
+    on = F.col("d_id").eqNullSafe(F.col("g_id")) & (F.col("d_tx") == F.col("g_tx"))
+    return row.join(gone, on, "left_anti").select("row.*")
 
 
 def _size_histogram(classes: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,10 +66,36 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def tokenizer_path() -> str:
+    return os.environ.get("METERFLOW_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    from meterflow.llm.sentencepiece_codec import BLANK, Model, decode_column, encode_documents
+
+    model = Model(model_path or tokenizer_path())
+    out = encode_documents(table(spark, sf_dir, "documents"), model)
+    plain = F.replace(F.coalesce("text", F.lit("")), F.lit(BLANK), F.lit(" "))
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_ids"),
+        "ids",
+        (decode_column(spark, model, F.col("ids")) == plain).alias("round_trip"),
+    )
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.decontaminate import find_matches
+
+    return find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_line_quality": op7_line_quality,
+    "op8_decontaminate": op8_decontaminate,
     "op10_html_text": op10_html_text,
 }
