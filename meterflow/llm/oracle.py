@@ -36,4 +36,14 @@ SELECT conv_id, count(*) AS n_turns,
 FROM judged GROUP BY conv_id
 """
 
-ORACLE = {"op3_exact_dedup": OP3, "op4_chat_format": OP4}
+OP2 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS digest FROM p),
+g AS (SELECT digest, max(page_id) AS response FROM d WHERE n >= 1000 GROUP BY digest)
+SELECT d.page_id, d.n AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN g.digest IS NULL OR d.page_id IS NOT DISTINCT FROM g.response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN g.digest IS NULL OR d.page_id IS NOT DISTINCT FROM g.response THEN NULL ELSE g.response END AS refers_to
+FROM d LEFT JOIN g ON d.n >= 1000 AND d.digest = g.digest
+"""
+
+ORACLE = {"op2_warc": OP2, "op3_exact_dedup": OP3, "op4_chat_format": OP4}

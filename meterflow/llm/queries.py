@@ -16,6 +16,12 @@ def fresh_index(spark: SparkSession) -> str:
     return f"digest_index_{uuid.uuid4().hex[:12]}"
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.warc import archive_and_read
+
+    return archive_and_read(table(spark, sf_dir, "pages"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.exact_dedup import dedup_batch
 
@@ -92,6 +98,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
     "op5_jaccard_join": op5_jaccard_join,
