@@ -60,6 +60,12 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.line_quality import score_documents
 
@@ -102,6 +108,7 @@ REGISTRY = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_line_quality": op7_line_quality,
     "op8_decontaminate": op8_decontaminate,
     "op10_html_text": op10_html_text,
