@@ -72,6 +72,22 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.pii import KINDS, find_pii, spans_text
+
+    out = find_pii(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+
+    return out.select(
+        "doc_id",
+        *[count(k) for k in KINDS[:4]],
+        F.sha2(spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        spans_text(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.html_text import extract_pages
 
@@ -111,5 +127,6 @@ REGISTRY = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_line_quality": op7_line_quality,
     "op8_decontaminate": op8_decontaminate,
+    "op9_pii": op9_pii,
     "op10_html_text": op10_html_text,
 }
