@@ -128,10 +128,10 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         if closing:
             if skip and tag == skip[0]:
                 skip.pop()
-            elif skip and tag in ("body", "html", "article", "main"):
-                skip.clear()
-            if tag in ("article", "main") and not skip:
-                article = max(article - 1, 0)
+            elif tag in ("body", "html", "article", "main"):
+                skip.clear()  # whatever was unwanted ends with what holds it
+                if tag in ("article", "main"):
+                    article = max(article - 1, 0)
         elif skip:
             if tag == skip[0]:
                 skip.append(tag)
