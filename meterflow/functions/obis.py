@@ -41,10 +41,6 @@ FIELD_PATTERNS = [
 DST_FLAG_PATTERN = r"^0-0:1\.0\.0\([0-9]{12}([WS])\)"
 
 
-def matches(line: Column, pattern: str) -> Column:
-    return line.rlike(pattern)
-
-
 def raw_match(line: Column, pattern: str, group: int) -> Column:
     """Captured text, or '' when the line does not match. Every group here
     captures at least one digit, so '' means no match."""
@@ -55,8 +51,3 @@ def typed(raw: Column, spark_type: str) -> Column:
     """Typed value of a ``raw_match``; null when it did not match."""
     value = raw if spark_type == "string" else raw.try_cast(spark_type)
     return F.when(raw != "", value)
-
-
-def extract(line: Column, pattern: str, group: int, spark_type: str) -> Column:
-    """Typed value of ``pattern`` group on ``line``; null when it does not match."""
-    return typed(raw_match(line, pattern, group), spark_type)

@@ -11,12 +11,14 @@ as a whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-_STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
+# No alternation inside a loop and possessive quantifiers: Java then matches in
+# a loop instead of one stack frame per character.
+_STRING_LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _NOT_BRACKET = r"[^\[\]{}]"
-_SCALAR = r'^\s*(-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|"(?:[^"\\]|\\.)*")\s*$'
+_SCALAR = r'^\s*(-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|"[^"\\]*+(?:\\.[^"\\]*+)*+")\s*$'
 
 REASON_NULL = "null_value"
 REASON_UTF8 = "invalid_utf8"
@@ -29,6 +31,15 @@ def as_text(value: Column) -> Column:
     return value.cast("string")
 
 
+def accept_repeated_keys(spark: SparkSession) -> None:
+    """Repeated keys of an object are accepted, the last one wins.
+
+    The parser takes this from a session setting; it is set here, so that a
+    payload is not judged by what session it happens to run in.
+    """
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def parse(value_text: Column) -> Column:
     return F.try_parse_json(value_text)
 

@@ -24,24 +24,30 @@ def parse_processing_ts(text: Column) -> Column:
     return F.when(text.rlike(RFC3339_PATTERN), F.try_to_timestamp(s))
 
 
-def utc_wall_clock(ts: Column, session_tz: str) -> Column:
-    """TIMESTAMP (an instant) to TIMESTAMP_NTZ holding its UTC wall clock."""
-    return F.to_utc_timestamp(ts, session_tz).cast("timestamp_ntz")
+def utc_wall_clock(ts: Column) -> Column:
+    """TIMESTAMP (an instant) to TIMESTAMP_NTZ holding its UTC wall clock.
 
+    Counts microseconds from the epoch, so the session's zone and its clock
+    changes play no part.
+    """
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
-def from_utc_wall_clock(ntz: Column, session_tz: str) -> Column:
+
+def from_utc_wall_clock(ntz: Column) -> Column:
     """TIMESTAMP_NTZ read as UTC wall clock to TIMESTAMP (an instant)."""
-    return F.from_utc_timestamp(ntz.cast("timestamp"), session_tz)
+    return F.concat(ntz.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")
 
 
-def zero_time(session_tz: str) -> Column:
+def zero_time() -> Column:
     """0001-01-01T00:00:00Z, the zero value of a Go time."""
-    return from_utc_wall_clock(F.lit(ZERO_TIME_UTC).cast("timestamp_ntz"), session_tz)
+    return from_utc_wall_clock(F.lit(ZERO_TIME_UTC))
 
 
-def rfc3339_utc(ts: Column, session_tz: str) -> Column:
+def rfc3339_utc(ts: Column) -> Column:
     """Format an instant as RFC 3339 in UTC, trailing fraction zeros dropped."""
-    wall = F.to_utc_timestamp(ts, session_tz)
-    base = F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss")
-    frac = F.regexp_replace(F.date_format(wall, "SSSSSS"), "0+$", "")
-    return F.concat(base, F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)), F.lit("Z"))
+    return F.concat(F.replace(utc_wall_clock(ts).cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+
+
+def p1_time(ntz: Column) -> Column:
+    """Wall clock as the twelve digits of a telegram, read off its text form (no zone involved)."""
+    return F.substring(F.regexp_replace(ntz.cast("string"), "[^0-9]", ""), 3, 12)

@@ -28,7 +28,6 @@ from ..schemas import (
     READING_FIELDS,
     ZERO_VALUES,
 )
-from ..session import session_time_zone
 from .scan import segmented_scan
 
 ELECTRICITY = "electricity"
@@ -96,9 +95,8 @@ def encode_updates(changes: DataFrame, processing_time: Column) -> Column:
 
     Unchanged fields are null in ``changes`` and left out of the text.
     """
-    tz = session_time_zone(changes.sparkSession)
     fields = {f: F.col(f) for f in ELECTRICITY_FIELDS + GAS_FIELDS}
-    fields["processingTimestampUTC"] = rfc3339_utc(processing_time, tz)
+    fields["processingTimestampUTC"] = rfc3339_utc(processing_time)
     fields["telegramTimestamp"] = F.col("telegramTimestamp")
     return F.to_json(F.struct(*[fields[k].alias(k) for k in PAYLOAD_KEYS]))
 

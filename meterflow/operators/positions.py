@@ -8,7 +8,8 @@ current ledger is the same reduction at read time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,6 @@ from ..schemas import LEDGER_COLUMNS
 
 LEDGER_KEY = ["consumer_group_id", "topic", "partition"]
 
-# Rows a lookup table may have before it is joined by shuffle instead of being
-# broadcast. One row per topic partition, so this is far above real use.
-BROADCAST_MAX_ROWS = 100_000
-
 
 def high_water(df: DataFrame, topic: str = "kafka_topic", partition: str = "kafka_partition",
                offset: str = "kafka_offset") -> DataFrame:
@@ -67,24 +64,17 @@ def last_offsets(spark: SparkSession, ledger: DataFrame, group_id: str, topics:
     return wanted.join(stored, "topic", "left")
 
 
-def small_enough_to_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check before a broadcast: counts at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def resume(messages: DataFrame, positions: DataFrame, topic: str = "topic", partition: str = "partition",
            offset: str = "offset") -> DataFrame:
     """Records after the stored position of their topic partition.
 
     Partitions without a stored position are read from the earliest record.
-    The positions table (one row per topic partition) is broadcast after a
-    size check, else joined by shuffle.
+    The join is left to the planner: it broadcasts the positions (one row per
+    topic partition) when their measured size is small. Works on streams too.
     """
     pos = positions.where(F.col("partition").isNotNull()).select(
         F.col("topic").alias("__r_topic"), F.col("partition").alias("__r_partition"), F.col("last_offset").alias("__r_last")
     )
-    if small_enough_to_broadcast(pos):
-        pos = F.broadcast(pos)
     cond = (F.col(topic) == F.col("__r_topic")) & (F.col(partition) == F.col("__r_partition"))
     joined = messages.join(pos, cond, "left")
     return joined.where(F.col("__r_last").isNull() | (F.col(offset) > F.col("__r_last"))).drop(
@@ -92,21 +82,23 @@ def resume(messages: DataFrame, positions: DataFrame, topic: str = "topic", part
     )
 
 
-def starting_offsets_json(rows: Sequence, topics: Sequence[str]) -> str:
+def starting_offsets_json(rows: Sequence, partitions: Mapping[str, Sequence[int]]) -> str:
     """Kafka ``startingOffsets`` JSON from collected lookup rows.
 
-    The next offset to read is the stored one plus one; partitions without a
-    stored position start at the earliest (-2). Collects one row per topic
-    partition, a bounded list.
+    ``partitions``: every partition of every subscribed topic. The connector
+    wants all of them listed: a stored partition starts one after its position,
+    one without a position at the earliest record (-2). A stored partition that
+    the topic no longer has is an error. One row per topic partition, a bounded
+    list.
     """
-    import json
-
-    out: dict[str, dict[str, int]] = {t: {} for t in topics}
+    out = {t: {str(p): -2 for p in sorted(ps)} for t, ps in partitions.items()}
     for r in rows:
-        if r["partition"] is None:
+        if r["partition"] is None or r["topic"] not in out:
             continue
-        out.setdefault(r["topic"], {})[str(r["partition"])] = int(r["last_offset"]) + 1
-    return json.dumps({t: p for t, p in out.items() if p}, sort_keys=True) if any(out.values()) else "earliest"
+        if str(r["partition"]) not in out[r["topic"]]:
+            raise ValueError(f"stored position of unknown partition {r['topic']}/{r['partition']}")
+        out[r["topic"]][str(r["partition"])] = int(r["last_offset"]) + 1
+    return json.dumps(out, sort_keys=True)
 
 
 def current_ledger(log: DataFrame) -> DataFrame:

@@ -9,15 +9,14 @@ absent times stay null or take zero values (E7).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.payload import as_text, malformed_reason, parse, string_key
+from ..functions.payload import accept_repeated_keys, as_text, malformed_reason, parse, string_key
 from ..functions.timestamps import parse_processing_ts, zero_time
 from ..schemas import DEFAULT_ELECTRICITY_TOPIC, DEFAULT_GAS_TOPIC, RAW_COLUMNS
-from ..session import session_time_zone
 
 REASON_UNKNOWN_TOPIC = "unknown_topic"
 
@@ -29,6 +28,7 @@ def route_messages(
     routes: Mapping[str, str] | None = None,
     on_malformed: str = "skip",
     absent: str = "null",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Kafka-shaped records -> raw columns plus ``route`` and ``reject_reason``.
 
@@ -37,14 +37,14 @@ def route_messages(
     ``route`` null). ``on_malformed="fail"`` raises instead for payloads of
     routed topics, failing the batch. ``absent="zero"`` fills a missing
     processing time with 0001-01-01T00:00:00Z and a missing telegram time
-    with an empty string.
+    with an empty string. ``keep``: record columns to pass through.
     """
     if on_malformed not in ("skip", "fail"):
         raise ValueError("on_malformed must be 'skip' or 'fail'")
     if absent not in ("null", "zero"):
         raise ValueError("absent must be 'null' or 'zero'")
     routes = dict(routes or DEFAULT_ROUTES)
-    tz = session_time_zone(messages.sparkSession)
+    accept_repeated_keys(messages.sparkSession)
 
     route = F.lit(None).cast("string")
     for topic, table in routes.items():
@@ -60,18 +60,17 @@ def route_messages(
     parsed = F.col("__parsed")
     payload_reason = malformed_reason(F.col("value"), text, parsed)
     if on_malformed == "fail":
-        payload_reason = F.when(
-            payload_reason.isNotNull(),
-            F.raise_error(F.concat(F.lit("malformed payload at "), F.col("topic"), F.lit("/"),
-                                   F.col("partition").cast("string"), F.lit("@"), F.col("offset").cast("string"),
-                                   F.lit(": "), payload_reason)),
-        ).cast("string")
+        # A filter, so that it is evaluated whatever columns are read later.
+        at = F.concat(F.coalesce(F.col("topic"), F.lit("?")), F.lit("/"), F.coalesce(F.col("partition").cast("string"), F.lit("?")),
+                      F.lit("@"), F.coalesce(F.col("offset").cast("string"), F.lit("?")))
+        bad = F.raise_error(F.concat(F.lit("malformed payload at "), at, F.lit(": "), payload_reason)).cast("boolean")
+        staged = staged.where(F.when(route.isNotNull() & payload_reason.isNotNull(), bad).otherwise(F.lit(True)))
     reason = F.when(route.isNull(), F.lit(REASON_UNKNOWN_TOPIC)).otherwise(payload_reason)
 
     processing = parse_processing_ts(string_key(parsed, "processingTimestampUTC"))
     telegram = string_key(parsed, "telegramTimestamp")
     if absent == "zero":
-        processing = F.coalesce(processing, zero_time(tz))
+        processing = F.coalesce(processing, zero_time())
         telegram = F.coalesce(telegram, F.lit(""))
 
     return staged.select(
@@ -84,6 +83,7 @@ def route_messages(
         text.alias("raw_data"),
         F.when(reason.isNull(), route).alias("route"),
         reason.alias("reject_reason"),
+        *keep,
     )
 
 

@@ -6,7 +6,20 @@ plans with plain windows; they only have to be right, not fast.
 
 from __future__ import annotations
 
-from .functions.obis import FIELD_PATTERNS
+# Written out here, apart from the engine's own, so that a wrong pattern there
+# shows: (field, line code, value as a regular expression, group, kind).
+FIELDS = [
+    ("timestamp", "0-0:1.0.0", "[(](\\d{12})[WS][)]", 1, "string"),
+    ("electricityConsumption1", "1-0:1.8.1", "[(](\\d+[.]\\d{3})[*]kWh[)]", 1, "double"),
+    ("electricityConsumption2", "1-0:1.8.2", "[(](\\d+[.]\\d{3})[*]kWh[)]", 1, "double"),
+    ("electricityProduction1", "1-0:2.8.1", "[(](\\d+[.]\\d{3})[*]kWh[)]", 1, "double"),
+    ("electricityProduction2", "1-0:2.8.2", "[(](\\d+[.]\\d{3})[*]kWh[)]", 1, "double"),
+    ("currentTariff", "0-0:96.14.0", "[(](\\d{4})[)]", 1, "int"),
+    ("currentConsumption", "1-0:1.7.0", "[(](\\d+[.]\\d{3})[*]kW[)]", 1, "double"),
+    ("currentProduction", "1-0:2.7.0", "[(](\\d+[.]\\d{3})[*]kW[)]", 1, "double"),
+    ("gasTimestamp", "0-1:24.2.1", "[(](\\d{12})[WS][)][(]\\d+[.]\\d{3}[*]m3[)]", 1, "string"),
+    ("gasConsumption", "0-1:24.2.1", "[(]\\d{12}[WS][)][(](\\d+[.]\\d{3})[*]m3[)]", 1, "double"),
+]
 
 
 def _num(c: str) -> str:
@@ -82,7 +95,8 @@ framed AS (
   WHERE first_slash IS NOT NULL AND pos >= first_slash AND telegram_no < bangs AND line <> '')"""
 
 
-def _field_sql(field: str, pattern: str, group: int, kind: str) -> str:
+def _field_sql(field: str, code: str, value: str, group: int, kind: str) -> str:
+    pattern = "^" + code.replace(".", "[.]") + value
     zero = "''" if kind == "string" else "0"
     extracted = f"regexp_extract(line, '{pattern}', {group})"
     if kind == "double":
@@ -95,7 +109,7 @@ def _field_sql(field: str, pattern: str, group: int, kind: str) -> str:
 READINGS = FRAMED + """,
 readings AS (
   SELECT meter_id, telegram_no, min(seq) AS seq,
-    """ + ",\n    ".join(_field_sql(*fp) for fp in FIELD_PATTERNS) + """
+    """ + ",\n    ".join(_field_sql(*fp) for fp in FIELDS) + """
   FROM framed GROUP BY meter_id, telegram_no)"""
 
 ELEC = [
@@ -306,6 +320,18 @@ def _roundtrip() -> str:
     return "WITH " + ctes + f"\nSELECT meter_id, topic, \"telegramTimestamp\", {cols} FROM ({inner}) x"
 
 
+PAYLOAD_EDGES = """
+SELECT event_id AS kafka_offset,
+  CASE WHEN event_id % 5 <> 0 THEN 'gas' END AS route,
+  CASE WHEN event_id % 5 = 0 THEN 'malformed_json' END AS reject_reason,
+  strftime(ts, '%y%m%d%H%M%S') AS telegram_timestamp,
+  length('{"telegramTimestamp":"old","pad":"') + 2000 + event_id % 5000
+    + CASE WHEN event_id % 3 = 0 THEN 6 ELSE 0 END + length('","telegramTimestamp":"') + 12 + length('"}')
+    + CASE WHEN event_id % 5 = 0 THEN 5 ELSE 0 END AS n_chars
+FROM events
+"""
+
+
 def registry() -> dict[str, str]:
     return {
         "frame_telegrams": frame_telegrams(),
@@ -365,5 +391,6 @@ WHERE l.last_offset IS NULL OR m."offset" > l.last_offset""",
             "max(kafka_offset) AS last_offset FROM routed GROUP BY 2, 3",
         ),
         "stream_changes": detect_changes(),
+        "payload_edges": PAYLOAD_EDGES,
         "publish_roundtrip": _roundtrip(),
     }

@@ -6,27 +6,11 @@ in ``foreachBatch`` (``meterflow.streaming.ingest``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.positions import high_water, ledger_updates, upsert_ledger
-from ..operators.routing import DEFAULT_ROUTES, raw_rows, rejected_rows, route_messages
+from ..operators.routing import DEFAULT_ROUTES, route_messages
 from ..sources import fixtures
 
 
 def fixture_routed(spark: SparkSession, sf_dir: str, on_malformed: str = "skip", absent: str = "null") -> DataFrame:
     return route_messages(fixtures.messages(spark, sf_dir), DEFAULT_ROUTES, on_malformed, absent)
-
-
-def ingest_positions(routed: DataFrame, ledger: DataFrame, group_id: str, updated_at: Column) -> DataFrame:
-    """New ledger after a batch: every consumed record counts, rejected ones too."""
-    return upsert_ledger(ledger, ledger_updates(high_water(routed), group_id, updated_at))
-
-
-def split_outputs(routed: DataFrame) -> dict[str, DataFrame]:
-    out = {table: raw_rows(routed, table) for table in sorted(set(DEFAULT_ROUTES.values()))}
-    out["rejects"] = rejected_rows(routed)
-    return out
-
-
-__all__ = ["fixture_routed", "ingest_positions", "split_outputs", "F"]

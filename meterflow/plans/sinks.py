@@ -2,34 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.positions import high_water, small_enough_to_broadcast
-from ..operators.scan import segmented_scan
-from ..schemas import RAW_COLUMNS
-from ..sources.topics import FILE_LOG_SCHEMA, kafka_available
+from ..functions.timestamps import utc_wall_clock
+from ..sources.topics import kafka_available
 
 
-def publish(
-    records: DataFrame,
-    bootstrap_servers: str | None = None,
-    path: str | None = None,
-    partitions: int = 8,
-    order: Sequence[str] = ("key",),
-    block: Column | None = None,
-) -> None:
+def publish(records: DataFrame, bootstrap_servers: str | None = None, path: str | None = None) -> None:
     """Write ``(key, value, topic, timestamp)`` records to topics (A3).
 
-    With a broker the Kafka sink assigns partitions and offsets. Otherwise the
-    records are appended to a file topic log: partition = hash of the key
-    modulo ``partitions`` (one meter stays in one partition, in order), and
-    offsets continue each partition's log densely in ``order``. Offsets come
-    from a block scan keyed by (topic, partition); ``block`` must not
-    decrease along ``order``.
+    With a broker, the Kafka sink: the broker assigns partitions and offsets.
+    Else a plain append to a file topic log; a log has no broker to number its
+    records, so ``partition`` and ``offset`` are columns of ``records`` then.
     """
     if bootstrap_servers:
         if not kafka_available(records.sparkSession):
@@ -39,35 +28,11 @@ def publish(
         return
     if not path:
         raise ValueError("give bootstrap_servers or a file topic log path")
-    spark = records.sparkSession
-    keyed = records.withColumn("partition", F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(partitions)).cast("int"))
-    numbered = segmented_scan(
-        keyed,
-        keys=["topic", "partition"],
-        block=block if block is not None else F.lit(0),
-        order=list(order),
-        sums={"__n": F.lit(1).cast("long")},
-        inclusive=False,
-    )
-    try:
-        existing = spark.read.schema(FILE_LOG_SCHEMA).parquet(path)
-        base = high_water(existing, "topic", "partition", "offset").select(
-            F.col("topic").alias("__b_topic"), F.col("partition").alias("__b_partition"),
-            (F.col("last_offset") + 1).alias("__base"),
-        )
-        if small_enough_to_broadcast(base):
-            base = F.broadcast(base)
-        numbered = numbered.join(
-            base, (F.col("topic") == F.col("__b_topic")) & (F.col("partition") == F.col("__b_partition")), "left"
-        )
-        offset = F.coalesce(F.col("__base"), F.lit(0)) + F.col("__n")
-    except Exception:  # noqa: BLE001 - no log yet
-        offset = F.col("__n")
-    out = numbered.select(
+    out = records.select(
         F.col("key").cast("string").cast("binary").alias("key"),
         F.col("value").cast("string").cast("binary").alias("value"),
-        F.col("partition"),
-        offset.cast("long").alias("offset"),
+        F.col("partition").cast("int").alias("partition"),
+        F.col("offset").cast("long").alias("offset"),
         F.col("timestamp"),
         F.lit(0).alias("timestampType"),
         F.col("topic"),
@@ -82,6 +47,8 @@ def overwrite_batch(rows: DataFrame, table: str, ingest_id: str, batch_id: int,
     replaced whatever the session's partition overwrite mode; ``dynamic``
     partition columns below it (such as ``day``) come from the rows.
     """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", ingest_id):
+        raise ValueError("ingest_id may hold letters, digits, '_', '.' and '-' only")
     spark = rows.sparkSession
     target = [c for c in spark.table(table).columns if c not in ("ingest_id", "batch_id")]
     view = f"__meterflow_batch_{uuid.uuid4().hex[:12]}"
@@ -104,12 +71,5 @@ def append_raw(rows: DataFrame, table: str, ingest_id: str, batch_id: int, day:
     cols = [c for c in rows.columns if c not in ("ingest_id", "batch_id", "day")]
     out = rows.select(*cols)
     if day:
-        out = out.withColumn("day", F.to_date(F.to_utc_timestamp(F.col("kafka_timestamp"), _tz(rows))))
+        out = out.withColumn("day", F.to_date(utc_wall_clock(F.col("kafka_timestamp"))))
     overwrite_batch(out, table, ingest_id, batch_id, dynamic=["day"] if day else [])
-
-
-def _tz(df: DataFrame) -> str:
-    return df.sparkSession.conf.get("spark.sql.session.timeZone")
-
-
-__all__ = ["publish", "append_raw", "RAW_COLUMNS"]

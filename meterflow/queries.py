@@ -64,9 +64,8 @@ def _processing_time(spark: SparkSession):
 
 def _utc(spark: SparkSession, col):
     from .functions.timestamps import utc_wall_clock
-    from .session import session_time_zone
 
-    return utc_wall_clock(F.col(col) if isinstance(col, str) else col, session_time_zone(spark))
+    return utc_wall_clock(F.col(col) if isinstance(col, str) else col)
 
 
 def _change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,9 +155,8 @@ OTHER_GROUP = "p1-audit-group"
 
 def _ts(spark: SparkSession, text: str):
     from .functions.timestamps import from_utc_wall_clock
-    from .session import session_time_zone
 
-    return from_utc_wall_clock(F.lit(text).cast("timestamp_ntz"), session_time_zone(spark))
+    return from_utc_wall_clock(F.lit(text))
 
 
 def _ledgers(spark: SparkSession, sf_dir: str):
@@ -235,6 +233,27 @@ def resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rs(msgs, pos).select("topic", "partition", "offset")
 
 
+@register
+def payload_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 + E6: long strings, repeated keys, escapes and text after the object, one payload per event."""
+    from .functions.timestamps import p1_time
+    from .operators.routing import route_messages as rm
+    from .sources.fixtures import events
+
+    eid = F.col("event_id")
+    pad = F.expr("repeat('x', cast(2000 + event_id % 5000 as int))")
+    quoted = F.when(eid % 3 == 0, F.lit('\\"}{\\\\')).otherwise(F.lit(""))
+    value = F.concat(
+        F.lit('{"telegramTimestamp":"old","pad":"'), pad, quoted, F.lit('","telegramTimestamp":"'), p1_time(F.col("ts")), F.lit('"}'),
+        F.when(eid % 5 == 0, F.lit(" more")).otherwise(F.lit("")),
+    )
+    records = events(spark, sf_dir).select(
+        F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit("p1-gas").alias("topic"),
+        F.lit(0).alias("partition"), eid.cast("long").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"),
+    )
+    return rm(records).select("kafka_offset", "route", "reject_reason", "telegram_timestamp", F.length("raw_data").cast("bigint").alias("n_chars"))
+
+
 # --- consumer-side obligations ----------------------------------------------
 
 @register
@@ -275,11 +294,24 @@ def rebuild_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # These write derived inputs into a fresh folder under the session's
 # checkpoint root (``session.work_dir``), then run the job over them.
 
-def _write_in_order(df: DataFrame, path: str, chunk: str, chunks: int) -> None:
-    """Write ``df`` in ``chunks`` sequential appends by ``chunk`` value, so
-    that a file stream sees earlier chunks first."""
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, kept in a fresh folder."""
+    from .session import work_dir
+
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _write_in_order(df: DataFrame, path: str, chunk: str, chunks: int, key: list[str]) -> None:
+    """Write ``df`` in ``chunks`` sequential appends by ``chunk`` value.
+
+    An append holds all rows of a ``key`` in one file, so a file stream reads
+    a key in order however many files it takes per micro-batch.
+    """
     for c in range(chunks):
-        df.where(F.col(chunk) == c).drop(chunk).write.mode("append").parquet(path)
+        df.where(F.col(chunk) == c).drop(chunk).repartition(*key).write.mode("append").parquet(path)
 
 
 @register
@@ -293,7 +325,7 @@ def capture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = work_dir(spark, "captures")
     t = fixtures.telegrams(spark, sf_dir)
-    (t.repartitionByRange(8, "meter_id", "seq").sortWithinPartitions("meter_id", "seq")
+    (t.repartitionByRange("meter_id", "seq").sortWithinPartitions("meter_id", "seq")
      .select("meter_id", "telegram").write.partitionBy("meter_id").text(path))
     lines = capture_source(spark, path)
     order = ["capture_file", "split_start", "pos"]
@@ -334,7 +366,7 @@ def _stream_ingest_run(spark: SparkSession, sf_dir: str):
     msgs = fixtures.messages(spark, sf_dir)
     # Four appends in time order; the stream drains them two files at a time.
     chunked = msgs.withColumn("__chunk", F.floor((F.dayofmonth(_utc(spark, "timestamp")) - 1) * 4 / 31).cast("int"))
-    _write_in_order(chunked.repartition(2), log, "__chunk", 4)
+    _write_in_order(_stored(chunked, "records"), log, "__chunk", 4, ["topic", "partition"])
     ns = f"meterflow_{uuid.uuid4().hex[:8]}"
     names = setup_tables(spark, ns, work_dir(spark, "warehouse"), reset=True)
     src = topic_source(spark, ["p1-electricity", "p1-gas", "p1-unknown"], stream=True, path=log, max_per_batch=2)
@@ -372,11 +404,12 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .streaming.changes import stream_changes as sc
 
     readings = producer.fixture_readings(spark, sf_dir).where(F.col("valid")).select("meter_id", "seq", *READING_FIELDS)
-    src_path = work_dir(spark, "readings")
+    readings = _stored(readings, "readings")
+    src_path = work_dir(spark, "appends")
     # Four appends by sequence range; the driver reads one scalar (the top seq).
     top = readings.agg(F.max("seq")).first()[0] or 0
     chunked = readings.withColumn("__chunk", F.floor(F.col("seq") * 4 / (top + 1)).cast("int"))
-    _write_in_order(chunked, src_path, "__chunk", 4)
+    _write_in_order(chunked, src_path, "__chunk", 4, ["meter_id"])
     stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", "8").parquet(src_path)
     out = work_dir(spark, "changes")
     q = (sc(stream).writeStream.format("parquet").option("path", out)
@@ -391,28 +424,31 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 + A1 + E + G: publish update records to a topic log, read them back,
     rebuild full readings per meter in offset order."""
-    from .operators.rebuild import rebuild_readings as rb
-    from .operators.rebuild import typed_payload as tp
-    from .operators.routing import raw_rows, route_messages
-    from .operators.scan import block_of
+    from .operators.routing import route_messages
+    from .operators.scan import block_of, segmented_scan
     from .plans.sinks import publish
     from .session import work_dir
     from .sources.topics import topic_source
 
     log = work_dir(spark, "published")
-    msgs = _change_messages(spark, sf_dir)
-    publish(msgs.select("key", "value", "topic", "timestamp", "seq"), path=log, partitions=4,
-            order=["key", "seq"], block=F.struct(F.col("key"), block_of(F.col("seq"))))
-    records = topic_source(spark, ["p1-electricity", "p1-gas"], stream=False, path=log)
-    routed = route_messages(records).join(
-        records.select(F.col("topic").alias("kafka_topic"), F.col("partition").alias("kafka_partition"),
-                       F.col("offset").alias("kafka_offset"), F.col("key").cast("string").alias("meter")),
-        ["kafka_topic", "kafka_partition", "kafka_offset"],
+    # A file log has no broker: positions come with the records, dense per
+    # topic partition in meter and sequence order.
+    msgs = _change_messages(spark, sf_dir).withColumn("partition", (F.col("meter_id") % 4).cast("int"))
+    msgs = segmented_scan(
+        msgs,
+        keys=["topic", "partition"],
+        block=F.struct(F.col("meter_id"), block_of(F.col("seq"))),
+        order=["meter_id", "seq"],
+        sums={"offset": F.lit(1).cast("long")},
+        inclusive=False,
     )
+    publish(msgs, path=log)
+    records = topic_source(spark, ["p1-electricity", "p1-gas"], stream=False, path=log)
+    routed = route_messages(records, keep=["key"]).withColumn("meter", F.col("key").cast("string"))
     from .operators.rebuild import rebuild_all, typed_payload_all
 
     accepted = routed.where(F.col("reject_reason").isNull())
-    typed = typed_payload_all(accepted).drop("processingTimestampUTC")
+    typed = typed_payload_all(accepted).drop("processingTimestampUTC", "key")
     rebuilt = rebuild_all(typed, "kafka_topic", TOPIC_KINDS, key=["meter"], order=["kafka_offset"],
                           block=block_of(F.col("kafka_offset")))
     out = rebuilt.select(F.col("meter").cast("long").alias("meter_id"), F.col("kafka_topic").alias("topic"),

@@ -29,13 +29,16 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "meterflow", shuffle_partitions: int = 8, **extra) -> SparkSession:
+def build_session(master: str = "local[*]", app: str = "meterflow", shuffle_partitions: int | None = None, **extra) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master.startswith("local"):
-        # Local mode runs everything in the driver JVM.
+    if is_local(master):
+        # Local mode runs everything in the driver JVM. A cluster keeps its own
+        # number of reducers: adaptive execution only ever lowers it.
         conf["spark.driver.memory"] = "8g"
+        shuffle_partitions = shuffle_partitions or 8
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update({k.replace("__", "."): str(v) for k, v in extra.items()})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -44,8 +47,16 @@ def build_session(master: str = "local[*]", app: str = "meterflow", shuffle_part
     return spark
 
 
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set to a temp folder if unset."""
+    """The shared checkpoint folder of the session.
+
+    If none is set, a temporary folder in local mode; an error on a cluster,
+    where every executor would write to a disk of its own.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -54,6 +65,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = jdir.get()
     if not root:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="meterflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         try:

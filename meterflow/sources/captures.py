@@ -9,27 +9,34 @@ travel between them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.scan import segmented_scan
 
+def capture_source(spark: SparkSession, path: str, where: Column | str | None = None, **options: str) -> DataFrame:
+    """Lines of all capture files under ``path``, nested folders included.
 
-def capture_source(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Lines of all capture files under ``path``.
+    ``where``: a filter on the folder layout's columns. It is applied below the
+    row ids, so it prunes folders. Lines end at LF only; a CR is part of the
+    line (framing trims it).
 
     Columns: partition columns of the folder layout (for example
     ``meter_id``), ``capture_file``, ``split_start``, ``pos``, ``line``.
     ``(capture_file, split_start, pos)`` orders the lines of a file.
     """
-    reader = spark.read
+    reader = spark.read.option("lineSep", "\n")
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.text(path)
     parts = [c for c in df.columns if c != "value"]
+    if not parts and "recursiveFileLookup" not in options:
+        # No partition folders: plain nested folders are searched as well.
+        df = reader.option("recursiveFileLookup", "true").text(path)
+    if where is not None:
+        df = df.where(where)
     return df.select(
         *parts,
-        F.col("_metadata.file_name").alias("capture_file"),
+        F.col("_metadata.file_path").alias("capture_file"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
@@ -38,16 +45,3 @@ def capture_source(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 def capture_block():
     return F.struct(F.col("capture_file"), F.col("split_start"))
-
-
-def numbered_lines(lines: DataFrame, capture: list[str]) -> DataFrame:
-    """Dense ``line_no`` (from 0) per capture, in file order."""
-    scanned = segmented_scan(
-        lines,
-        keys=capture,
-        block=capture_block(),
-        order=["capture_file", "split_start", "pos"],
-        sums={"line_no": F.lit(1).cast("long")},
-        inclusive=False,
-    )
-    return scanned

@@ -28,10 +28,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timestamps import from_utc_wall_clock, rfc3339_utc
+from ..functions.timestamps import from_utc_wall_clock, p1_time, rfc3339_utc
 from ..operators.scan import DEFAULT_BLOCK_ROWS, block_of, segmented_scan
 from ..schemas import DEFAULT_ELECTRICITY_TOPIC, DEFAULT_GAS_TOPIC
-from ..session import session_time_zone
 
 UNKNOWN_TOPIC = "p1-unknown"
 
@@ -49,10 +48,6 @@ def _num(c: Column) -> Column:
     return F.concat(padded, F.lit("."), F.lpad(frac, 3, "0"))
 
 
-def _p1_time(ts: Column) -> Column:
-    return F.date_format(ts, "yyMMddHHmmss")
-
-
 def meter_registers(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Per event: meter, sequence number and running registers in thousandths."""
     ev = events(spark, sf_dir)
@@ -107,7 +102,7 @@ def telegrams(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_
         F.lit("/SYN5"),
         F.when(has(37), F.lit("/XYZ5")),
         F.lit(""),
-        line(F.concat(F.lit("0-0:1.0.0("), _p1_time(F.col("ts")), F.lit("W)")), has(23)),
+        line(F.concat(F.lit("0-0:1.0.0("), p1_time(F.col("ts")), F.lit("W)")), has(23)),
         line(F.concat(F.lit("1-0:1.8.1("), _num(F.col("c1")), F.lit("*kWh)"))),
         line(F.concat(F.lit("1-0:1.8.2("), _num(F.col("c2")), F.lit("*kWh)"))),
         line(F.concat(F.lit("1-0:2.8.1("), _num(F.col("p1")), F.lit("*kWh)"))),
@@ -119,7 +114,7 @@ def telegrams(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_
         line(
             F.concat(
                 F.lit("0-1:24.2.1("),
-                _p1_time(F.date_trunc("hour", F.col("ts"))),
+                F.rpad(F.left(p1_time(F.col("ts")), F.lit(8)), 12, "0"),
                 F.lit("W)("),
                 _num(F.col("gas")),
                 F.lit("*m3)"),
@@ -155,7 +150,6 @@ def messages(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_R
     ``% 73`` text after the object, ``% 71`` JSON null, ``% 67`` a time with
     offset and nine fraction digits, ``% 61`` a bare year as time.
     """
-    tz = session_time_zone(spark)
     ev = events(spark, sf_dir)
     et = F.col("event_type")
     topic = (
@@ -181,14 +175,15 @@ def messages(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_R
     )
     eid = F.col("event_id")
     v = (F.round(F.col("value") * 100).cast("long") * 10).cast("string")
-    tf = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    wall = F.col("ts").cast("timestamp_ntz").cast("string")
+    tf = F.concat(F.left(wall, F.lit(10)), F.lit("T"), F.substring(wall, 12, 8), F.lit("."), F.rpad(F.substring(wall, 21, 6), 6, "0"))
     good = F.concat(
         F.lit('{"currentConsumption":'),
         v,
         F.lit(',"processingTimestampUTC":"'),
         tf,
         F.lit('Z","telegramTimestamp":"'),
-        _p1_time(F.col("ts")),
+        p1_time(F.col("ts")),
         F.lit('"}'),
     )
     value = (
@@ -202,9 +197,9 @@ def messages(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_R
             eid % 67 == 0,
             F.concat(
                 F.lit('{"processingTimestampUTC":"'),
-                F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+                tf,
                 F.lit('789+02:00","telegramTimestamp":"'),
-                _p1_time(F.col("ts")),
+                p1_time(F.col("ts")),
                 F.lit('"}'),
             ),
         )
@@ -217,14 +212,14 @@ def messages(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_R
         "topic",
         "partition",
         F.col("offset").cast("long").alias("offset"),
-        from_utc_wall_clock(F.col("ts"), tz).alias("timestamp"),
+        from_utc_wall_clock(F.col("ts")).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
 
 
 def processing_time_constant(spark: SparkSession, text: str = "2024-02-01 00:00:00") -> Column:
     """A fixed processing time (UTC) for reproducible runs."""
-    return from_utc_wall_clock(F.lit(text).cast("timestamp_ntz"), session_time_zone(spark))
+    return from_utc_wall_clock(F.lit(text))
 
 
 __all__ = [

@@ -1,10 +1,15 @@
 """Change detection on a stream of readings (D1 stateful).
 
-State per meter is its last valid reading (ten values, no timeout). Within a
-micro-batch a meter's readings are sorted by ``seq`` and compared with the
-previous one vectorised in pandas; the last becomes the new state. A
-micro-batch is bounded by the source's per-trigger cap, so even a busy meter
-hands one task a bounded group.
+State per meter is its last valid reading and that reading's order value (no
+timeout). Within a micro-batch a meter's readings are sorted and compared with
+the previous one vectorised in pandas; the last becomes the new state.
+
+Across micro-batches the source has to deliver a meter in order, as a topic
+partition does, and as files do when every append holds a meter in one file. A
+reading that still comes late (its order value is not above the state's) is
+never compared and never becomes the state: it is returned as a row with topic
+``late``. A meter's rows of one micro-batch are held in memory together, so a
+busy stream needs the source's per-trigger cap; the cap does not change results.
 """
 
 from __future__ import annotations
@@ -18,7 +23,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..schemas import ELECTRICITY_FIELDS, FIELD_TYPES, GAS_FIELDS, READING_FIELDS, ZERO_VALUES
 
-STATE_SCHEMA = T.StructType([T.StructField(f, FIELD_TYPES[f]) for f in READING_FIELDS])
+LATE = "late"
+STATE_SCHEMA = T.StructType([T.StructField(f, FIELD_TYPES[f]) for f in READING_FIELDS] + [T.StructField("__at", T.LongType())])
 
 
 def output_schema(key: str, order: str) -> T.StructType:
@@ -37,15 +43,35 @@ def _py(v):
     return v.item() if hasattr(v, "item") else v
 
 
+def _typed(field: str, col: pd.Series) -> pd.Series:
+    if field == "currentTariff":
+        return col.astype("Int32")
+    return col.astype("float64" if FIELD_TYPES[field] == T.DoubleType() else object)
+
+
+def _empty_rows(pdf: pd.DataFrame, key: str, order: str) -> pd.DataFrame:
+    rows = pd.DataFrame({key: pdf[key], order: pdf[order], "topic": LATE, "telegramTimestamp": pdf["timestamp"]})
+    for f in ELECTRICITY_FIELDS + GAS_FIELDS:
+        rows[f] = _typed(f, pd.Series([None] * len(pdf), index=pdf.index))
+    return rows
+
+
 def _changes_for_meter(key: str, order: str):
     topic_fields = {"electricity": ELECTRICITY_FIELDS, "gas": GAS_FIELDS}
 
     def fn(group_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
+        first = not state.exists
+        held = state.get if state.exists else None
+        # Not above the state's order value, or a repeat of one: late.
+        late = pdf[order].duplicated() | (pdf[order] <= held[-1] if held else False)
+        if late.any():
+            out_of_order = pdf[late]
+            yield _empty_rows(out_of_order, key, order)
+            pdf = pdf[~late].reset_index(drop=True)
         if pdf.empty:
             return
-        first = not state.exists
-        start = dict(zip(READING_FIELDS, state.get)) if state.exists else dict(ZERO_VALUES)
+        start = dict(zip(READING_FIELDS, held)) if held else dict(ZERO_VALUES)
         prev = pdf[READING_FIELDS].shift(1)
         for f in READING_FIELDS:
             prev.loc[0, f] = start[f]
@@ -62,20 +88,10 @@ def _changes_for_meter(key: str, order: str):
                 {key: pdf[key], order: pdf[order], "topic": topic, "telegramTimestamp": pdf["timestamp"]}
             )
             for f in ELECTRICITY_FIELDS + GAS_FIELDS:
-                if f in fields:
-                    col = pdf[f].where(changed[f], None)
-                else:
-                    col = pd.Series([None] * len(pdf))
-                if f == "currentTariff":
-                    col = col.astype("Int32")
-                elif FIELD_TYPES[f] == T.DoubleType():
-                    col = col.astype("float64")
-                else:
-                    col = col.astype(object)
-                rows[f] = col
+                rows[f] = _typed(f, pdf[f].where(changed[f], None) if f in fields else pd.Series([None] * len(pdf)))
             out.append(rows[emit.values])
         last = pdf.iloc[-1]
-        state.update(tuple(_py(last[f]) for f in READING_FIELDS))
+        state.update((*(_py(last[f]) for f in READING_FIELDS), int(last[order])))
         if out:
             yield pd.concat(out, ignore_index=True)
 

@@ -1,5 +1,9 @@
 """Streaming ingest (A1 -> E1..E7 -> A4, F1 -> F2, F5 - F7).
 
+Batch numbers restart with a new checkpoint, so the write position of a stream
+also holds a token that is stored beside its checkpoint: another checkpoint
+writes to partitions of its own and never replaces what an earlier one wrote.
+
 One micro-batch is routed once, then written to the two raw tables, the
 rejects table and the position log, each into the batch's own
 ``(ingest_id, batch_id)`` partition. The checkpoint is the authority on what
@@ -11,6 +15,7 @@ raw tables at any time with ``operators.positions.high_water``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
@@ -51,6 +56,14 @@ def ingest_batch(
         routed.unpersist()
 
 
+def checkpoint_token(spark: SparkSession, checkpoint: str) -> str:
+    """The token of a checkpoint folder, made on first use and stored in it."""
+    path = f"{checkpoint.rstrip('/')}/write-position"
+    fresh = spark.createDataFrame([(uuid.uuid4().hex[:12],)], "token string")
+    fresh.coalesce(1).write.mode("ignore").text(path)
+    return spark.read.text(path).first()[0]
+
+
 def start_ingest(
     records: DataFrame,
     tables: Mapping[str, str],
@@ -65,10 +78,14 @@ def start_ingest(
     available_now: bool = False,
     updated_at: Column | None = None,
 ):
-    """Start the ingest stream (F5: ``processing_time`` trigger; F6: ``available_now`` drain)."""
+    """Start the ingest stream (F5: ``processing_time`` trigger; F6: ``available_now`` drain).
+
+    Rows are written under ``<ingest_id>-<token of the checkpoint>``.
+    """
+    position = f"{ingest_id}-{checkpoint_token(records.sparkSession, checkpoint)}"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, tables, ingest_id, group_id, routes, on_malformed, absent, day, updated_at)
+        ingest_batch(batch, batch_id, tables, position, group_id, routes, on_malformed, absent, day, updated_at)
 
     writer = records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName(
         f"ingest_{ingest_id}"
@@ -78,7 +95,3 @@ def start_ingest(
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
-
-
-def read_raw(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
