@@ -1,4 +1,8 @@
+import pytest
+
 import __spark_entry__ as entry
+from meterflow import oracle
+from meterflow.queries import REGISTRY
 
 from .conftest import SF_SMALL
 
@@ -10,19 +14,41 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle(spark):
-    q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) == set(o)
+    assert set(REGISTRY) == set(oracle.registry())
+    assert set(REGISTRY) <= set(entry.queries()) and set(oracle.registry()) <= set(entry.oracle_sql())
+
+
+def values(rows):
+    return sorted(tuple(str(x) for x in r) for r in rows)
 
 
-def test_oracle_agrees_on_small_tables(spark):
+@pytest.fixture(scope="module")
+def duck():
     import duckdb
 
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
-    for name in ["parse_readings", "detect_changes", "route_messages", "raw_electricity", "upsert_ledger"]:
-        df = entry.queries()[name](spark, SF_SMALL)
-        rel = con.sql(entry.oracle_sql()[name])
-        assert sorted(df.columns) == sorted(rel.columns), name
-        s = sorted(map(lambda r: tuple(str(x) for x in r), df.select(*sorted(df.columns)).collect()))
-        d = sorted(map(lambda r: tuple(str(x) for x in r), rel.select(*[f'"{c}"' for c in sorted(rel.columns)]).fetchall()))
-        assert s == d, name
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_oracle_agrees_on_small_tables(spark, duck, name):
+    df = REGISTRY[name](spark, SF_SMALL)
+    rel = duck.sql(oracle.registry()[name])
+    cols = sorted(df.columns)
+    assert cols == sorted(rel.columns)
+    theirs = rel.select(*[f'"{c}"' for c in cols]).fetchall()
+    assert values(df.select(*cols).collect()) == values(theirs)
+
+
+@pytest.mark.parametrize("name", ["change_messages", "raw_electricity", "raw_zero_fill", "upsert_ledger", "payload_edges"])
+def test_results_do_not_depend_on_the_session_zone(spark, name):
+    cols = sorted(REGISTRY[name](spark, SF_SMALL).columns)
+    seen = []
+    for zone in ("UTC", "Europe/Amsterdam"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            seen.append(values(REGISTRY[name](spark, SF_SMALL).select(*cols).collect()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seen[0] == seen[1]

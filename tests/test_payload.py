@@ -60,3 +60,33 @@ def test_unknown_topic_and_fail_policy(spark):
 
     with pytest.raises(Exception):
         route_messages(df, on_malformed="fail").collect()
+
+
+def test_long_strings_deep_nesting_and_repeated_keys_in_a_default_session(spark):
+    plain = spark.newSession()  # none of the package's settings
+    assert plain.conf.get("spark.sql.variant.allowDuplicateKeys") in ("false", "true")
+    plain.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    big = "x" * 1_000_000
+    vals = [
+        '{"a":"%s"}' % big,
+        '{"a":"%s"} tail' % big,
+        '{"a":"%s"}' % ('\\"\\\\' * 200_000),
+        '"%s"' % big,
+        '{"a":1,"telegramTimestamp":"first","telegramTimestamp":"last"}',
+        '{"a":%s1%s}' % ("[" * 400, "]" * 400),
+    ]
+    r = route(plain, [b(v) for v in vals])
+    assert [r[i].reject_reason for i in range(len(vals))] == [None, "malformed_json", None, "not_an_object", None, None]
+    assert r[4].telegram_timestamp == "last"
+
+
+def test_fail_policy_raises_whatever_is_selected(spark):
+    import pytest
+
+    df = spark.createDataFrame(
+        [(None, b"[1]", "p1-gas", 0, 7, None, 0), (None, b"[1]", "p1-water", 0, 8, None, 0)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int",
+    )
+    with pytest.raises(Exception, match="malformed payload at p1-gas/0@7"):
+        route_messages(df, on_malformed="fail").select("kafka_offset").collect()
+    assert route_messages(df.where("topic = 'p1-water'"), on_malformed="fail").select("kafka_offset").count() == 1

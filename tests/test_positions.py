@@ -1,6 +1,6 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
+import pytest
 
 from meterflow.operators.positions import high_water, last_offsets, resume, upsert_ledger, starting_offsets_json
 
@@ -29,7 +29,11 @@ def test_lookup_and_resume(spark):
     lo = last_offsets(spark, ledger, "g", ["a", "b"])
     rows = sorted((r.topic, r.partition, r.last_offset) for r in lo.collect())
     assert rows == [("a", 0, 1), ("a", 1, 0), ("b", None, None)]
-    assert starting_offsets_json(lo.collect(), ["a", "b"]) == '{"a": {"0": 2, "1": 1}}'
+    every = {"a": [0, 1, 2], "b": [0]}
+    assert starting_offsets_json(lo.collect(), every) == '{"a": {"0": 2, "1": 1, "2": -2}, "b": {"0": -2}}'
+    assert starting_offsets_json([], {"a": [1]}) == '{"a": {"1": -2}}'
+    with pytest.raises(ValueError):
+        starting_offsets_json(lo.collect(), {"a": [0]})
     msgs = spark.createDataFrame([("a", 0, o) for o in range(4)] + [("a", 1, 0), ("b", 0, 0)],
                                  "topic string, partition int, offset long")
     got = sorted(tuple(r) for r in resume(msgs, lo).collect())

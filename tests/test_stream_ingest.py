@@ -72,3 +72,67 @@ def test_batches_survive_static_overwrite_mode(spark):
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
     total = sum(spark.table(names[t]).count() for t in ("electricity", "gas", "rejects"))
     assert total == msgs.count()
+
+
+def test_a_new_checkpoint_never_replaces_earlier_batches(spark):
+    msgs = fixtures.messages(spark, SF_SMALL)
+    names = tables(spark)
+    for part in (F.col("offset") < 100, F.col("offset") >= 100):
+        log = work_dir(spark, "log")
+        msgs.where(part).coalesce(1).write.parquet(log)
+        start_ingest(topic_source(spark, TOPICS, path=log), names, work_dir(spark, "ck"), "same", available_now=True).awaitTermination()
+    total = counts(spark, names)
+    assert total["electricity"] + total["gas"] + total["rejects"] == msgs.count()
+    assert spark.table(names["ledger"]).select("ingest_id").distinct().count() == 2
+    top = {(r.topic, r.partition): r.last_offset for r in current_ledger(spark.table(names["ledger"])).collect()}
+    want = {(r.topic, r.partition): r.o for r in msgs.groupBy("topic", "partition").agg(F.max("offset").alias("o")).collect()}
+    assert top == want
+
+
+def test_a_stream_resumes_from_the_ledger(spark):
+    from meterflow.operators.positions import last_offsets, resume
+
+    msgs = fixtures.messages(spark, SF_SMALL)
+    log = work_dir(spark, "log")
+    msgs.coalesce(1).write.parquet(log)
+    names = tables(spark)
+    ingest_batch(msgs.where("offset < 60"), 0, names, "first")
+    positions = last_offsets(spark, current_ledger(spark.table(names["ledger"])), "p1-data-consumer-group", TOPICS)
+    src = resume(topic_source(spark, TOPICS, path=log), positions)
+    start_ingest(src, names, work_dir(spark, "ck"), "second", available_now=True).awaitTermination()
+    assert sum(spark.table(names[t]).count() for t in ("electricity", "gas", "rejects")) == msgs.count()
+
+
+def test_time_trigger_ingests_and_stops(spark):
+    import time
+
+    msgs = fixtures.messages(spark, SF_SMALL)
+    log = work_dir(spark, "log")
+    msgs.coalesce(1).write.parquet(log)
+    names = tables(spark)
+    q = start_ingest(topic_source(spark, TOPICS, path=log), names, work_dir(spark, "ck"), "timed", processing_time="1 second")
+    try:
+        end = time.time() + 90
+        while time.time() < end and sum(spark.table(names[t]).count() for t in ("electricity", "gas", "rejects")) < msgs.count():
+            spark.catalog.refreshTable(names["electricity"])
+            time.sleep(1)
+    finally:
+        q.stop()
+    assert sum(spark.table(names[t]).count() for t in ("electricity", "gas", "rejects")) == msgs.count()
+
+
+def test_reset_empties_a_populated_table(spark):
+    from meterflow.plans.tables import ensure_raw_table
+
+    names = tables(spark)
+    ingest_batch(fixtures.messages(spark, SF_SMALL), 0, names, "x")
+    assert spark.table(names["gas"]).count() > 0
+    ensure_raw_table(spark, names["gas"], work_dir(spark, "again"), reset=True)
+    assert spark.table(names["gas"]).count() == 0
+
+
+def test_write_position_is_checked(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        ingest_batch(fixtures.messages(spark, SF_SMALL), 0, tables(spark), "it's")
