@@ -8,10 +8,11 @@ Method: a compacted de Bruijn graph over sampled k-mers. Of every run of
 so equal windows select the same k-mer at the same place. Selected k-mers are the
 nodes; the words from one to the next, both ends included, are the edges. One
 aggregation gives each node's count and whether all its occurrences have the same
-edge in and the same edge out. Such a node does not branch, and a path of them
-is one compacted sequence: a window inside it occurs as often as its nodes. Only
-the other windows whose own node is repeated, at the ends of paths, are compared
-by hash, with their source coordinates, through a second aggregation and join.
+edge in, and the same edge out. Where they do, the path does not branch there and
+compacts: wherever the node occurs, the whole path around it does. A window on
+such a path around its own node occurs as often as that node. Only the other
+windows whose own node is repeated, at the ends of paths, are compared by hash,
+with their source coordinates, through a second aggregation and join.
 
 All joins are on node or window hashes with plain shuffled sides, so a sequence
 that a third of all texts share is split over tasks. Node positions of a text
@@ -27,6 +28,7 @@ columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,23 +74,21 @@ class Nodes:
         self.text = np.searchsorted(starts, self.at, side="right") - 1
         self.key = grams[self.at]
 
-    def context(self, salt: np.ndarray) -> np.ndarray:
-        """Hash of each node's edges in and out; the ends of a text are edges that only its copies share."""
+    def edges(self, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """48-bit hash of each node's edge in and edge out; the ends of a text are edges that only its copies share."""
         n = len(self.at)
         if not n:
-            return np.empty(0, np.uint64)
+            return np.empty(0, np.uint64), np.empty(0, np.uint64)
         h = self.cut.hashes
         base = np.uint64(0xC2B2AE3D27D4EB4F)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ base) * powers(_STEP, len(h))[:-1])])
-        edge = np.zeros(n + 1, np.uint64)  # edge[i] leads to node i
-        same = self.text[1:] == self.text[:-1]
         lo, hi = self.at[:-1], self.at[1:] + self.k
-        span = (total[hi] - total[lo]) * powers(_STEP_INVERSE, len(h))[lo] + (hi - lo).astype(np.uint64)
-        lone = mix(salt[self.text] + mix(self.at.astype(np.uint64)))
-        edge[1:n] = np.where(same, mix(span), lone[1:])
-        edge[0] = lone[0]
-        out = np.where(np.append(same, False), edge[1:], mix(lone))  # the last node's edge out
-        return mix(edge[:n] * np.uint64(0x9FB21C651E98DF25) + out)
+        span = mix((total[hi] - total[lo]) * powers(_STEP_INVERSE, len(h))[lo] + (hi - lo).astype(np.uint64))
+        same = self.text[1:] == self.text[:-1]
+        lone = mix(salt[self.text] + mix(self.at - self.cut.starts[self.text]))
+        before = np.append(lone[:1], np.where(same, span, lone[1:]))
+        after = np.append(np.where(same, span, mix(lone[:-1])), mix(lone[-1:]))
+        return before >> np.uint64(16), after >> np.uint64(16)
 
 
 _STEP = np.uint64(0xE7037ED1A0B428DB | 5)
@@ -106,12 +106,13 @@ def _occurrences(window: int, k: int):
             for lo, hi in in_chunks(texts):
                 nodes = Nodes(texts[lo:hi], window, k)
                 if len(nodes.at):
+                    before, after = nodes.edges(tx[lo:hi].view(np.uint64))
                     yield pd.DataFrame(
                         {
                             "node": _signed(nodes.key),
-                            "ctx": _signed(nodes.context(tx[lo:hi].view(np.uint64))),
+                            "before": _signed(before),
+                            "after": _signed(after),
                             "doc_id": ids.iloc[lo:hi].array.take(nodes.text),
-                            "tx": tx[lo:hi][nodes.text],
                             "at": (nodes.at - nodes.cut.starts[nodes.text]).astype(np.int32),
                         }
                     )
@@ -135,7 +136,12 @@ def _outcome(text: str, mask: np.ndarray) -> tuple[int, int, str]:
     return len(mask), gone, hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-_JUDGED = "doc_id bigint, tx bigint, n_words bigint, n_removed bigint, kept_sha256 string, text string, sure array<int>, at array<int>, h1 array<bigint>, h2 array<bigint>"
+_JUDGED = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, packed binary, sure array<int>, at array<int>"
+
+
+def _mark(at: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Place and node in one number, with two bits left for flags: tells texts of one id apart."""
+    return (at.astype(np.int64) << 34) | ((key & np.uint64(0xFFFFFFFF)).astype(np.int64) << 2)
 
 
 def _judge(window: int, k: int):
@@ -143,85 +149,129 @@ def _judge(window: int, k: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, marks = b["text"].tolist(), b["marks"].tolist()
+            packed, marks = b["packed"].tolist(), b["marks"].tolist()
+            texts = [_unpack(z) for z in packed]
             for lo, hi in in_chunks(texts):
                 nodes = Nodes(texts[lo:hi], window, k)
                 starts = nodes.cut.starts
-                repeated = np.zeros(len(nodes.at), bool)
-                through = np.zeros(len(nodes.at), bool)
+                flags = np.full(len(nodes.at), -1, np.int64)  # of repeated nodes: 1 one edge in, 2 one edge out
                 first = np.searchsorted(nodes.text, np.arange(hi - lo + 1))
                 for i in range(lo, hi):
                     if marks[i] is not None and len(marks[i]):
-                        m = np.asarray(marks[i], np.int64)
+                        m = np.sort(np.asarray(marks[i], np.int64))
                         own = slice(first[i - lo], first[i - lo + 1])
-                        here = nodes.at[own] - starts[i - lo]
-                        repeated[own] = np.isin(here, m >> 1)
-                        through[own] = np.isin(here, m[(m & 1) == 1] >> 1)
-                cand = np.flatnonzero(repeated[nodes.own]) if len(nodes.at) else np.empty(0, np.int64)
-                at = nodes.window_at[cand]
-                # Nodes wholly inside a window: all of them on a path, and the window is.
+                        here = _mark(nodes.at[own] - starts[i - lo], nodes.key[own])
+                        j = np.minimum(np.searchsorted(m, here), len(m) - 1)
+                        flags[own] = np.where(m[j] >> 2 == here >> 2, m[j] & 3, -1)
+                cand = np.flatnonzero(flags[nodes.own] >= 0) if len(nodes.at) else np.empty(0, np.int64)
+                at, own = nodes.window_at[cand], nodes.own[cand]
+                # Nodes wholly inside the window. From its own node the path must not
+                # branch on the way to either end, unless a node stands just there.
                 begin = np.searchsorted(nodes.at, at)
                 end = np.searchsorted(nodes.at, at + window - k, side="right")
-                off = np.concatenate([[0], np.cumsum(~through)])
-                sure = off[end] == off[begin]
-                wh1 = rolling(nodes.cut.hashes, window)
-                wh2 = rolling(mix(nodes.cut.hashes ^ np.uint64(0x94D049BB133111EB)), window)
+                many_in = np.concatenate([[0], np.cumsum((flags < 0) | (flags & 1 == 0))])
+                many_out = np.concatenate([[0], np.cumsum((flags < 0) | (flags & 2 == 0))])
+                left = begin + (nodes.at[begin] == at) if len(cand) else begin
+                right = end - (nodes.at[end - 1] == at + window - k) if len(cand) else end
+                sure = (many_in[own + 1] <= many_in[np.minimum(left, own + 1)]) & (many_out[np.maximum(right, own)] <= many_out[own])
                 cut = np.searchsorted(nodes.window_text[cand], np.arange(hi - lo + 1))
                 rows = []
                 for i in range(hi - lo):
-                    own = slice(cut[i], cut[i + 1])
-                    place = (at[own] - starts[i]).astype(np.int32)
-                    s, open_ = place[sure[own]], ~sure[own]
-                    n = int(starts[i + 1] - starts[i])
-                    text = texts[lo + i] or ""
-                    if open_.any():
-                        w = at[own][open_]
-                        rows.append((n, None, None, text, s, place[open_], _signed(wh1[w]), _signed(wh2[w])))
+                    mine = slice(cut[i], cut[i + 1])
+                    place = (at[mine] - starts[i]).astype(np.int32)
+                    s, n = place[sure[mine]], int(starts[i + 1] - starts[i])
+                    if len(s) < len(place):
+                        rows.append((n, None, None, packed[lo + i], s, place[~sure[mine]]))
                     else:
-                        rows.append((*_outcome(text, _covered(s, n, window)), None, None, None, None, None))
-                out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "text", "sure", "at", "h1", "h2"])
+                        rows.append((*_outcome(texts[lo + i], _covered(s, n, window)), None, None, None))
+                out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "packed", "sure", "at"])
                 out["n_removed"] = out["n_removed"].astype("Int64")
                 out.insert(0, "doc_id", b["doc_id"].iloc[lo:hi].array)
-                out.insert(1, "tx", b["tx"].to_numpy()[lo:hi])
                 yield out
 
     return run
 
 
+def _hashes(texts: list[str], places: list, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place and 128-bit hash of the windows that start at ``places`` of each text."""
+    cut = cut_words(texts)
+    text = np.repeat(np.arange(len(texts)), [len(p) for p in places])
+    at = np.concatenate([np.asarray(p, np.int64) for p in places])
+    w = at + cut.starts[text]
+    h2 = rolling(mix(cut.hashes ^ np.uint64(0x94D049BB133111EB)), window)
+    return text, at, rolling(cut.hashes, window)[w], h2[w]
+
+
+def _window_hashes(window: int):
+    """The windows left to compare."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts, places = [_unpack(z) for z in b["packed"]], b["at"].tolist()
+            for lo, hi in in_chunks(texts):
+                text, at, h1, h2 = _hashes(texts[lo:hi], places[lo:hi], window)
+                yield pd.DataFrame({"doc_id": b["doc_id"].array.take(text + lo), "at": at.astype(np.int32), "h1": _signed(h1), "h2": _signed(h2)})
+
+    return run
+
+
 def _finish(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for text, n, sure, more in zip(b["text"], b["n_words"], b["sure"], b["more"]):
-                starts = np.concatenate([np.asarray(x, np.int64) for x in (sure, more) if x is not None] or [np.empty(0, np.int64)])
-                rows.append(_outcome(text, _covered(starts, int(n), window)))
-            out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
-            out.insert(0, "doc_id", b["doc_id"].array)
-            yield out
+            texts, places = [_unpack(z) for z in b["packed"]], b["at"].tolist()
+            sure, more, n = b["sure"].tolist(), b["more"].tolist(), b["n_words"].tolist()
+            for lo, hi in in_chunks(texts):
+                text, at, h1, _ = _hashes(texts[lo:hi], places[lo:hi], window)
+                marks, first = _mark(at, h1), np.searchsorted(text, np.arange(hi - lo + 1))
+                rows = []
+                for i in range(hi - lo):
+                    mine = slice(first[i], first[i + 1])
+                    found = more[lo + i]
+                    again = at[mine][np.isin(marks[mine], np.asarray(found, np.int64))] if found is not None else at[:0]
+                    starts = np.concatenate([np.asarray(sure[lo + i], np.int64), again])
+                    rows.append((*_outcome(texts[lo + i], _covered(starts, int(n[lo + i]), window)),))
+                out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
+                out.insert(0, "doc_id", b["doc_id"].iloc[lo:hi].array)
+                yield out
 
     return run
 
 
+def _unpack(packed: bytes) -> str:
+    return zlib.decompress(packed).decode("utf-8", "surrogatepass")
+
+
+def _packed(text):
+    """Texts compressed for the shuffle: they are most of what moves."""
+
+    @F.pandas_udf("binary")
+    def pack(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: zlib.compress(t.encode("utf-8", "surrogatepass"), 1))
+
+    return pack(text)
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tx"), text.alias("text"))
-    found = materialise(rows.mapInPandas(_occurrences(window, k), "node bigint, ctx bigint, doc_id bigint, tx bigint, at int"), "nodes")
-    nodes = found.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi"))
-    nodes = nodes.where("n > 1").select("node", (F.col("lo") == F.col("hi")).cast("int").alias("through"))
-    marks = found.select("node", "doc_id", "tx", "at").join(nodes, "node")
-    marks = marks.groupBy("doc_id", "tx").agg(F.collect_set(F.col("at").cast("bigint") * 2 + F.col("through")).alias("marks"))
-    marks = marks.select(F.col("doc_id").alias("m_id"), F.col("tx").alias("m_tx"), "marks")
-    both = rows.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("tx") == F.col("m_tx")), "left")
-    judged = materialise(both.select("doc_id", "tx", "text", "marks").mapInPandas(_judge(window, k), _JUDGED), "windows")
-    done = judged.where("text IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256")
-    pending = judged.where("text IS NOT NULL")
-    ends = pending.select("doc_id", "tx", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")).select("doc_id", "tx", "w.*")
+    found = rows.mapInPandas(_occurrences(window, k), "node bigint, before bigint, after bigint, doc_id bigint, at int")
+    spread = [f(c).alias(f"{c}_{n}") for c in ("before", "after") for n, f in (("lo", F.min), ("hi", F.max))]
+    nodes = found.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *spread).where("n > 1")
+    flags = (F.col("before_lo") == F.col("before_hi")).cast("bigint") + (F.col("after_lo") == F.col("after_hi")).cast("bigint") * 2
+    nodes = materialise(nodes.select("node", flags.alias("flags")), "nodes")
+    marks = found.select("node", "doc_id", "at").join(nodes, "node")
+    mark = F.shiftleft(F.col("at").cast("bigint"), 34).bitwiseOR(F.shiftleft(F.col("node").bitwiseAND(F.lit(0xFFFFFFFF)), 2)).bitwiseOR(F.col("flags"))
+    marks = marks.groupBy("doc_id").agg(F.collect_set(mark).alias("marks")).select(F.col("doc_id").alias("m_id"), "marks")
+    packed = rows.select("doc_id", _packed(F.col("text")).alias("packed"))
+    both = packed.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")), "left")
+    judged = materialise(both.select("doc_id", "packed", "marks").mapInPandas(_judge(window, k), _JUDGED), "windows")
+    done = judged.where("packed IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256")
+    pending = judged.where("packed IS NOT NULL")
+    ends = pending.select("doc_id", "packed", "at").mapInPandas(_window_hashes(window), "doc_id bigint, at int, h1 bigint, h2 bigint")
     twice = ends.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
-    more = ends.join(twice, ["h1", "h2"]).groupBy("doc_id", "tx").agg(F.collect_set("at").alias("more"))
-    more = more.select(F.col("doc_id").alias("m_id"), F.col("tx").alias("m_tx"), "more")
-    rest = pending.select("doc_id", "tx", "text", "n_words", "sure").join(
-        more, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("tx") == F.col("m_tx")), "left"
-    )
-    rest = rest.select("doc_id", "text", "n_words", "sure", "more").mapInPandas(_finish(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    mark = F.shiftleft(F.col("at").cast("bigint"), 34).bitwiseOR(F.shiftleft(F.col("h1").bitwiseAND(F.lit(0xFFFFFFFF)), 2))
+    more = ends.join(twice, ["h1", "h2"]).groupBy("doc_id").agg(F.collect_set(mark).alias("more")).select(F.col("doc_id").alias("m_id"), "more")
+    rest = pending.join(more, F.col("doc_id").eqNullSafe(F.col("m_id")), "left")
+    rest = rest.select("doc_id", "packed", "n_words", "sure", "at", "more").mapInPandas(_finish(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
     return done.union(rest)
