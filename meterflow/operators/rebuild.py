@@ -38,6 +38,20 @@ def dedup_raw(raw: DataFrame, key: Sequence[str] = ("kafka_topic", "kafka_partit
     ).select(*raw.columns)
 
 
+def dedup_stream(
+    raw: DataFrame,
+    delay: str = "1 hour",
+    key: Sequence[str] = ("kafka_topic", "kafka_partition", "kafka_offset"),
+    time: str = "kafka_timestamp",
+) -> DataFrame:
+    """One row per record position on a stream (G1).
+
+    State is kept for ``delay`` of broker time: copies that come within it are
+    dropped, later ones are not known any more.
+    """
+    return raw.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
+
+
 def typed_payload(raw: DataFrame, topic: str, payload_col: str = "raw_data") -> DataFrame:
     """Raw rows of one topic with the payload keys as typed columns.
 

@@ -1,7 +1,7 @@
 """Table definitions (B1 - B5): namespace, two raw tables, offset ledger.
 
-Raw tables are Parquet tables (Iceberg when its runtime is on the classpath)
-with the seven declared columns plus the write position ``ingest_id,
+Raw tables are Parquet tables by default (``fmt`` names another table format
+that the session has, such as Iceberg; only Parquet has been run here) with the seven declared columns plus the write position ``ingest_id,
 batch_id``: a replayed micro-batch overwrites exactly its own partition, so
 replays do not duplicate rows. ``day=True`` adds a ``day`` partition below it
 (UTC date of the broker time) for pruning and later compaction.
@@ -11,6 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from ..operators.positions import current_ledger
+from ..session import work_dir
+from .sinks import overwrite_batch
+
 RAW_DDL = (
     "kafka_topic STRING, kafka_partition INT, kafka_offset BIGINT, kafka_timestamp TIMESTAMP, "
     "processing_timestamp TIMESTAMP, telegram_timestamp STRING, raw_data STRING"
@@ -37,14 +41,6 @@ def _create(spark: SparkSession, name: str, columns: str, partitions: list[str],
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{opts}{parts}{loc}{props}")
 
 
-def table_format(spark: SparkSession) -> str:
-    try:
-        spark._jvm.java.lang.Class.forName("org.apache.iceberg.spark.source.IcebergSource")
-        return "iceberg"
-    except Exception:  # noqa: BLE001
-        return "parquet"
-
-
 def raw_partitions(day: bool) -> list[str]:
     # Write position first: a batch is replaced by a static partition spec,
     # whatever the session's partition overwrite mode.
@@ -70,7 +66,7 @@ def ensure_ledger(spark: SparkSession, name: str, location: str | None = None, r
 
 
 def setup_tables(spark: SparkSession, namespace: str, location: str | None = None, day: bool = False,
-                 reset: bool = False) -> dict[str, str]:
+                 reset: bool = False, fmt: str = "parquet") -> dict[str, str]:
     """The whole setup: namespace, two raw tables, rejects, ledger. Returns their names."""
     ensure_namespace(spark, namespace, location)
     names = {
@@ -80,9 +76,32 @@ def setup_tables(spark: SparkSession, namespace: str, location: str | None = Non
         "ledger": f"{namespace}.kafka_offsets",
     }
     base = location.rstrip("/") if location else None
-    ensure_raw_table(spark, names["electricity"], f"{base}/raw_p1_electricity" if base else None, day=day, reset=reset)
-    ensure_raw_table(spark, names["gas"], f"{base}/raw_p1_gas" if base else None, day=day, reset=reset)
+    ensure_raw_table(spark, names["electricity"], f"{base}/raw_p1_electricity" if base else None, day=day, reset=reset, fmt=fmt)
+    ensure_raw_table(spark, names["gas"], f"{base}/raw_p1_gas" if base else None, day=day, reset=reset, fmt=fmt)
     ensure_raw_table(spark, names["rejects"], f"{base}/raw_p1_rejects" if base else None, day=day, reset=reset,
-                     rejects=True)
-    ensure_ledger(spark, names["ledger"], f"{base}/kafka_offsets" if base else None, reset=reset)
+                     rejects=True, fmt=fmt)
+    ensure_ledger(spark, names["ledger"], f"{base}/kafka_offsets" if base else None, reset=reset, fmt=fmt)
     return names
+
+
+COMPACTED = "compacted"
+
+
+def compact_ledger(spark: SparkSession, name: str) -> None:
+    """Fold the ledger's slices into one, so that reading it does not grow with its age.
+
+    The current positions are computed and kept aside first, then written as a
+    slice of their own, then the slices that were there before are dropped. A
+    position found twice in between changes nothing, and batches written
+    meanwhile keep their slices.
+    """
+    old = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]  # names, one per batch since the last time
+    if not old:
+        return
+    path = work_dir(spark, "ledger")
+    current_ledger(spark.table(name)).write.parquet(path)
+    taken = [int(p.rsplit("=", 1)[1]) for p in old if p.startswith(f"ingest_id={COMPACTED}/")]
+    overwrite_batch(spark.read.parquet(path), name, COMPACTED, max(taken, default=-1) + 1)
+    for p in old:
+        ingest, batch = (x.split("=", 1)[1] for x in p.split("/"))
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (ingest_id = '{ingest}', batch_id = {int(batch)})")

@@ -136,3 +136,32 @@ def test_write_position_is_checked(spark):
 
     with pytest.raises(ValueError):
         ingest_batch(fixtures.messages(spark, SF_SMALL), 0, tables(spark), "it's")
+
+
+def test_compacted_ledger_says_the_same_in_one_slice(spark):
+    from meterflow.plans.tables import compact_ledger
+
+    names = tables(spark)
+    msgs = fixtures.messages(spark, SF_SMALL)
+    for i in range(3):
+        ingest_batch(msgs.where(F.col("offset") % 3 == i), i, names, "x")
+    read = lambda: sorted(tuple(r) for r in current_ledger(spark.table(names["ledger"])).drop("updated_at").collect())
+    before = read()
+    for _ in range(2):
+        compact_ledger(spark, names["ledger"])
+        assert read() == before and len(spark.sql(f"SHOW PARTITIONS {names['ledger']}").collect()) == 1
+
+
+def test_streamed_copies_are_dropped(spark):
+    from meterflow.operators.rebuild import dedup_stream
+    from meterflow.operators.routing import raw_rows, route_messages
+
+    raw = raw_rows(route_messages(fixtures.messages(spark, SF_SMALL)), "gas")
+    path, out = work_dir(spark, "raw"), work_dir(spark, "once")
+    for _ in range(2):
+        raw.coalesce(1).write.mode("append").parquet(path)
+    stream = dedup_stream(spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", "1").parquet(path), "400 days")
+    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", work_dir(spark, "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    once = spark.read.parquet(out)
+    assert once.count() == raw.count() and once.exceptAll(raw).count() == 0
