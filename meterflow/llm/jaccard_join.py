@@ -7,9 +7,10 @@ more than ``H`` plus the largest allowance: of any linked pair at least two
 segments stay within their allowance. A segment of allowance 1 is indexed as it
 is; one of allowance 2 also with each one of its shingles left out, so it
 survives one difference. Which mix a band uses is chosen by cost (index rows
-against expected chance candidates). A form with more than ``LIGHT`` shingles
-is indexed alone; lighter forms, which many unrelated sets share, only in pairs
-of segments. Two linked sets therefore always share an index key.
+against expected chance candidates). A form with more shingles than the band's
+``light`` is indexed alone; lighter forms, which many unrelated sets share, only
+in pairs of segments. A band's ``light`` is the largest of ``LIGHT`` for which
+the pairs stay a fraction of the index rows. Two linked sets therefore always share an index key.
 
 Keys are grouped and every set is compared with the smallest set under the key
 it shares, so a key of k sets costs k comparisons, not k^2. A comparison first
@@ -29,6 +30,7 @@ all ids of it are null. Extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 from meterflow.llm.common import Words, cut_words, in_chunks, materialise, mix, rolling
 from meterflow.llm.components import connected
 
-LIGHT = 2
+LIGHT = (2, 1, 0, -1)
 BAND_RATIO = 1.3
 SHARED = 0.2  # cost model: chance that two sets of a band share a given shingle
 PROBE_COST = 20.0  # cost model: one comparison against one index row
@@ -99,13 +101,14 @@ class Bands:
         rows = np.zeros(len(low), np.int64)
         for size, n in sizes.items():
             rows[self.band(np.array([size]))[0]] += n
-        self.exact, self.loose, self.differ = (np.zeros(len(low), np.int64) for _ in range(3))
+        self.exact, self.loose, self.differ, self.light = (np.zeros(len(low), np.int64) for _ in range(4))
         for b in range(len(low) - 1):
             largest = low[b + 1] - 1
             h = (100 - percent) * 2 * largest // (100 + percent)
             self.differ[b] = h
             if h:
                 self.exact[b], self.loose[b] = self._allocate(h, low[b], int(rows[b] + rows[b - 1]))
+                self.light[b] = self._lightness(low[b], int(self.exact[b]), int(self.loose[b]))
 
     @staticmethod
     def _allocate(h: int, size: int, rows: int) -> tuple[int, int]:
@@ -123,6 +126,16 @@ class Bands:
                 best = (cost, exact, loose)
         return best[1], best[2]
 
+    @staticmethod
+    def _lightness(size: int, exact: int, loose: int) -> int:
+        mean = size / (exact + loose)  # shingles of a segment: about Poisson
+        for light in LIGHT:
+            share = sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(light + 1))
+            forms = share * (exact + loose * (1 + mean))
+            if forms * forms / 2 <= 0.25 * (exact + loose) + 4:
+                break
+        return light
+
     def band(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, sizes, side="right") - 1
 
@@ -162,7 +175,7 @@ class Bands:
             holder = np.concatenate([holder, owner[s]])
             weight = np.concatenate([weight, size[s] - 1])
             place = np.concatenate([place, index[s]])
-        heavy = weight > LIGHT
+        heavy = weight > self.light[band[holder]]
         keys, who = [form[heavy]], [holder[heavy]]
         lf, lh, lp = form[~heavy], holder[~heavy], place[~heavy]
         order = np.lexsort((lp, lh))
@@ -299,10 +312,37 @@ def _size_histogram(classes: DataFrame) -> DataFrame:
 
 
 def _shared_keys(index: DataFrame) -> DataFrame:
-    """Index rows whose key more than one set has; copies of a row once."""
-    once = index.repartition("sig").dropDuplicates(["sig", "key"])
-    spans = once.groupBy("sig").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("sig")
-    return once.join(spans, "sig", "left_semi")
+    """Index rows whose key more than one set has; copies of a row once.
+
+    Most keys are held by one set only. Range-partitioned and sorted by key and
+    set, a row of a shared key has a neighbour with the same key and another
+    set; only such rows, and those at the ends of a partition, go on to the
+    exact count. A key that very many sets share is spread over partitions.
+    """
+    ordered = index.repartitionByRange("sig", "key").sortWithinPartitions("sig", "key")
+    near = materialise(ordered.mapInPandas(_with_neighbour, "sig bigint, key bigint"), "shared-rows")
+    spans = near.groupBy("sig").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("sig")
+    return near.join(materialise(spans, "shared-keys"), "sig", "left_semi").dropDuplicates(["sig", "key"])
+
+
+def _with_neighbour(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # last row so far, and whether it goes on
+    for b in batches:
+        if not len(b):
+            continue
+        sig, key = b["sig"].to_numpy(), b["key"].to_numpy()
+        on = np.zeros(len(b), bool)
+        on[0] = held is None  # the partition's first row: its neighbour is elsewhere
+        if held is not None:
+            sig, key, on = (np.concatenate(x) for x in zip(held, (sig, key, on)))
+        pair = (sig[1:] == sig[:-1]) & (key[1:] != key[:-1])
+        on[1:] |= pair
+        on[:-1] |= pair
+        held = sig[-1:], key[-1:], on[-1:]
+        on = on[:-1]
+        yield pd.DataFrame({"sig": sig[:-1][on], "key": key[:-1][on]})
+    if held is not None:
+        yield pd.DataFrame({"sig": held[0], "key": held[1]})
 
 
 def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, percent: int) -> DataFrame:
@@ -312,7 +352,7 @@ def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, pe
     for _ in range(CENTRES):
         # The smallest set still open under a key is its centre; it is compared
         # with the others and leaves the key.
-        centre = left.groupBy("sig").agg(F.min("cid").alias("a"))
+        centre = materialise(left.groupBy("sig").agg(F.min("cid").alias("a")), "bucket-centres")
         others = materialise(left.join(centre, "sig").where("cid <> a"), "bucket-stars")
         pairs = others.select("a", F.col("cid").alias("b")).distinct()
         links = links.union(_verified(_near(pairs, classes, percent), rows, classes, k, percent))
@@ -353,7 +393,7 @@ def _open(left: DataFrame, roots: DataFrame) -> DataFrame:
     """Keys that still hold sets of different components."""
     named = left.join(roots, F.col("cid") == F.col("node"), "left").select("sig", "cid", F.coalesce("root", "cid").alias("root"))
     mixed = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    return named.join(mixed, "sig", "left_semi").select("sig", "cid")
+    return named.join(materialise(mixed, "mixed-keys"), "sig", "left_semi").select("sig", "cid")
 
 
 def _blockwise(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
