@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterflow.session import work_dir
 
@@ -25,6 +28,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(text: Column) -> Column:
+    """Texts compressed for a shuffle, of which they would be most."""
+
+    @F.pandas_udf("binary")
+    def pack(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: zlib.compress(t.encode("utf-8", "surrogatepass"), 1))
+
+    return pack(text)
+
+
+def unpack(body: bytes) -> str:
+    return zlib.decompress(body).decode("utf-8", "surrogatepass")
+
+
 # --- words of many texts at once, as 64-bit hashes -------------------------
 #
 # A text is cut into words at byte level. Each word gets the polynomial hash of

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import Words, cut_words, in_chunks, materialise, mix, rolling
+from meterflow.llm.common import Words, cut_words, in_chunks, materialise, mix, packed, rolling, unpack
 from meterflow.llm.components import connected
 
 LIGHT = (2, 1, 0, -1)
@@ -233,7 +233,7 @@ def _keys_of(k: int, bands: Bands):
 def _linked(k: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            left, right = b["a_text"].tolist(), b["b_text"].tolist()
+            left, right = ([unpack(z) for z in b[c]] for c in ("a_body", "b_body"))
             for lo, hi in in_chunks([x + y for x, y in zip(left, right)] if left else []):
                 # Centres repeat within a run of rows: cut each different text once.
                 index: dict[str, int] = {}
@@ -355,7 +355,12 @@ def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, pe
         centre = materialise(left.groupBy("sig").agg(F.min("cid").alias("a")), "bucket-centres")
         others = materialise(left.join(centre, "sig").where("cid <> a"), "bucket-stars")
         pairs = others.select("a", F.col("cid").alias("b")).distinct()
-        links = links.union(_verified(_near(pairs, classes, percent), rows, classes, k, percent))
+        pairs = materialise(_near(pairs, classes, percent), "near-pairs")
+        # One pair of each set first: most other pairs then join what is joined already.
+        one = materialise(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+        links = links.union(_verified(one, rows, classes, k, percent))
+        rest = _apart(pairs.join(one, ["a", "b"], "left_anti"), connected(links))
+        links = links.union(_verified(rest, rows, classes, k, percent))
         left = materialise(_open(others.select("sig", "cid"), connected(links)), "buckets")
     # What is left under a key is compared block against block by sketch. Only
     # pairs of different components that the sketch cannot rule out come back.
@@ -383,10 +388,18 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, per
     pairs = materialise(pairs, "set-pairs")
     who = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct().join(classes.select("cid", "rep.*"), "cid")
     texts = rows.alias("r").join(who.alias("i"), F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.tx") == F.col("i.tx")))
-    texts = materialise(texts.select("cid", "text").dropDuplicates(["cid"]), "set-texts")
-    both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("b_text")), "b")
-    both = both.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("a_text")), "a")
-    return materialise(both.select("a", "b", "a_text", "b_text").mapInPandas(_linked(k, percent), "a bigint, b bigint"), "set-links")
+    texts = materialise(texts.select("cid", packed(F.col("text")).alias("body")).dropDuplicates(["cid"]), "set-texts")
+    both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("body").alias("b_body")), "b")
+    both = both.join(texts.select(F.col("cid").alias("a"), F.col("body").alias("a_body")), "a")
+    return materialise(both.select("a", "b", "a_body", "b_body").mapInPandas(_linked(k, percent), "a bigint, b bigint"), "set-links")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of different components."""
+    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    both = pairs.join(ra, "a", "left").join(rb, "b", "left")
+    return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
 def _open(left: DataFrame, roots: DataFrame) -> DataFrame:

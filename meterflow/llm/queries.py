@@ -99,16 +99,16 @@ def tokenizer_path() -> str:
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
-    from meterflow.llm.sentencepiece_codec import BLANK, Model, decode_column, encode_documents
+    from meterflow.llm.sentencepiece_codec import BLANK, Model, encode_documents
 
     model = Model(model_path or tokenizer_path())
-    out = encode_documents(table(spark, sf_dir, "documents"), model)
+    out = encode_documents(table(spark, sf_dir, "documents"), model, decode=True)
     plain = F.replace(F.coalesce("text", F.lit("")), F.lit(BLANK), F.lit(" "))
     return out.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_ids"),
         "ids",
-        (decode_column(spark, model, F.col("ids")) == plain).alias("round_trip"),
+        (F.col("decoded") == plain).alias("round_trip"),
     )
 
 

@@ -349,20 +349,29 @@ def _string_hash(text: str) -> np.uint64:
     return np.uint64(out)
 
 
-def encode_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text, ids`` of every row."""
+CHUNK = 1 << 23  # characters encoded together: words repeat within a chunk, memory grows with it
+
+
+def encode_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+    """``doc_id, text, ids`` of every row; with ``decode`` also ``decoded``, the text that the ids give back."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = shared.value
         for b in batches:
             texts = b.column(1).to_pylist()
-            for lo, hi in in_chunks(texts, 1 << 24):
-                ids, first = shared.value.encode(texts[lo:hi])
-                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), lists], ["doc_id", "text", "ids"])
+            for lo, hi in in_chunks(texts, CHUNK):
+                ids, first = coder.encode(texts[lo:hi])
+                columns = [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo)]
+                columns.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32())))
+                if decode:
+                    columns.append(pa.array([coder.decode(ids[i:j].tolist()) for i, j in zip(first[:-1], first[1:])], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, text string, ids array<int>")
+    schema = "doc_id bigint, text string, ids array<int>" + (", decoded string" if decode else "")
+    names = ["doc_id", "text", "ids"] + ["decoded"] * decode
+    return rows.mapInArrow(run, schema)
 
 
 def decode_column(spark: SparkSession, model: Model, ids):

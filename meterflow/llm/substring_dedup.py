@@ -28,7 +28,6 @@ columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import cut_words, in_chunks, materialise, mix, powers, rolling
+from meterflow.llm.common import cut_words, in_chunks, materialise, mix, packed, powers, rolling, unpack
 
 WINDOW = 35
 K = 10
@@ -149,8 +148,8 @@ def _judge(window: int, k: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            packed, marks = b["packed"].tolist(), b["marks"].tolist()
-            texts = [_unpack(z) for z in packed]
+            bodies, marks = b["packed"].tolist(), b["marks"].tolist()
+            texts = [unpack(z) for z in bodies]
             for lo, hi in in_chunks(texts):
                 nodes = Nodes(texts[lo:hi], window, k)
                 starts = nodes.cut.starts
@@ -181,7 +180,7 @@ def _judge(window: int, k: int):
                     place = (at[mine] - starts[i]).astype(np.int32)
                     s, n = place[sure[mine]], int(starts[i + 1] - starts[i])
                     if len(s) < len(place):
-                        rows.append((n, None, None, packed[lo + i], s, place[~sure[mine]]))
+                        rows.append((n, None, None, bodies[lo + i], s, place[~sure[mine]]))
                     else:
                         rows.append((*_outcome(texts[lo + i], _covered(s, n, window)), None, None, None))
                 out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "packed", "sure", "at"])
@@ -207,7 +206,7 @@ def _window_hashes(window: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, places = [_unpack(z) for z in b["packed"]], b["at"].tolist()
+            texts, places = [unpack(z) for z in b["packed"]], b["at"].tolist()
             for lo, hi in in_chunks(texts):
                 text, at, h1, h2 = _hashes(texts[lo:hi], places[lo:hi], window)
                 yield pd.DataFrame({"doc_id": b["doc_id"].array.take(text + lo), "at": at.astype(np.int32), "h1": _signed(h1), "h2": _signed(h2)})
@@ -218,7 +217,7 @@ def _window_hashes(window: int):
 def _finish(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, places = [_unpack(z) for z in b["packed"]], b["at"].tolist()
+            texts, places = [unpack(z) for z in b["packed"]], b["at"].tolist()
             sure, more, n = b["sure"].tolist(), b["more"].tolist(), b["n_words"].tolist()
             for lo, hi in in_chunks(texts):
                 text, at, h1, _ = _hashes(texts[lo:hi], places[lo:hi], window)
@@ -237,20 +236,6 @@ def _finish(window: int):
     return run
 
 
-def _unpack(packed: bytes) -> str:
-    return zlib.decompress(packed).decode("utf-8", "surrogatepass")
-
-
-def _packed(text):
-    """Texts compressed for the shuffle: they are most of what moves."""
-
-    @F.pandas_udf("binary")
-    def pack(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: zlib.compress(t.encode("utf-8", "surrogatepass"), 1))
-
-    return pack(text)
-
-
 def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -263,13 +248,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = K, id_col: st
     marks = found.select("node", "doc_id", "at").join(nodes, "node")
     mark = F.shiftleft(F.col("at").cast("bigint"), 34).bitwiseOR(F.shiftleft(F.col("node").bitwiseAND(F.lit(0xFFFFFFFF)), 2)).bitwiseOR(F.col("flags"))
     marks = marks.groupBy("doc_id").agg(F.collect_set(mark).alias("marks")).select(F.col("doc_id").alias("m_id"), "marks")
-    packed = rows.select("doc_id", _packed(F.col("text")).alias("packed"))
-    both = packed.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")), "left")
+    bodies = rows.select("doc_id", packed(F.col("text")).alias("packed"))
+    both = bodies.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")), "left")
     judged = materialise(both.select("doc_id", "packed", "marks").mapInPandas(_judge(window, k), _JUDGED), "windows")
     done = judged.where("packed IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256")
     pending = judged.where("packed IS NOT NULL")
     ends = pending.select("doc_id", "packed", "at").mapInPandas(_window_hashes(window), "doc_id bigint, at int, h1 bigint, h2 bigint")
     twice = ends.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    twice = materialise(twice, "repeated-windows")  # a plain side for the join, so that a hot window's rows are split
     mark = F.shiftleft(F.col("at").cast("bigint"), 34).bitwiseOR(F.shiftleft(F.col("h1").bitwiseAND(F.lit(0xFFFFFFFF)), 2))
     more = ends.join(twice, ["h1", "h2"]).groupBy("doc_id").agg(F.collect_set(mark).alias("more")).select(F.col("doc_id").alias("m_id"), "more")
     rest = pending.join(more, F.col("doc_id").eqNullSafe(F.col("m_id")), "left")
