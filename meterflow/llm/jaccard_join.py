@@ -14,8 +14,8 @@ the pairs stay a fraction of the index rows. Two linked sets therefore always sh
 
 Keys are grouped and every set is compared with the smallest set under the key
 it shares, so a key of k sets costs k comparisons, not k^2. A comparison first
-looks at sizes and at 512-bit parity sketches, which differ in no more bits than
-the sets in shingles, so it rules out no link; what passes is decided exactly
+looks at sizes and at parity sketches (as many bits as shingles, folded to the
+shorter one), which differ in no more bits than the sets in shingles, so it rules out no link; what passes is decided exactly
 from the texts. Sets that still share a key but are in different components
 after two such rounds are compared sketch against sketch in blocks of bounded
 size, and again only what the sketch cannot rule out is decided from the texts.
@@ -45,7 +45,6 @@ LIGHT = (2, 1, 0, -1)
 BAND_RATIO = 1.3
 SHARED = 0.2  # cost model: chance that two sets of a band share a given shingle
 PROBE_COST = 20.0  # cost model: one comparison against one index row
-SKETCH = tuple(f"s{i}" for i in range(8))  # 512 bits, each the parity of the shingles that hash to it
 CENTRES = 2
 BLOCK = 1024
 
@@ -81,11 +80,23 @@ def set_keys(hashes: np.ndarray, texts: np.ndarray, n: int) -> tuple[np.ndarray,
     return sizes, _group_sums(mix(hashes), texts, n), _group_sums(mix(hashes + np.uint64(0x51ED270B)), texts, n)
 
 
-def sketches(hashes: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
-    """512-bit parity sketch of each set, as eight longs."""
-    bit = (mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(55)).astype(np.int64)
-    odd = (np.bincount(texts * 512 + bit, minlength=n * 512) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(n, 512), axis=1).view(np.int64)
+def sketches(hashes: np.ndarray, texts: np.ndarray, n: int) -> list[np.ndarray]:
+    """Parity sketch of each set, as longs: a power of two of bits, no fewer than the set has shingles."""
+    size = np.bincount(texts, minlength=n)
+    bits = np.int64(1) << np.maximum(np.ceil(np.log2(np.maximum(size, 1))), 9).astype(np.int64)
+    base = np.concatenate([[0], np.cumsum(bits)])
+    bit = (mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)) & (bits[texts] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(base[texts] + bit, minlength=base[-1]) & 1).astype(np.uint8)
+    words = np.packbits(odd).view(np.int64)
+    return np.split(words, base[1:-1] // 64)
+
+
+def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch with as many bits as ``words`` longs hold."""
+    while len(sketch) > words:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch
 
 
 class Bands:
@@ -204,7 +215,7 @@ def _classes_of(k: int):
                 hashes, owner = shingle_sets(cut_words(texts[lo:hi], lower=True), k)
                 size, key, check = set_keys(hashes, owner, hi - lo)
                 out = {"doc_id": b["doc_id"].iloc[lo:hi].array, "tx": b["tx"].to_numpy()[lo:hi], "n": size.astype(np.int64), "key": _signed(key), "chk": _signed(check)}
-                yield pd.DataFrame(out | dict(zip(SKETCH, sketches(hashes, owner, hi - lo).T)))
+                yield pd.DataFrame(out | {"sketch": pd.Series(sketches(hashes, owner, hi - lo), dtype=object)})
 
     return run
 
@@ -265,10 +276,10 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tx"), text.alias("text"))
-    members = materialise(rows.mapInPandas(_classes_of(k), "doc_id bigint, tx bigint, n bigint, key bigint, chk bigint, " + ", ".join(f"{c} bigint" for c in SKETCH)), "set-classes")
+    members = materialise(rows.mapInPandas(_classes_of(k), "doc_id bigint, tx bigint, n bigint, key bigint, chk bigint, sketch array<bigint>"), "set-classes")
     # A class is one distinct set; its text is that of its first row.
-    classes = members.where("n > 0").groupBy("key", "chk", "n").agg(F.min(F.struct("doc_id", "tx")).alias("rep"), *[F.max(c).alias(c) for c in SKETCH])
-    classes = materialise(classes.select("key", "chk", "n", "rep", *SKETCH, F.monotonically_increasing_id().alias("cid")), "classes")
+    classes = members.where("n > 0").groupBy("key", "chk", "n").agg(F.min(F.struct("doc_id", "tx")).alias("rep"), F.first("sketch").alias("sketch"))
+    classes = materialise(classes.select("key", "chk", "n", "rep", "sketch", F.monotonically_increasing_id().alias("cid")), "classes")
     # Sizes grow with the logarithm of nothing but the longest text: bounded by band.
     widths = {r["n"]: r["c"] for r in _size_histogram(classes).collect()}
     bands = Bands(percent, widths)
@@ -374,12 +385,14 @@ def _within(percent: int) -> str:
     Two linked sets differ in at most (100 - p) / (100 + p) of their summed
     sizes, and sketches differ in no more bits than the sets in shingles.
     """
-    bits = " + ".join(f"bit_count(a_{s} ^ b_{s})" for s in SKETCH)
+    words = "least(size(a_sketch), size(b_sketch))"
+    same = [f"if(size({x}) > {words}, zip_with(slice({x}, 1, {words}), slice({x}, {words} + 1, {words}), (u, v) -> u ^ v), {x})" for x in ("a_sketch", "b_sketch")]
+    bits = f"aggregate(zip_with({same[0]}, {same[1]}, (u, v) -> bit_count(u ^ v)), 0, (s, x) -> s + x)"
     return f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n) AND {100 + percent} * ({bits}) <= {100 - percent} * (a_n + b_n)"
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    side = lambda x: classes.select(F.col("cid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", *SKETCH)])
+    side = lambda x: classes.select(F.col("cid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "sketch")])
     return pairs.join(side("a"), "a").join(side("b"), "b").where(_within(percent)).select("a", "b")
 
 
@@ -415,18 +428,18 @@ def _blockwise(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     A key's sets are dealt into blocks of about ``BLOCK``; every pair of blocks
     meets in one group, so no task holds more than two blocks of a key.
     """
-    full = left.select("sig", "cid", F.coalesce("root", "cid").alias("root")).join(classes.select("cid", "n", *SKETCH), "cid")
+    full = left.select("sig", "cid", F.coalesce("root", "cid").alias("root")).join(classes.select("cid", "n", "sketch"), "cid")
     sizes = left.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("g"))
     full = full.join(sizes, "sig").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("g")).cast("int"))
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
-    full = full.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "cid", "root", "n", *SKETCH)
+    full = full.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "cid", "root", "n", "sketch")
     dealt = full.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     return dealt.mapInPandas(_block_pairs(percent), "a bigint, b bigint").distinct()
 
 
 def _block_pairs(percent: int):
     def group(g: pd.DataFrame):
-        sk = g[list(SKETCH)].to_numpy().view(np.uint64)
+        sk = [np.asarray(x, np.int64) for x in g["sketch"]]
         n, root, cid, blk = (g[c].to_numpy() for c in ("n", "root", "cid", "blk"))
         own = g["i"].iat[0] == g["j"].iat[0]
         for x in range(len(g) - 1):
@@ -436,7 +449,8 @@ def _block_pairs(percent: int):
                 ok &= blk[y] != blk[x]
             if ok.any():
                 at = np.flatnonzero(ok) + x + 1
-                bits = np.bitwise_count(sk[at] ^ sk[x]).sum(1, dtype=np.int64)
+                least = [min(len(sk[x]), len(sk[y])) for y in at]
+                bits = np.array([np.bitwise_count(_folded(sk[y], w) ^ _folded(sk[x], w)).sum(dtype=np.int64) for y, w in zip(at, least)])
                 at = at[(100 + percent) * bits <= (100 - percent) * (n[at] + n[x])]
                 if len(at):
                     yield np.minimum(cid[at], cid[x]), np.maximum(cid[at], cid[x])
