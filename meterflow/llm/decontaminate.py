@@ -4,7 +4,9 @@ An item of n words is compared with every window of n words of every document.
 Both become weighted sets of word shingles (five words; the whole sequence of a
 shorter item), weights being counts. A window can reach the threshold only if
 enough of its shingles occur in the item, so fingerprints are taken of exactly
-the windows that hold that many; this drops no match. Fingerprints have 128
+the windows that hold that many; this drops no match. A text shorter than the
+item is one window, which needs fewer of them and is decided without a
+fingerprint, by the exact check alone. Fingerprints have 128
 bits. An item's fingerprint is indexed in eight blocks of 16 bits; two
 fingerprints within ``RADIUS`` bits agree in some block up to ``RADIUS // 8``
 bits, so probing every block within that distance finds all pairs within the
@@ -92,11 +94,16 @@ class Items:
         return at[self.keys[np.minimum(i, len(self.keys) - 1)] == grams[at]]
 
 
+def _need(total: int, shingles: int) -> int:
+    """Hits that a window of a text of so many shingles needs to be similar to an item of ``total``."""
+    return -(-PERCENT * (total + min(total, shingles)) // (100 + PERCENT))
+
+
 def _best_window(items: Items, item: int, grams: np.ndarray, at: np.ndarray) -> tuple[float, int] | None:
     """Best window of the item's size in a text: ``at`` are the positions of its shingles."""
     wanted, counts = items.grams[item]
     total = int(counts.sum())  # shingles of the item, and of a window
-    need = -(-2 * PERCENT * total // (100 + PERCENT))
+    need = _need(total, len(grams))
     best = None
     # Windows that hold `need` hits begin shortly before the first of `need` hits in reach.
     for j in range(len(at) - need + 1):
@@ -107,11 +114,12 @@ def _best_window(items: Items, item: int, grams: np.ndarray, at: np.ndarray) ->
         starts = np.arange(lo, min(hi, max(len(grams) - total, 0)) + 1)
         if not len(starts):
             continue
-        region = grams[starts[0] : starts[-1] + total]
-        votes = np.concatenate([np.zeros((1, 128), np.int32), np.cumsum(_bits(region), 0, dtype=np.int32)])
-        size = min(total, len(region))
-        prints = fingerprint(votes[size + np.arange(len(starts))] - votes[np.arange(len(starts))])
-        for s in starts[items.near(item, prints)]:
+        if len(grams) >= total:
+            region = grams[starts[0] : starts[-1] + total]
+            votes = np.concatenate([np.zeros((1, 128), np.int32), np.cumsum(_bits(region), 0, dtype=np.int32)])
+            prints = fingerprint(votes[total + np.arange(len(starts))] - votes[np.arange(len(starts))])
+            starts = starts[items.near(item, prints)]
+        for s in starts:
             u, c = np.unique(grams[s : s + total], return_counts=True)
             p = np.searchsorted(wanted, u)
             same = wanted[np.minimum(p, len(wanted) - 1)] == u
@@ -147,9 +155,9 @@ def _matches(items: Items, texts: list[str]) -> list[list[dict]]:
         for a, b in zip(edges, np.append(edges[1:], len(owner))):
             i, t = int(owner[a]), int(text[a])
             total = int(items.words[i] - items.k[i] + 1)
-            if b - a < -(-2 * PERCENT * total // (100 + PERCENT)):
-                continue
             start, end = cut.starts[t], cut.starts[t + 1]
+            if b - a < _need(total, int(end - start) - k + 1):
+                continue
             hit = _best_window(items, i, grams[start : end - k + 1], pos[a:b] - start)
             if hit:
                 out[t].append({"item_id": None if items.null[i] else int(items.ids[i]), "similarity": hit[0], "start_word": hit[1], "n_words": int(items.words[i])})

@@ -65,6 +65,22 @@ def test_edited_passages_against_brute_force(spark):
     assert found(docs_of(spark, pairs), bench_of(spark, items)) == want
 
 
+def test_documents_that_are_a_cut_item(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(n))) for i, n in enumerate((9, 10, 14, 19, 24, 30, 31, 60, 150))]
+    pairs = [(0, " ".join(words(items[5][1])[:26]))]
+    for i, t in items:
+        v = words(t)
+        for percent in (10, 12, 15, 18, 20):
+            cut = len(v) * percent // 100
+            pairs += [(len(pairs), " ".join(v[: len(v) - cut])), (len(pairs) + 1, " ".join(v[cut:])), (len(pairs) + 2, " ".join(v[cut // 2 : len(v) - cut + cut // 2]))]
+    want = brute(pairs, items)
+    assert (0, 5, round(22 / 26, 9), 0, 30) in want and len(want) > 60
+    bench, docs = bench_of(spark, items), docs_of(spark, pairs)
+    assert found(docs, bench) == want
+    assert {r.doc_id for r in dec.clean_documents(docs, bench).collect()} == {d for d, _ in pairs} - {w[0] for w in want}
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = found(documents(spark), bench)
