@@ -1,13 +1,15 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to lines, one per block element, in page order. A line's
-weight is the length of its text outside links; lines inside menus, page headers
-and footers, sidebars, notices, adverts, forms and reader comments weigh nothing.
-Where the page marks its article (``<article>`` or ``<main>``), lines outside it
-weigh nothing either, and any weight inside is a surge. Weights are summed over a
-sliding window of ``WINDOW`` lines. Text starts where the sum surges to the page's
-threshold and runs on while the lines weigh something (the dive); every run with
-a surge is kept, whole and in order.
+Markup is stripped to lines, one per block element, in page order. Lines inside
+menus, page headers and footers, sidebars, notices, adverts, forms and reader
+comments are left out; text before and after them is adjacent. A line's weight is
+the length of its text outside links. Where the page marks its article
+(``<article>`` or ``<main>``), lines outside it are left out, too, and those inside
+weigh their whole text. Weights are summed over a sliding window of ``WINDOW``
+lines. A run of text goes on until a whole window weighs nothing (the dive); it
+has a surge where a sum reaches the page's threshold. Every line from the first
+run with a surge to the end of the last is kept, in order, also lines wholly of
+links and short ones.
 
 Defined cases: a null or empty page gives an empty text; broken or cut-off
 markup is read as far as it goes; a page without markup is one line; character
@@ -147,30 +149,34 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
+def _extent(weights: list[int]) -> tuple[int, int]:
+    """First line of the first run with a surge, and one past the last line of the last."""
+    sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
+    surge = min(SURGE, max(sums, default=0))
+    first, last = len(weights), 0
+    begin = end = 0
+    high = 0  # highest sum of the run begin:end
+    for i, weight in enumerate(weights):
+        if weight:
+            if i - end >= WINDOW:  # a window of nothing: the dive
+                begin, high = i, 0
+            elif not high:
+                begin = i
+            high, end = max(high, sums[i]), i + 1
+            if high >= surge:
+                first, last = min(first, begin), end
+    return first, last
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    lines = page_lines(page)
-    marked = any(inside and weight >= 0 for _, weight, inside in lines)
+    lines = [line for line in page_lines(page) if line[1] >= 0]
+    marked = any(inside for _, _, inside in lines)
     if marked:
-        weights = [len(text) if inside and weight >= 0 else 0 for text, weight, inside in lines]
-    else:
-        weights = [max(weight, 0) for _, weight, _ in lines]
-    sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    surge = 1 if marked else min(SURGE, max(sums, default=0))
-    kept: list[str] = []
-    i = 0
-    while i < len(lines):
-        if not weights[i]:
-            i += 1
-            continue
-        j = i
-        while j < len(lines) and weights[j]:
-            j += 1  # the dive
-        if surge and max(sums[i:j]) >= surge:
-            kept += [text for text, _, _ in lines[i:j]]
-        i = j
-    return "\n".join(kept)
+        lines = [line for line in lines if line[2]]
+    first, last = _extent([len(text) if inside else weight for text, weight, inside in lines])
+    return "\n".join(text for text, _, _ in lines[first:last])
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -36,6 +36,21 @@ def test_with_and_without_an_article_element():
     assert main_text(PAGE % ("<div>", "</div>")) == TEXT
 
 
+LONG = "<p>" + "A long paragraph of the text. " * 7 + "</p>"
+TOLD = ("A long paragraph of the text. " * 7).strip()
+
+
+def test_text_goes_on_after_unwanted_lines_and_links():
+    for cut in ("<div class=ad>Buy this now.</div>", "<aside><p>Other</p><p>things</p><p>to</p><p>read</p></aside>", "<form><p>Sign up.</p></form>", "<div class=notice>" + "<p>We use cookies.</p>" * 9 + "</div>"):
+        assert main_text(LONG + cut + "<p>The end of it.</p>") == TOLD + "\nThe end of it."
+        assert main_text("<p>It begins.</p>" + cut + LONG) == "It begins.\n" + TOLD
+    assert main_text(LONG + "<p><a href=x>Wholly a link</a></p><p>The end.</p>") == TOLD + "\nWholly a link\nThe end."
+    links = "<ul>" + "<li><a href=x>more</a></li>" * 5 + "</ul>"
+    assert main_text(LONG + links + "<p>Short.</p>" + links + LONG) == "\n".join([TOLD, *["more"] * 5, "Short.", *["more"] * 5, TOLD])
+    assert main_text("<p>Menu</p>" + links + LONG + "<p>End.</p>" + links + "<p>Imprint</p>") == TOLD + "\nEnd."
+    assert main_text(links) == ""
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<!-- x") == ""
     assert main_text("plain &eacute; text\n here") == "plain é text here"
