@@ -3,9 +3,11 @@
 Markup is stripped to lines, one per block element, in page order. Lines inside
 menus, page headers and footers, sidebars, notices, adverts, forms and reader
 comments are left out; text before and after them is adjacent. A line's weight is
-the length of its text outside links. Where the page marks its article
-(``<article>`` or ``<main>``), lines outside it are left out, too, and those inside
-weigh their whole text. Weights are summed over a sliding window of ``WINDOW``
+the length of its text outside links. Lines of a marked article (``<article>`` or
+``<main>``) weigh their whole text. Only where such articles hold more than half of
+the page's text outside links, lines outside them are left out, too; all lines that
+remain weigh something then, so the mark and not the sums bounds the text of such a
+page. Weights are summed over a sliding window of ``WINDOW``
 lines. A run of text goes on until a whole window weighs nothing (the dive); it
 has a surge where a sum reaches the page's threshold. Every line from the first
 run with a surge to the end of the last is kept, in order, also lines wholly of
@@ -172,8 +174,8 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = [line for line in page_lines(page) if line[1] >= 0]
-    marked = any(inside for _, _, inside in lines)
-    if marked:
+    marked = sum(weight for _, weight, inside in lines if inside)
+    if 2 * marked > sum(weight for _, weight, _ in lines):
         lines = [line for line in lines if line[2]]
     first, last = _extent([len(text) if inside else weight for text, weight, inside in lines])
     return "\n".join(text for text, _, _ in lines[first:last])

@@ -51,6 +51,25 @@ def test_text_goes_on_after_unwanted_lines_and_links():
     assert main_text(links) == ""
 
 
+def test_an_article_element_that_is_not_the_main_text():
+    links = "<ul>" + "<li><a href=x>more</a></li>" * 5 + "</ul>"
+    teaser = "<article><h3>Related</h3><p>Another story.</p></article>"
+    content = "<div id=content><h1>Title</h1>" + LONG * 3 + "<p>End.</p></div>"
+    text = "\n".join(["Title", *[TOLD] * 3, "End."])
+    assert main_text(content + links + teaser) == text
+    assert main_text(teaser + links + content) == text
+    # Links do not make a teaser the main text, however many there are.
+    many = "<article><p><a href=x>" + "A linked headline. " * 3 + "</a></p></article>"
+    assert text in main_text(content + many * 20)
+    # A surge outside the text is not kept where the mark holds most of it.
+    assert main_text(LONG + links + "<article><h1>Title</h1>" + LONG * 3 + "<p>End.</p></article>" + links + LONG) == text
+    # Each of many articles is kept, short ones too.
+    posts = [TOLD * 2, "Thanks!", "Ok.", TOLD, "Bye."]
+    assert main_text(links.join(f"<article><p>{p}</p></article>" for p in posts)) == "\n".join(posts)
+    # Links of an article are its text.
+    assert main_text("<article>" + links + "</article>") == "\n".join(["more"] * 5)
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<!-- x") == ""
     assert main_text("plain &eacute; text\n here") == "plain é text here"
