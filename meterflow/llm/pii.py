@@ -1,11 +1,16 @@
 """Personal data: four fixed kinds, and more identifiers by bootstrapped contexts.
 
 Base spans come from four expressions (email, ip, card, phone) and their checks.
-They seed a bootstrap: tokens with a digit are instances, an adjacent word with
-the token's shape is a lexical pattern. Spark scores the graph of patterns and
-instances in rounds: a pattern by the share of its instances that are known, an
-instance by its best-supported patterns. Unknown tokens under patterns of high
-confidence and support become spans of kind ``context``.
+They seed a bootstrap: whole base spans are the first instances, with or without
+digits. A lexical pattern is the word before, the word after, or both; it says
+nothing of the value's form. Under one word the candidate is the single word next
+to it, under a pair the run of up to ``RUN`` words between. Spark scores the graph
+of patterns and instances in rounds: a pattern by the share of its instances that
+are known, an instance by its best-supported patterns. Instances of a high score
+bring up further patterns where they occur again, up to ``GROWTHS`` times. Unknown
+candidates of any form under patterns of high confidence and support become spans
+of kind ``context``. Candidates are whole words between white space, without the
+punctuation around them.
 
 Everything is built-in Spark expressions. A span's place is the sum of the
 lengths of what ``split`` and ``regexp_extract_all`` return before it. The
@@ -15,8 +20,8 @@ match what the plain forms match.
 
 Defined cases: a null text counts as empty; places are code points, the end is
 exclusive; kinds may overlap each other, one kind never itself; repeated rows are
-each answered; a text without a digit has only what the email expression finds.
-Extra columns are ignored; an empty table gives no rows.
+each answered; of overlapping spans of kind ``context`` the first is taken, then
+the longest. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,9 +41,12 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})?+"
 IP_FITS = rf"^{IP_PART}(?:\.{IP_PART}){{3}}$"
 
-TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
-CONTEXT = 80  # characters next to a token in which its neighbour word is looked for
+WORDS = r"(?<=\s)(?=\S)"  # between words; a word keeps the white space after it
+STRIP = " \t\n\x0b\f\r.,;:!?\"'`<>[](){}|*"  # what a value or neighbour word is freed of at both ends
+CONTEXT = 80  # characters next to a base span in which its neighbour words are looked for
+RUN = 4  # words of a candidate between two neighbour words
 ROUNDS = 3
+GROWTHS = 2
 CONFIDENT = 0.8
 SUPPORT = 5  # known instances a pattern needs
 
@@ -51,15 +59,15 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _found(text: Column, pattern: str, extra: bool = False) -> Column:
-    """Array of (start, end, value) of the matches; with ``extra`` also the text before and after."""
-    kind = "array<struct<start:int,end:int,value:string" + (",before:string,after:string" if extra else "") + ">>"
+def _found(text: Column, pattern: str) -> Column:
+    """Array of (start, end, value, before, after) of the matches."""
+    kind = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
     empty = F.array().cast(kind)
 
     def place(acc, x):
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["value"])
-        more = (F.right(x["gap"], F.lit(CONTEXT)).alias("before"), F.left(x["next"], F.lit(CONTEXT)).alias("after")) if extra else ()
+        more = F.right(x["gap"], F.lit(CONTEXT)).alias("before"), F.left(x["next"], F.lit(CONTEXT)).alias("after")
         one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"), *more)
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
@@ -87,13 +95,13 @@ def _digits(value: Column) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    """Array of (start, kind, end) of the four kinds, by start, then kind; ``kind`` is its place in KINDS."""
+    """Array of (start, kind, end, value, before, after) of the four kinds, by start, then kind; ``kind`` is its place in KINDS."""
     number = text.rlike("[0-9]")
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
 
     def of(kind, when, pattern, fits):
         spans = F.when(when, F.filter(_found(text, pattern), lambda m: fits(m["value"]))).otherwise(none)
-        return F.transform(spans, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+        return F.transform(spans, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"), m["value"].alias("value"), m["before"].alias("before"), m["after"].alias("after")))
 
     return F.sort_array(
         F.concat(
@@ -105,31 +113,96 @@ def base_spans(text: Column) -> Column:
     )
 
 
-def _shape(value: Column) -> Column:
-    """Digits as 9, runs of letters as a: what a token looks like."""
-    return F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), "[0-9]", "9")
+def _bare(word: Column) -> Column:
+    return F.btrim(word, F.lit(STRIP))
+
+
+def _near(word: Column) -> Column:
+    """A neighbour word as patterns hold it."""
+    return F.lower(F.left(_bare(word), F.lit(CONTEXT)))
+
+
+def _patterns(before: Column, after: Column, single: Column) -> Column:
+    """The lexical patterns of a value between two neighbour words; null where a word is missing."""
+    return F.array(
+        F.when(single & (before != ""), F.concat(F.lit("<"), before)),
+        F.when(single & (after != ""), F.concat(F.lit(">"), after)),
+        F.when((before != "") & (after != ""), F.concat(F.lit("="), before, F.lit("\t"), after)),
+    )
+
+
+def _pieces(text: Column) -> Column:
+    """Words of a text in pieces of ``CHUNK``: (begin, words, n), with the word before and the RUN + 1 words after."""
+
+    def cut(words):
+        count = F.ceil((F.size(words) - 1) / F.lit(CHUNK)).cast("int")
+        numbers = F.sequence(F.lit(0), count - 1)
+        lengths = F.transform(numbers, lambda c: F.length(F.array_join(F.slice(words, c * CHUNK + 2, F.lit(CHUNK)), "")))
+        begins = F.aggregate(lengths, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return _let(
+            begins,
+            lambda b: F.transform(
+                numbers,
+                lambda c: F.struct(
+                    F.get(b, c).alias("begin"),
+                    F.slice(words, c * CHUNK + 1, F.lit(CHUNK + RUN + 2)).alias("words"),
+                    F.least(F.size(words) - 1 - c * CHUNK, F.lit(CHUNK)).alias("n"),
+                ),
+            ),
+        )
+
+    return _let(F.concat(F.array(F.lit("")), F.split(text, WORDS, -1)), cut)
 
 
-def _patterns(t: Column) -> Column:
-    """The lexical patterns of a token: the word before or after it, with its shape."""
-    bare = F.regexp_replace(t["value"], r"^[^\p{L}0-9+(]+|[^\p{L}0-9]+$", "")
-    before = F.lower(F.regexp_extract(t["before"], r"(\S+)\s+$", 1))
-    after = F.lower(F.regexp_extract(t["after"], r"^\s+(\S+)", 1))
-    shape = _shape(bare)
-    return F.array(F.concat(F.lit("<"), before, F.lit("\t"), shape), F.concat(F.lit(">"), after, F.lit("\t"), shape))
+def _words(pieces: DataFrame) -> DataFrame:
+    """One row a word: ``near``, from the word before it to RUN + 1 words on, and where it starts."""
+    at = pieces.select("row", "base", "begin", "words", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"))
+    start = F.col("begin") + F.length(F.array_join(F.slice("words", F.lit(2), F.col("at") - 1), ""))
+    return at.select("row", "base", start.alias("start"), F.slice("words", F.col("at"), F.lit(RUN + 2)).alias("near"))
 
 
-def _confident(tokens: DataFrame) -> DataFrame:
-    """Patterns of ``tokens(value, known, patterns)`` that end up with high confidence."""
-    edges = tokens.select("value", "known", F.explode("patterns").alias("pattern")).where("NOT pattern RLIKE '^[<>]\\t'")
-    edges = materialise(edges.groupBy("pattern", "value").agg(F.max("known").alias("known")), "pii-edges")
+def _runs(words: DataFrame) -> DataFrame:
+    """``row, start, end, value, pattern`` of the runs that begin at the words and touch no base span."""
+
+    def run(n):
+        raw = F.array_join(F.slice("near", 2, n), "")
+        lead = F.length(raw) - F.length(F.ltrim(raw, F.lit(STRIP)))
+        after = F.coalesce(_near(F.get("near", F.lit(n + 1))), F.lit(""))
+        return F.struct((F.col("start") + lead).alias("start"), _bare(raw).alias("value"), _patterns(_near(F.get("near", F.lit(0))), after, F.lit(n == 1)).alias("patterns"))
+
+    each = F.explode(F.array(*[F.when(F.size("near") > n, run(n)) for n in range(1, RUN + 1)])).alias("r")
+    out = words.select("row", "base", each).where("r IS NOT NULL AND r.value != ''")
+    out = out.select("row", "base", "r.start", (F.col("r.start") + F.length("r.value")).alias("end"), "r.value", "r.patterns")
+    out = out.where(~F.exists("base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"])))
+    return out.select("row", "start", "end", "value", F.explode("patterns").alias("pattern")).where("pattern IS NOT NULL")
+
+
+def _under(pieces: DataFrame, able: DataFrame) -> DataFrame:
+    """Runs under the patterns ``able(pattern)``."""
+    words = _words(pieces)
+    key = F.substring_index(F.expr("substr(pattern, 2)"), "\t", 1).alias("key")
+    before = able.where("pattern NOT LIKE '>%'").select(key).distinct()
+    after = able.where("pattern LIKE '>%'").select(key).distinct()
+    first = words.withColumn("key", _near(F.get("near", F.lit(0)))).join(before, "key", "left_semi")
+    last = words.withColumn("key", _near(F.get("near", F.lit(2)))).join(after, "key", "left_semi")
+    runs = _runs(first).where("pattern NOT LIKE '>%'").unionByName(_runs(last).where("pattern LIKE '>%'"))
+    return runs.join(able, "pattern", "left_semi")
+
+
+def _again(pieces: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``pattern, value`` of every place where a value of ``fresh(value)`` stands."""
+    head = _bare(F.get(F.split(F.col("value"), r"\s", 2), F.lit(0))).alias("key")
+    words = _words(pieces).withColumn("key", _bare(F.get("near", F.lit(1)))).join(fresh.select(head).distinct(), "key", "left_semi")
+    return _runs(words).join(fresh, "value", "left_semi").select("pattern", "value").distinct()
+
+
+def _confident(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Patterns of ``edges(pattern, value, known)`` that end up with high confidence, and the instances' scores."""
     # An instance seen as a base span anywhere is known with certainty.
     score = edges.groupBy("value").agg(F.max(F.col("known").cast("double")).alias("score"))
     for _ in range(ROUNDS):
         weighed = edges.join(score, "value")
-        patterns = weighed.groupBy("pattern").agg(
-            (F.sum("score") / F.count(F.lit(1))).alias("confidence"), F.sum("score").alias("support"), F.max("score").alias("top")
-        )
+        patterns = weighed.groupBy("pattern").agg((F.sum("score") / F.count(F.lit(1))).alias("confidence"), F.sum("score").alias("support"))
         patterns = materialise(patterns.where(f"confidence >= {CONFIDENT} AND support >= {SUPPORT}").select("pattern", "confidence"), "pii-patterns")
         # 1 - product of the patterns' doubts, certainty for the seeds.
         doubt = F.exp(F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999)))))
@@ -137,30 +210,65 @@ def _confident(tokens: DataFrame) -> DataFrame:
             F.greatest(F.max(F.col("known").cast("double")), F.lit(1.0) - doubt).alias("score")
         )
         score = materialise(score, "pii-scores")
-    return patterns.select("pattern")
+    return patterns.select("pattern"), score
+
+
+def _bootstrap(found: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``row, start, end`` of the candidates under confident patterns."""
+    seed = found.select(F.explode("base").alias("s"))
+    before = F.lower(F.left(_bare(F.regexp_extract(_bare(F.col("s.before")), r"(\S+)$", 1)), F.lit(CONTEXT)))
+    after = F.lower(F.left(_bare(F.regexp_extract(_bare(F.col("s.after")), r"^(\S+)", 1)), F.lit(CONTEXT)))
+    seed = seed.select(F.col("s.value").alias("value"), F.explode(_patterns(before, after, F.lit(True))).alias("pattern"))
+    known = materialise(seed.where("pattern IS NOT NULL").distinct(), "pii-seeds")
+    places, tried, runs = known, None, None
+    for turn in range(GROWTHS + 1):
+        # Only patterns with enough instances can become confident.
+        able = places.groupBy("pattern").count().where(f"count >= {SUPPORT}").select("pattern")
+        able = materialise(able if tried is None else able.join(tried, "pattern", "left_anti"), "pii-able")
+        if turn and able.isEmpty():
+            break
+        tried = able if tried is None else tried.union(able)
+        new = materialise(_under(pieces, able), "pii-runs")
+        runs = new if runs is None else runs.union(new)
+        edges = runs.select("pattern", "value", F.lit(False).alias("known")).union(known.join(tried, "pattern", "left_semi").select("pattern", "value", F.lit(True)))
+        edges = materialise(edges.groupBy("pattern", "value").agg(F.max("known").alias("known")), "pii-edges")
+        good, score = _confident(edges)
+        if turn == GROWTHS:
+            break
+        fresh = materialise(score.where(f"score >= {CONFIDENT}").select("value").join(known, "value", "left_anti"), "pii-fresh")
+        if fresh.isEmpty():
+            break
+        places = known.union(materialise(_again(pieces, fresh), "pii-again").select("value", "pattern"))
+    return runs.join(good, "pattern", "left_semi").select("row", "start", "end").distinct()
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, base, added`` of every row: arrays of (start, kind, end)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    none = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
-    rows = rows.select(
-        "doc_id",
-        base_spans(F.col("text")).alias("base"),
-        F.when(F.col("text").rlike("[0-9]"), _found(F.col("text"), TOKEN, extra=True)).otherwise(none).alias("tokens"),
-    )
-    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "pii-base")
-    token = rows.where("size(tokens) > 0").select("row", "base", F.explode("tokens").alias("t"))
-    touches = F.exists("base", lambda s: (s["start"] < F.col("t.end")) & (F.col("t.start") < s["end"]))
-    token = token.select("row", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.value").alias("value"), touches.alias("known"), _patterns(F.col("t")).alias("patterns"))
-    token = materialise(token, "pii-tokens")
-    good = _confident(token)
-    new = token.where("NOT known").select("row", "start", "end", F.explode("patterns").alias("pattern")).join(good, "pattern")
-    new = new.select("row", F.struct("start", F.lit(4).alias("kind"), "end").alias("s")).distinct()
-    new = materialise(new.groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("added")), "pii-added")
-    out = rows.select("row", "doc_id", "base").join(new, "row", "left")
-    return out.select("doc_id", "base", F.coalesce("added", F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias("added"))
+    rows = rows.select("doc_id", base_spans(F.col("text")).alias("base"), _pieces(F.col("text")).alias("pieces"))
+    plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+
+    def with_base(p):
+        # Of the base spans only those near the piece go on with it.
+        near = _let(p["begin"] + F.length(F.array_join(p["words"], "")), lambda reach: F.filter(plain, lambda s: (s["end"] > p["begin"]) & (s["start"] < reach)))
+        return F.struct(p["begin"].alias("begin"), p["words"].alias("words"), p["n"].alias("n"), near.alias("base"))
+
+    rows = rows.withColumn("pieces", F.transform("pieces", with_base)).withColumn("row", F.monotonically_increasing_id())
+    rows = materialise(rows, "pii-base")
+    pieces = rows.select("row", F.explode("pieces").alias("p")).select("row", "p.*")
+    new = _bootstrap(rows, pieces)
+    new = new.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", (-F.col("end")).alias("end")))).alias("all"))
+
+    def apart(acc, x):
+        one = F.array(F.struct(x["start"].alias("start"), F.lit(4).alias("kind"), (-x["end"]).alias("end")))
+        return F.when(x["start"] >= acc["at"], F.struct((-x["end"]).alias("at"), F.concat(acc["out"], one).alias("out"))).otherwise(acc)
+
+    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    added = F.aggregate("all", F.struct(F.lit(0).alias("at"), empty.alias("out")), apart, lambda acc: acc["out"])
+    new = materialise(new.select("row", added.alias("added")), "pii-added")
+    out = rows.select("row", "doc_id", plain.alias("base")).join(new, "row", "left")
+    return out.select("doc_id", "base", F.coalesce("added", empty).alias("added"))
 
 
 def spans_text(spans: Column) -> Column:

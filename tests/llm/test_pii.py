@@ -73,6 +73,32 @@ def test_bootstrap_finds_identifiers_that_no_base_expression_matches(spark):
     assert not any(v for k, v in out.items() if k != 100)
 
 
+def added(spark, pairs):
+    text = dict(pairs)
+    rows = pii.find_pii(docs_of(spark, pairs)).collect()
+    return {r.doc_id: [text[r.doc_id][a:b] for a, _, b in r.added] for r in rows if r.added}
+
+
+def test_bootstrap_is_not_bound_to_the_form_of_the_seeds(spark):
+    mails = [f"{n}@example.org" for n in ("anna", "bert", "cleo", "dora", "emil", "fred", "gina", "hugo", "iris", "jens")]
+    phones = [f"+1 (743) 555-38{i}" for i in range(10, 40)]
+    pairs = [(i, f"Please write to <{m}>, thanks.") for i, m in enumerate(mails)]
+    pairs += [(i, f"the identifier: {c}\nwas given") for i, c in enumerate(phones, 100)]
+    pairs += [(200, "they write to anna-at-example and wait"), (201, "her identifier: 123-45-6789."), (202, "his identifier: HVKQ"), (203, "an identifier: AB 12 cd\twas found"), (204, "nothing else is here")]
+    # Seeds without digits, candidates of other forms, runs of words between two neighbours.
+    assert added(spark, pairs) == {200: ["anna-at-example"], 201: ["123-45-6789"], 202: ["HVKQ"], 203: ["AB 12 cd"]}
+
+
+def test_found_instances_bring_up_further_contexts(spark):
+    mails = [f"{n}@example.org" for n in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    pairs = [(i, f"account: {m}") for i, m in enumerate(mails)]
+    names = [f"user-{n}" for n in ("one", "two", "three", "four", "five", "six", "seven")]
+    pairs += [(100 + i, f"account: {n}") for i, n in enumerate(names)] + [(200 + i, f"nickname {n}") for i, n in enumerate(names)]
+    pairs += [(300, "nickname zorro"), (301, "no account here")]
+    out = added(spark, pairs)
+    assert out[300] == ["zorro"] and all(out[k] == [n] for b in (100, 200) for k, n in enumerate(names, b))
+
+
 def test_query_digest(spark):
     text = {r.doc_id: r.text for r in documents(spark).collect()}
     for r in op9_pii(spark, SF).collect():
