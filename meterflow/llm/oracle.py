@@ -46,4 +46,26 @@ SELECT d.page_id, d.n AS payload_bytes, d.digest AS payload_digest,
 FROM d LEFT JOIN g ON d.n >= 1000 AND d.digest = g.digest
 """
 
-ORACLE = {"op2_warc": OP2, "op3_exact_dedup": OP3, "op4_chat_format": OP4}
+OP11 = """
+WITH lowered AS (SELECT row_number() OVER () AS row, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+terms AS (SELECT row, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM lowered),
+sizes AS (SELECT row, count(*) AS n FROM terms GROUP BY row),
+corpus AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS all_terms FROM sizes),
+postings AS (SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM terms GROUP BY row, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings CROSS JOIN corpus GROUP BY term, n_docs),
+asked AS (SELECT row_number() OVER () AS item, item_id,
+    unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+scored AS (
+  SELECT a.item, any_value(a.item_id) AS item_id, p.row, any_value(p.doc_id) AS doc_id,
+    sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (100 - 90 + ((90 * s.n * c.n_docs) // c.all_terms)))))::BIGINT AS score
+  FROM asked a JOIN postings p USING (term) JOIN weights w USING (term) JOIN sizes s ON s.row = p.row CROSS JOIN corpus c
+  GROUP BY a.item, p.row),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE = {"op2_warc": OP2, "op3_exact_dedup": OP3, "op4_chat_format": OP4, "op11_search": OP11}

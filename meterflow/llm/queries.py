@@ -118,6 +118,34 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.lexical_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.secret_scan import KINDS, find_secrets, spans_text
+
+    out = find_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+
+    return out.select(
+        "doc_id",
+        *[count(k) for k in KINDS[:3]],
+        F.sha2(spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        spans_text(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.importance import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -129,4 +157,7 @@ REGISTRY = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_html_text": op10_html_text,
+    "op11_search": op11_search,
+    "op12_secrets": op12_secrets,
+    "op13_importance": op13_importance,
 }
