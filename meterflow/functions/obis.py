@@ -40,11 +40,33 @@ FIELD_PATTERNS = [
 # extra column so that the repeated autumn hour stays distinguishable.
 DST_FLAG_PATTERN = r"^0-0:1\.0\.0\([0-9]{12}([WS])\)"
 
+# What a line of each pattern starts with, up to the bracket.
+CODES = {
+    TIMESTAMP_PATTERN: "0-0:1.0.0(",
+    ELECTRICITY_CONSUMPTION_1_PATTERN: "1-0:1.8.1(",
+    ELECTRICITY_CONSUMPTION_2_PATTERN: "1-0:1.8.2(",
+    ELECTRICITY_PRODUCTION_1_PATTERN: "1-0:2.8.1(",
+    ELECTRICITY_PRODUCTION_2_PATTERN: "1-0:2.8.2(",
+    TARIFF_PATTERN: "0-0:96.14.0(",
+    CURRENT_CONSUMPTION_PATTERN: "1-0:1.7.0(",
+    CURRENT_PRODUCTION_PATTERN: "1-0:2.7.0(",
+    GAS_PATTERN: "0-1:24.2.1(",
+    DST_FLAG_PATTERN: "0-0:1.0.0(",
+}
+
 
 def raw_match(line: Column, pattern: str, group: int) -> Column:
     """Captured text, or '' when the line does not match. Every group here
-    captures at least one digit, so '' means no match."""
-    return F.regexp_extract(line, pattern, group)
+    captures at least one digit, so '' means no match. The expression runs only
+    on lines that start with the pattern's code."""
+    return F.when(line.startswith(CODES[pattern]), F.regexp_extract(line, pattern, group)).otherwise("")
+
+
+def last_match(lines: Column, pattern: str, group: int) -> Column:
+    """Captured text of the last line of an array that matches; null without any."""
+    own = F.filter(lines, lambda l: l.startswith(CODES[pattern]))
+    texts = F.filter(F.transform(own, lambda l: F.regexp_extract(l, pattern, group)), lambda t: t != "")
+    return F.try_element_at(texts, F.lit(-1))
 
 
 def typed(raw: Column, spark_type: str) -> Column:

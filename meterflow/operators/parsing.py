@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.obis import DST_FLAG_PATTERN, FIELD_PATTERNS, raw_match, typed
+from ..functions.obis import DST_FLAG_PATTERN, FIELD_PATTERNS, last_match, raw_match, typed
 from ..schemas import READING_FIELDS, ZERO_VALUES
 
 REJECT_MISSING_TIMESTAMP = "missing_timestamp"
@@ -68,6 +68,22 @@ def parse_telegram_lines(
     return grouped.select(*rest, *filled)
 
 
+def parse_telegrams(telegrams: DataFrame, lines: str = "lines", keep_dst_flag: bool = False) -> DataFrame:
+    """One reading per telegram whose lines are an array, row by row without a shuffle.
+
+    All other columns are kept. The same values as ``parse_telegram_lines``.
+    """
+    l = F.col(lines)
+    out = [F.col(c) for c in telegrams.columns if c != lines]
+    if keep_dst_flag:
+        out.append(last_match(l, DST_FLAG_PATTERN, 1).alias("dstFlag"))
+    for field, pattern, group, spark_type in FIELD_PATTERNS:
+        raw = last_match(l, pattern, group)
+        value = raw if spark_type == "string" else raw.try_cast(spark_type)
+        out.append(F.coalesce(value, F.lit(ZERO_VALUES[field])).alias(field))
+    return telegrams.select(*out)
+
+
 def is_valid(readings: DataFrame) -> Column:
     return F.col("timestamp") != ""
 

@@ -9,55 +9,43 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.changes import detect_changes, to_messages
-from ..operators.framing import frame_lines, telegram_summary
-from ..operators.parsing import parse_telegram_lines, with_validity
+from ..operators.parsing import parse_telegrams, with_validity
 from ..operators.scan import DEFAULT_BLOCK_ROWS, block_of
+from ..operators.split_framing import frame_splits
 from ..schemas import DEFAULT_ELECTRICITY_TOPIC, DEFAULT_GAS_TOPIC
 from ..sources import fixtures
 
-# Lines of the derived fixture stream are ordered by (seq, line_no); a block
-# holds this many telegrams.
-TELEGRAMS_PER_BLOCK = 1 << 16
-# Lines of one telegram text stay below this many.
-LINE_SLOTS = 1 << 20
 
+def fixture_telegrams(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Telegrams of the per-meter fixture streams (C1): ``meter_id, telegram_no, seq, lines``.
 
-def stream_position():
-    return F.col("seq") * F.lit(LINE_SLOTS) + F.col("line_no")
-
-
-def fixture_framed_lines(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Telegram lines of the per-meter fixture streams."""
-    lines = fixtures.telegram_lines(spark, sf_dir, block_rows)
-    return frame_lines(
-        lines,
-        capture=["meter_id"],
-        order=["seq", "line_no"],
-        block=block_of(F.col("seq"), min(block_rows, TELEGRAMS_PER_BLOCK)),
-        position=stream_position(),
+    ``seq`` is the sequence number of the event whose text holds the start line. A
+    meter's events of one block come out of the fixture's scan in one task; sorted
+    there, they are a split of the meter's stream.
+    """
+    texts = fixtures.telegrams(spark, sf_dir, block_rows).withColumn("block", block_of(F.col("event_id"), block_rows))
+    lines = texts.sortWithinPartitions("meter_id", "seq").select(
+        "meter_id", "block", "seq", F.explode(F.split("telegram", "\n")).alias("line")
     )
+    lines = lines.withColumn("pos", F.monotonically_increasing_id())
+    return frame_splits(lines, capture=["meter_id"], split=["block"], position="pos", keep=["seq"])
 
 
 def fixture_frames(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    framed = fixture_framed_lines(spark, sf_dir, block_rows)
-    return telegram_summary(framed, ["meter_id"], ["seq", "line_no"], position=stream_position(),
-                            carry={"seq": F.min("seq")})
+    """One row per telegram: line count, first and last line."""
+    return fixture_telegrams(spark, sf_dir, block_rows).select(
+        "meter_id",
+        "telegram_no",
+        "seq",
+        F.size("lines").cast("long").alias("n_lines"),
+        F.col("lines")[0].alias("first_line"),
+        F.element_at("lines", -1).alias("last_line"),
+    )
 
 
 def fixture_readings(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """All parsed readings with ``valid`` and ``reason`` (C2 + C3).
-
-    Keyed by ``meter_id``; ``seq`` is the sequence number of the event whose
-    text holds the telegram's start line.
-    """
-    framed = fixture_framed_lines(spark, sf_dir, block_rows)
-    readings = parse_telegram_lines(
-        framed,
-        telegram=["meter_id", "telegram_no"],
-        order=["seq", "line_no"],
-        carry={"seq": F.min("seq")},
-        position=stream_position(),
-    )
+    """All parsed readings with ``valid`` and ``reason`` (C2 + C3), keyed by ``meter_id, seq``."""
+    readings = parse_telegrams(fixture_telegrams(spark, sf_dir, block_rows))
     return with_validity(readings).drop("telegram_no")
 
 

@@ -316,21 +316,19 @@ def _write_in_order(df: DataFrame, path: str, chunk: str, chunks: int, key: list
 
 @register
 def capture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2 + C1 + C2: telegram text files per meter, read line by line and parsed."""
-    from .operators.framing import frame_lines
-    from .operators.parsing import parse_telegram_lines
+    """A2 + C1 + C2: telegram text files per meter, framed split by split and parsed."""
+    from .operators.parsing import parse_telegrams
+    from .operators.split_framing import frame_splits
     from .session import work_dir
     from .sources import fixtures
-    from .sources.captures import capture_block, capture_source
+    from .sources.captures import capture_source
 
     path = work_dir(spark, "captures")
     t = fixtures.telegrams(spark, sf_dir)
     (t.repartitionByRange("meter_id", "seq").sortWithinPartitions("meter_id", "seq")
      .select("meter_id", "telegram").write.partitionBy("meter_id").text(path))
-    lines = capture_source(spark, path)
-    order = ["capture_file", "split_start", "pos"]
-    framed = frame_lines(lines, capture=["meter_id"], order=order, block=capture_block())
-    readings = parse_telegram_lines(framed, telegram=["meter_id", "telegram_no"], order=order)
+    telegrams = frame_splits(capture_source(spark, path), ["meter_id"], ["capture_file", "split_start"], "pos")
+    readings = parse_telegrams(telegrams)
     return readings.select(F.col("meter_id").cast("long").alias("meter_id"), "telegram_no", *READING_FIELDS)
 
 
