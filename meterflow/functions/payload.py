@@ -2,11 +2,11 @@
 
 A payload is accepted when its bytes are valid UTF-8 and the text is exactly
 one JSON object. Spark's ``try_parse_json`` stops after the first value, so
-text after it is found separately. For objects and arrays, string literals are
-blanked, every character but brackets is dropped, and the first return of the
-bracket depth to zero must be the last bracket (flat objects, the producer's
-form, take a one-comparison fast path). Scalars must match the scalar grammar
-as a whole.
+text after it is found separately. An object whose first closing brace is the end
+of the text, the producer's form, is whole. For other objects and arrays, string
+literals are blanked, every character but brackets is dropped, and the first
+return of the bracket depth to zero must be the last bracket. Scalars must match
+the scalar grammar as a whole.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from .text import WHITE_SPACE
+
 # No alternation inside a loop and possessive quantifiers: Java then matches in
 # a loop instead of one stack frame per character.
 _STRING_LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
@@ -61,12 +63,17 @@ def _closes_at_end(brackets: Column) -> Column:
 
 def _whole_text(value_text: Column, kind: Column) -> Column:
     """True when nothing but whitespace follows the first JSON value."""
-    stripped = F.regexp_replace(value_text, r"(?U)\s+$", "")
+    stripped = F.rtrim(value_text, F.lit(WHITE_SPACE))
+    # An object can only end at a closing brace: where the text's first one is
+    # also its end, no look inside is needed.
+    flat = F.instr(stripped, "}") == F.length(stripped)
     brackets = F.regexp_replace(F.regexp_replace(value_text, _STRING_LITERAL, '""'), _NOT_BRACKET, "")
-    container = (kind.startswith("OBJECT") & stripped.endswith("}")) | (kind.startswith("ARRAY") & stripped.endswith("]"))
-    balanced = F.when(brackets.isin("{}", "[]"), F.lit(True)).otherwise(_closes_at_end(brackets))
-    return F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), container & balanced).otherwise(
-        value_text.rlike(_SCALAR)
+    # The bracket text goes into several expressions; as a lambda's argument it is computed once.
+    balanced = F.get(F.transform(F.array(brackets), lambda b: F.when(b.isin("{}", "[]"), F.lit(True)).otherwise(_closes_at_end(b))), F.lit(0))
+    return (
+        F.when(kind.startswith("OBJECT"), F.when(flat, F.lit(True)).otherwise(stripped.endswith("}") & balanced))
+        .when(kind.startswith("ARRAY"), stripped.endswith("]") & balanced)
+        .otherwise(value_text.rlike(_SCALAR))
     )
 
 

@@ -4,6 +4,10 @@ The ledger holds ``(consumer_group_id, topic, partition) -> last_offset,
 updated_at``. Parquet tables have no key and no MERGE, so an upsert is a union
 reduced per key; stored as an append-only log (one slice per batch), the
 current ledger is the same reduction at read time.
+
+A log may carry an ``epoch`` per row. The highest epoch of a key wins, then the
+offset: a rewind is written as a new epoch of its group and so survives the log,
+its compaction, and writers that still hold an older epoch.
 """
 
 from __future__ import annotations
@@ -27,30 +31,42 @@ def high_water(df: DataFrame, topic: str = "kafka_topic", partition: str = "kafk
     )
 
 
-def ledger_updates(high: DataFrame, group_id: str, updated_at: Column) -> DataFrame:
-    """High-water rows as ledger rows of one consumer group."""
-    return high.select(
+def ledger_updates(high: DataFrame, group_id: str, updated_at: Column, epoch: int | None = None) -> DataFrame:
+    """High-water rows as ledger rows of one consumer group (of an ``epoch``, where the ledger has them)."""
+    out = high.select(
         F.lit(group_id).alias("consumer_group_id"), "topic", "partition", "last_offset", updated_at.alias("updated_at")
     )
+    return out if epoch is None else out.withColumn("epoch", F.lit(epoch).cast("long"))
+
+
+def _with_epoch(rows: DataFrame) -> DataFrame:
+    epoch = F.coalesce(F.col("epoch"), F.lit(0)) if "epoch" in rows.columns else F.lit(0)
+    return rows.select(*LEDGER_COLUMNS, epoch.cast("long").alias("epoch"))
 
 
 def upsert_ledger(ledger: DataFrame, updates: DataFrame, rewind: bool = False) -> DataFrame:
     """Ledger with ``updates`` applied, one row per key (F2).
 
-    By default a position never moves back: the row with the greater offset
-    wins (the later update on a tie). With ``rewind=True`` the latest update
-    wins even when its offset is lower.
+    By default a position never moves back inside an epoch: the row with the
+    greater epoch, then the greater offset wins (the later update on a tie). With
+    ``rewind=True`` the latest update wins even when its offset is lower. Rows
+    without an epoch count as epoch 0; the result has the column if an input has.
     """
-    both = ledger.select(*LEDGER_COLUMNS).unionByName(updates.select(*LEDGER_COLUMNS))
+    both = _with_epoch(ledger).unionByName(_with_epoch(updates))
     rank = (
         F.struct(F.col("updated_at"), F.col("last_offset"))
         if rewind
-        else F.struct(F.col("last_offset"), F.col("updated_at"))
-    )
-    best = F.max_by(F.struct("last_offset", "updated_at"), rank).alias("__best")
-    return both.groupBy(*LEDGER_KEY).agg(best).select(
-        *LEDGER_KEY, F.col("__best.last_offset").alias("last_offset"), F.col("__best.updated_at").alias("updated_at")
+        else F.struct(F.col("epoch"), F.col("last_offset"), F.col("updated_at"))
     )
+    best = F.max_by(F.struct("last_offset", "updated_at", "epoch"), rank).alias("__best")
+    kept = ["last_offset", "updated_at"] + (["epoch"] if "epoch" in ledger.columns + updates.columns else [])
+    return both.groupBy(*LEDGER_KEY).agg(best).select(*LEDGER_KEY, *[F.col(f"__best.{c}").alias(c) for c in kept])
+
+
+def group_epoch(ledger: DataFrame, group_id: str) -> int:
+    """The highest epoch of a group, 0 without any."""
+    top = _with_epoch(ledger).where(F.col("consumer_group_id") == group_id).agg(F.max("epoch")).first()[0]
+    return top or 0
 
 
 def last_offsets(spark: SparkSession, ledger: DataFrame, group_id: str, topics: Sequence[str]) -> DataFrame:
@@ -103,5 +119,4 @@ def starting_offsets_json(rows: Sequence, partitions: Mapping[str, Sequence[int]
 
 def current_ledger(log: DataFrame) -> DataFrame:
     """The ledger held by an append-only position log: one row per key."""
-    empty = log.sparkSession.createDataFrame([], log.select(*LEDGER_COLUMNS).schema)
-    return upsert_ledger(empty, log)
+    return upsert_ledger(log.limit(0), log)

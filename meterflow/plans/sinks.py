@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,26 +40,41 @@ def publish(records: DataFrame, bootstrap_servers: str | None = None, path: str
     out.write.mode("append").partitionBy("topic").parquet(path)
 
 
-def overwrite_batch(rows: DataFrame, table: str, ingest_id: str, batch_id: int, dynamic: Sequence[str] = ()) -> None:
-    """Replace the ``(ingest_id, batch_id)`` partition of ``table`` with ``rows``.
+def write_partition(
+    rows: DataFrame, table: str, static: Mapping[str, str | int], dynamic: Sequence[str] = (), overwrite: bool = True
+) -> None:
+    """Write ``rows`` to the partition ``static`` of ``table``, in place of what it holds if ``overwrite``.
 
-    The write position is a static partition spec, so exactly that batch is
-    replaced whatever the session's partition overwrite mode; ``dynamic``
-    partition columns below it (such as ``day``) come from the rows.
+    A static partition spec: exactly that partition is replaced whatever the
+    session's partition overwrite mode; ``dynamic`` partition columns below it
+    (such as ``day``) come from the rows. Rows that are read from the table itself
+    can only be added to it.
     """
-    if not re.fullmatch(r"[A-Za-z0-9_.-]+", ingest_id):
-        raise ValueError("ingest_id may hold letters, digits, '_', '.' and '-' only")
     spark = rows.sparkSession
-    target = [c for c in spark.table(table).columns if c not in ("ingest_id", "batch_id")]
+    target = [c for c in spark.table(table).columns if c not in static]
     view = f"__meterflow_batch_{uuid.uuid4().hex[:12]}"
     rows.select(*target).createOrReplaceTempView(view)
-    spec = f"ingest_id = '{ingest_id}', batch_id = {int(batch_id)}" + "".join(f", {c}" for c in dynamic)
     try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {', '.join(f'`{c}`' for c in target)} FROM {view}")
+        spark.sql(f"INSERT {'OVERWRITE' if overwrite else 'INTO'} TABLE {table} PARTITION ({', '.join([partition_spec(static), *dynamic])}) "
+                  f"SELECT {', '.join(f'`{c}`' for c in target)} FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
 
+def partition_spec(values: Mapping[str, str | int | None]) -> str:
+    def literal(v):
+        return "null" if v is None else f"'{v}'" if isinstance(v, str) else str(int(v))
+
+    return ", ".join(f"{c} = {literal(v)}" for c, v in values.items())
+
+
+def overwrite_batch(rows: DataFrame, table: str, ingest_id: str, batch_id: int, dynamic: Sequence[str] = ()) -> None:
+    """Replace the ``(ingest_id, batch_id)`` partition of ``table`` with ``rows``."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", ingest_id):
+        raise ValueError("ingest_id may hold letters, digits, '_', '.' and '-' only")
+    write_partition(rows, table, {"ingest_id": ingest_id, "batch_id": int(batch_id)}, dynamic)
+
+
 def append_raw(rows: DataFrame, table: str, ingest_id: str, batch_id: int, day: bool | None = None) -> None:
     """Write one batch into a raw table's ``(ingest_id, batch_id)`` partition (A4).
 

@@ -4,7 +4,9 @@ Raw tables are Parquet tables by default (``fmt`` names another table format
 that the session has, such as Iceberg; only Parquet has been run here) with the seven declared columns plus the write position ``ingest_id,
 batch_id``: a replayed micro-batch overwrites exactly its own partition, so
 replays do not duplicate rows. ``day=True`` adds a ``day`` partition below it
-(UTC date of the broker time) for pruning and later compaction.
+(UTC date of the broker time) for pruning. Beside them stand the commit manifest,
+the day tables that ``plans.commits.compact_days`` folds batches into, and views
+that show committed rows only (``plans.commits``).
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from ..operators.positions import current_ledger
 from ..session import work_dir
+from .commits import COMMIT_DDL, FOLD_DDL, create_views, drop_partitions
 from .sinks import overwrite_batch
 
 RAW_DDL = (
@@ -20,7 +23,7 @@ RAW_DDL = (
     "processing_timestamp TIMESTAMP, telegram_timestamp STRING, raw_data STRING"
 )
 REJECT_DDL = RAW_DDL + ", reject_reason STRING"
-LEDGER_DDL = "consumer_group_id STRING, topic STRING, `partition` INT, last_offset BIGINT, updated_at TIMESTAMP"
+LEDGER_DDL = "consumer_group_id STRING, topic STRING, `partition` INT, last_offset BIGINT, updated_at TIMESTAMP, epoch BIGINT"
 POSITION_DDL = "ingest_id STRING, batch_id BIGINT"
 
 
@@ -67,7 +70,7 @@ def ensure_ledger(spark: SparkSession, name: str, location: str | None = None, r
 
 def setup_tables(spark: SparkSession, namespace: str, location: str | None = None, day: bool = False,
                  reset: bool = False, fmt: str = "parquet") -> dict[str, str]:
-    """The whole setup: namespace, two raw tables, rejects, ledger. Returns their names."""
+    """The whole setup: namespace, raw tables, rejects, ledger, commit manifest and views. Returns their names."""
     ensure_namespace(spark, namespace, location)
     names = {
         "electricity": f"{namespace}.raw_p1_electricity",
@@ -75,13 +78,30 @@ def setup_tables(spark: SparkSession, namespace: str, location: str | None = Non
         "rejects": f"{namespace}.raw_p1_rejects",
         "ledger": f"{namespace}.kafka_offsets",
     }
-    base = location.rstrip("/") if location else None
-    ensure_raw_table(spark, names["electricity"], f"{base}/raw_p1_electricity" if base else None, day=day, reset=reset, fmt=fmt)
-    ensure_raw_table(spark, names["gas"], f"{base}/raw_p1_gas" if base else None, day=day, reset=reset, fmt=fmt)
-    ensure_raw_table(spark, names["rejects"], f"{base}/raw_p1_rejects" if base else None, day=day, reset=reset,
-                     rejects=True, fmt=fmt)
-    ensure_ledger(spark, names["ledger"], f"{base}/kafka_offsets" if base else None, reset=reset, fmt=fmt)
-    return names
+
+    def at(name: str) -> str | None:
+        return f"{location.rstrip('/')}/{names[name].split('.')[-1]}" if location else None
+
+    ensure_raw_table(spark, names["electricity"], at("electricity"), day=day, reset=reset, fmt=fmt)
+    ensure_raw_table(spark, names["gas"], at("gas"), day=day, reset=reset, fmt=fmt)
+    ensure_raw_table(spark, names["rejects"], at("rejects"), day=day, reset=reset, rejects=True, fmt=fmt)
+    ensure_ledger(spark, names["ledger"], at("ledger"), reset=reset, fmt=fmt)
+
+    names |= {
+        "commits": f"{namespace}.ingest_commits",
+        "folds": f"{namespace}.ingest_folds",
+        "electricity_days": f"{namespace}.raw_p1_electricity_days",
+        "gas_days": f"{namespace}.raw_p1_gas_days",
+        "rejects_days": f"{namespace}.raw_p1_rejects_days",
+        "ledger_folded": f"{namespace}.kafka_offsets_folded",
+    }
+    _create(spark, names["commits"], f"{COMMIT_DDL}, {POSITION_DDL}", ["ingest_id", "batch_id"], at("commits"), None, reset, fmt)
+    _create(spark, names["folds"], f"{FOLD_DDL}, generation BIGINT", ["generation"], at("folds"), None, reset, fmt)
+    for name, columns in (("electricity", RAW_DDL), ("gas", RAW_DDL), ("rejects", REJECT_DDL)):
+        days = f"{name}_days"
+        _create(spark, names[days], f"{columns}, generation BIGINT, day DATE", ["generation", "day"], at(days), "zstd", reset, fmt)
+    _create(spark, names["ledger_folded"], f"{LEDGER_DDL}, generation BIGINT", ["generation"], at("ledger_folded"), None, reset, fmt)
+    return names | create_views(spark, names)
 
 
 COMPACTED = "compacted"
@@ -100,8 +120,8 @@ def compact_ledger(spark: SparkSession, name: str) -> None:
         return
     path = work_dir(spark, "ledger")
     current_ledger(spark.table(name)).write.parquet(path)
+    # Slices are folded whatever the manifest says: for a ledger without one. With
+    # one, ``plans.commits.compact_days`` folds the committed slices.
     taken = [int(p.rsplit("=", 1)[1]) for p in old if p.startswith(f"ingest_id={COMPACTED}/")]
     overwrite_batch(spark.read.parquet(path), name, COMPACTED, max(taken, default=-1) + 1)
-    for p in old:
-        ingest, batch = (x.split("=", 1)[1] for x in p.split("/"))
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (ingest_id = '{ingest}', batch_id = {int(batch)})")
+    drop_partitions(spark, name, [dict(x.split("=", 1) for x in p.split("/")) for p in old])

@@ -351,6 +351,17 @@ def table_setup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_out(spark, spark.table(names["electricity"]))
 
 
+def _committed(spark: SparkSession, names: dict[str, str], *more: str) -> DataFrame:
+    """Committed rows of both raw tables, read through the views."""
+    parts = []
+    for t in ("electricity", "gas"):
+        df = spark.table(names[f"{t}_view"])
+        parts.append(df.select(F.lit(t).alias("route"), *_raw_out(spark, df).columns, *more))
+    both = parts[0].unionByName(parts[1])
+    times = {c: _utc(spark, c) for c in ("kafka_timestamp", "processing_timestamp")}
+    return both.select(*[times[c].alias(c) if c in times else F.col(c) for c in both.columns])
+
+
 def _stream_ingest_run(spark: SparkSession, sf_dir: str):
     import uuid
 
@@ -364,7 +375,10 @@ def _stream_ingest_run(spark: SparkSession, sf_dir: str):
     msgs = fixtures.messages(spark, sf_dir)
     # Four appends in time order; the stream drains them two files at a time.
     chunked = msgs.withColumn("__chunk", F.floor((F.dayofmonth(_utc(spark, "timestamp")) - 1) * 4 / 31).cast("int"))
-    _write_in_order(_stored(chunked, "records"), log, "__chunk", 4, ["topic", "partition"])
+    # Ingest needs no order inside an append, so nothing is gathered by partition.
+    chunked = _stored(chunked, "records")
+    for c in range(4):
+        chunked.where(F.col("__chunk") == c).drop("__chunk").write.mode("append").parquet(log)
     ns = f"meterflow_{uuid.uuid4().hex[:8]}"
     names = setup_tables(spark, ns, work_dir(spark, "warehouse"), reset=True)
     src = topic_source(spark, ["p1-electricity", "p1-gas", "p1-unknown"], stream=True, path=log, max_per_batch=2)
@@ -378,10 +392,7 @@ def _stream_ingest_run(spark: SparkSession, sf_dir: str):
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A4 + F5 - F7: file topic log drained by a stream into the raw tables."""
     names = _stream_ingest_run(spark, sf_dir)
-    parts = [
-        _raw_out(spark, spark.table(names[t])).withColumn("route", F.lit(t)) for t in ("electricity", "gas")
-    ]
-    return parts[0].unionByName(parts[1])
+    return _committed(spark, names)
 
 
 @register
@@ -390,7 +401,7 @@ def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .operators.positions import current_ledger
 
     names = _stream_ingest_run(spark, sf_dir)
-    return current_ledger(spark.table(names["ledger"])).select(
+    return current_ledger(spark.table(names["ledger_view"])).select(
         "consumer_group_id", "topic", "partition", "last_offset"
     )
 
@@ -452,3 +463,155 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rebuilt.select(F.col("meter").cast("long").alias("meter_id"), F.col("kafka_topic").alias("topic"),
                          "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS)
     return out.select("meter_id", "topic", "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS)
+
+
+# --- commits, compaction, rewinds ---------------------------------------------
+
+def _fresh_tables(spark: SparkSession) -> dict[str, str]:
+    import uuid
+
+    from .plans.tables import setup_tables
+    from .session import work_dir
+
+    return setup_tables(spark, f"meterflow_{uuid.uuid4().hex[:8]}", work_dir(spark, "warehouse"), reset=True)
+
+
+@register
+def committed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 + A4: three batches are ingested, of a fourth only one table was written when its writer
+    stopped; readers of the committed views see the three."""
+    from .operators.routing import raw_rows, route_messages
+    from .plans.sinks import append_raw
+    from .sources import fixtures
+    from .streaming.ingest import ingest_batch
+
+    names = _fresh_tables(spark)
+    msgs = _stored(fixtures.messages(spark, sf_dir), "records")
+    quarter = lambda i: msgs.where(F.col("offset") % 4 == i)
+    for i in range(3):
+        ingest_batch(quarter(i), i, names, "batches", updated_at=_ts(spark, "2024-02-01 00:00:00"))
+    append_raw(raw_rows(route_messages(quarter(3)), "electricity"), names["electricity"], "batches", 3)
+    return _committed(spark, names)
+
+
+@register
+def compacted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 + A4: batches folded into day tables in two generations, one batch after them, and a replay
+    of a folded batch; rows with their day, read through the committed views."""
+    from .plans.commits import compact_days, vacuum
+    from .sources import fixtures
+    from .streaming.ingest import ingest_batch
+
+    names = _fresh_tables(spark)
+    msgs = _stored(fixtures.messages(spark, sf_dir), "records")
+
+    def ingest(i):
+        ingest_batch(msgs.where(F.col("offset") % 4 == i), i, names, "batches", updated_at=_ts(spark, "2024-02-01 00:00:00"))
+
+    ingest(0)
+    ingest(1)
+    compact_days(spark, names)
+    ingest(2)
+    compact_days(spark, names)
+    vacuum(spark, names)
+    ingest(0)
+    ingest(3)
+    return _committed(spark, names, "day")
+
+
+@register
+def ledger_rewind_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a rewind in the stored ledger, records ingested after it, then compaction; the positions left."""
+    from .operators.positions import current_ledger
+    from .operators.positions import high_water as hw
+    from .plans.commits import compact_days, rewind
+    from .sources import fixtures
+    from .streaming.ingest import ingest_batch
+
+    names = _fresh_tables(spark)
+    at = _ts(spark, "2024-02-01 00:00:00")
+    msgs = _stored(fixtures.messages(spark, sf_dir), "records")
+    ingest_batch(msgs, 0, names, "first", updated_at=at)
+    electricity = msgs.where(F.col("topic") == "p1-electricity")
+    back = hw(electricity, "topic", "partition", "offset").withColumn("last_offset", F.least(F.col("last_offset"), F.lit(9)))
+    rewind(spark, names, back, GROUP, at)
+    ingest_batch(electricity.where(F.col("offset").between(10, 50)), 0, names, "second", updated_at=at)
+    compact_days(spark, names)
+    left = current_ledger(spark.table(names["ledger_view"]))
+    return left.select("consumer_group_id", "topic", "partition", "last_offset", F.col("epoch").cast("int").alias("epoch"))
+
+
+@register
+def position_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ranges of offsets that log, stored rows and ledger disagree on."""
+    from .operators.audit import position_audit as audit
+    from .operators.positions import high_water as hw
+    from .sources import fixtures
+
+    log = fixtures.messages(spark, sf_dir).select("topic", "partition", "offset")
+    positions = hw(log, "topic", "partition", "offset").withColumn("last_offset", F.col("last_offset") - 20)
+    kept = log.where(F.floor(F.col("offset") / 25) % 7 != 3)
+    again = kept.where((F.col("offset") % 101).isin(7, 8))
+    alien = log.where(F.col("offset") % 211 < 2).withColumn("offset", F.col("offset") + 5_000_000)
+    return audit(log, kept.unionByName(again).unionByName(alien), positions)
+
+
+@register
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 on a stream: raw rows, then copies of every third of them twice, as a stream of small batches."""
+    from .operators.routing import raw_rows
+    from .session import work_dir
+    from .streaming.dedup import dedup_stream_exact
+
+    raw = _stored(raw_rows(_routed(spark, sf_dir), "electricity"), "raw")
+    path, out = work_dir(spark, "appends"), work_dir(spark, "once")
+    for part in (raw, raw.where(F.col("kafka_offset") % 3 == 0), raw.where(F.col("kafka_offset") % 3 == 0)):
+        part.write.mode("append").parquet(path)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", "4").parquet(path)
+    q = (dedup_stream_exact(stream).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", work_dir(spark, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return _raw_out(spark, spark.read.schema(raw.schema).parquet(out))
+
+
+def rebuilt_stream(records: DataFrame) -> DataFrame:
+    """Streamed update records, keyed by meter, routed (E), typed (G2) and rebuilt."""
+    from .operators.rebuild import typed_payload_all
+    from .operators.routing import route_messages as rm
+    from .streaming.rebuild import rebuild_stream
+
+    routed = rm(records, keep=["key"]).where(F.col("reject_reason").isNull())
+    typed = typed_payload_all(routed).select(
+        F.col("key").cast("string").cast("long").alias("meter_id"), F.col("kafka_offset").alias("seq"),
+        F.col("kafka_topic").alias("topic"), "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS,
+    )
+    return rebuild_stream(typed, TOPIC_KINDS)
+
+
+def _update_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The update messages as topic records: a meter's sequence number is its offset."""
+    msgs = _change_messages(spark, sf_dir)
+    return msgs.select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), "topic",
+        (F.col("meter_id") % 4).cast("int").alias("partition"), F.col("seq").alias("offset"), "timestamp",
+        F.lit(0).alias("timestampType"),
+    )
+
+
+@register
+def stream_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 on a stream, after E: full readings from sparse records that arrive in four appends."""
+    from .session import work_dir
+
+    records = _stored(_update_records(spark, sf_dir), "records")
+    top = records.agg(F.max("offset")).first()[0] or 0
+    chunked = records.withColumn("__chunk", F.floor(F.col("offset") * 4 / (top + 1)).cast("int"))
+    path, out = work_dir(spark, "appends"), work_dir(spark, "rebuilt")
+    _write_in_order(chunked, path, "__chunk", 4, ["key"])
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", "8").parquet(path)
+    q = (rebuilt_stream(stream).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", work_dir(spark, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).drop("late").select(
+        "meter_id", "seq", "topic", "telegramTimestamp", *ELECTRICITY_FIELDS, *GAS_FIELDS
+    )

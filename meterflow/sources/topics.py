@@ -38,11 +38,15 @@ def topic_source(
     starting_offsets: str = "earliest",
     max_per_batch: int | None = None,
     options: Mapping[str, str] | None = None,
+    min_per_batch: int | None = None,
+    max_delay: str | None = None,
 ) -> DataFrame:
     """Records of ``topics`` in the Kafka source schema.
 
     With ``bootstrap_servers`` the Kafka connector is used (``subscribe`` to
     all topics at once, ``startingOffsets`` as given, earliest by default).
+    ``min_per_batch`` and ``max_delay`` make a batch wait until it is full or the
+    time is over (Kafka streams: ``minOffsetsPerTrigger``, ``maxTriggerDelay``).
     Otherwise ``path`` names a file topic log; resume positions are applied by
     ``operators.positions.resume`` and the stream checkpoint.
     """
@@ -58,6 +62,10 @@ def topic_source(
         )
         if max_per_batch and stream:
             r = r.option("maxOffsetsPerTrigger", str(max_per_batch))
+        if min_per_batch and stream:
+            r = r.option("minOffsetsPerTrigger", str(min_per_batch))
+        if max_delay and stream:
+            r = r.option("maxTriggerDelay", max_delay)
         for k, v in (options or {}).items():
             r = r.option(k, v)
         return r.load()

@@ -6,11 +6,12 @@ writes to partitions of its own and never replaces what an earlier one wrote.
 
 One micro-batch is routed once, then written to the two raw tables, the
 rejects table and the position log, each into the batch's own
-``(ingest_id, batch_id)`` partition. The checkpoint is the authority on what
-was consumed: if the job dies mid-batch, the batch is replayed and its
-partitions are overwritten, so rows and positions never run ahead of each
-other and nothing is written twice. The position log can be rebuilt from the
-raw tables at any time with ``operators.positions.high_water``.
+``(ingest_id, batch_id)`` partition, and last into the commit manifest: readers of
+the committed views see all of a batch or nothing of it. The checkpoint is the
+authority on what was consumed: if the job dies mid-batch, the batch is replayed
+and its partitions are overwritten; a batch that is committed already is not
+written again, also after it was folded into the day tables. The position log can
+be rebuilt from the raw tables at any time with ``operators.positions.high_water``.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.positions import high_water, ledger_updates
+from ..operators.positions import group_epoch, high_water, ledger_updates
 from ..operators.routing import DEFAULT_ROUTES, raw_rows, rejected_rows, route_messages
+from ..plans.commits import commit_batch, is_committed
 from ..plans.sinks import append_raw, overwrite_batch
 from ..schemas import DEFAULT_GROUP_ID
 
@@ -39,8 +41,18 @@ def ingest_batch(
     absent: str = "null",
     day: bool | None = None,
     updated_at: Column | None = None,
+    epoch: int | None = None,
 ) -> None:
-    """Write one batch of topic records to raw tables, rejects and positions."""
+    """Write one batch of topic records to raw tables, rejects and positions, and commit it.
+
+    ``epoch``: of the positions; the group's present one when not given.
+    """
+    spark = batch.sparkSession
+    if "commits" in tables and is_committed(spark, tables, ingest_id, batch_id):
+        return
+    if epoch is None and "ledger_view" in tables:
+        epoch = group_epoch(spark.table(tables["ledger_view"]), group_id)
+    stamp = updated_at if updated_at is not None else F.current_timestamp()
     routes = dict(routes or DEFAULT_ROUTES)
     routed = route_messages(batch, routes, on_malformed, absent).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -49,9 +61,10 @@ def ingest_batch(
         if "rejects" in tables:
             append_raw(rejected_rows(routed), tables["rejects"], ingest_id, batch_id, day)
         if "ledger" in tables:
-            stamp = updated_at if updated_at is not None else F.current_timestamp()
-            positions = ledger_updates(high_water(routed), group_id, stamp)
+            positions = ledger_updates(high_water(routed), group_id, stamp, epoch or 0)
             overwrite_batch(positions, tables["ledger"], ingest_id, batch_id)
+        if "commits" in tables:
+            commit_batch(spark, tables, ingest_id, batch_id, stamp)
     finally:
         routed.unpersist()
 
@@ -84,8 +97,12 @@ def start_ingest(
     """
     position = f"{ingest_id}-{checkpoint_token(records.sparkSession, checkpoint)}"
 
+    # A rewind while the stream runs does not concern it: its checkpoint leads.
+    view = tables.get("ledger_view")
+    epoch = group_epoch(records.sparkSession.table(view), group_id) if view else None
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, tables, position, group_id, routes, on_malformed, absent, day, updated_at)
+        ingest_batch(batch, batch_id, tables, position, group_id, routes, on_malformed, absent, day, updated_at, epoch)
 
     writer = records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName(
         f"ingest_{ingest_id}"
