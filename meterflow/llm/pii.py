@@ -4,13 +4,17 @@ Base spans come from four expressions (email, ip, card, phone) and their checks.
 They seed a bootstrap: whole base spans are the first instances, with or without
 digits. A lexical pattern is the word before, the word after, or both; it says
 nothing of the value's form. Under one word the candidate is the single word next
-to it, under a pair the run of up to ``RUN`` words between. Spark scores the graph
-of patterns and instances in rounds: a pattern by the share of its instances that
-are known, an instance by its best-supported patterns. Instances of a high score
-bring up further patterns where they occur again, up to ``GROWTHS`` times. Unknown
-candidates of any form under patterns of high confidence and support become spans
-of kind ``context``. Candidates are whole words between white space, without the
-punctuation around them.
+to it, under a pair the run of up to ``RUN`` words between. A pattern is taken up
+when it has ``SUPPORT`` known instances and at least ``SHARE`` of its occurrences
+in the corpus hold a known one; both are counted over all texts. Spark scores the
+graph of patterns and instances in ``ROUNDS`` rounds: a pattern by the share of its
+instances that are known, an instance by its best-supported patterns. Instances of
+a high score bring up further patterns where they occur again, up to ``GROWTHS``
+times. Unknown candidates of any form under patterns of high confidence and support
+become spans of kind ``context``. Candidates are whole words between white space,
+without the punctuation around them. A word of more than ``NEAR`` characters is no
+context. Occurrences are counted and found by 8-byte codes of the patterns; the
+pattern's text decides.
 
 Everything is built-in Spark expressions. A span's place is the sum of the
 lengths of what ``split`` and ``regexp_extract_all`` return before it. The
@@ -43,12 +47,14 @@ IP_FITS = rf"^{IP_PART}(?:\.{IP_PART}){{3}}$"
 
 WORDS = r"(?<=\s)(?=\S)"  # between words; a word keeps the white space after it
 STRIP = " \t\n\x0b\f\r.,;:!?\"'`<>[](){}|*"  # what a value or neighbour word is freed of at both ends
-CONTEXT = 80  # characters next to a base span in which its neighbour words are looked for
+NEAR = 160  # characters of a neighbour word, at most
+CONTEXT = 240  # characters next to a base span in which its neighbour words are looked for: a word and punctuation
 RUN = 4  # words of a candidate between two neighbour words
 ROUNDS = 3
 GROWTHS = 2
 CONFIDENT = 0.8
 SUPPORT = 5  # known instances a pattern needs
+SHARE = 0.5  # of a pattern's occurrences that hold a known instance
 
 
 CHUNK = 128  # matches placed together; keeps the cost of long match lists linear
@@ -118,17 +124,21 @@ def _bare(word: Column) -> Column:
 
 
 def _near(word: Column) -> Column:
-    """A neighbour word as patterns hold it."""
-    return F.lower(F.left(_bare(word), F.lit(CONTEXT)))
+    """A neighbour word as patterns hold it; null where it is none."""
+    bare = _bare(word)
+    return F.when((bare != "") & (F.length(bare) <= NEAR), F.lower(bare))
 
 
-def _patterns(before: Column, after: Column, single: Column) -> Column:
+def _patterns(before: Column, after: Column) -> Column:
     """The lexical patterns of a value between two neighbour words; null where a word is missing."""
-    return F.array(
-        F.when(single & (before != ""), F.concat(F.lit("<"), before)),
-        F.when(single & (after != ""), F.concat(F.lit(">"), after)),
-        F.when((before != "") & (after != ""), F.concat(F.lit("="), before, F.lit("\t"), after)),
-    )
+    return F.array(F.concat(F.lit("<"), before), F.concat(F.lit(">"), after), F.concat(F.lit("="), before, F.lit("\t"), after))
+
+
+def _code(pattern: Column) -> Column:
+    """The code of a pattern's text, as ``_codes`` has it."""
+    kind, rest = F.left(pattern, F.lit(1)), F.expr("substr(pattern, 2)")
+    before, after = F.substring_index(rest, "\t", 1), F.substring_index(rest, "\t", -1)
+    return F.when(kind == "=", F.xxhash64(kind, F.xxhash64(before), F.xxhash64(after))).otherwise(F.xxhash64(kind, F.xxhash64(rest)))
 
 
 def _pieces(text: Column) -> Column:
@@ -154,46 +164,81 @@ def _pieces(text: Column) -> Column:
     return _let(F.concat(F.array(F.lit("")), F.split(text, WORDS, -1)), cut)
 
 
-def _words(pieces: DataFrame) -> DataFrame:
-    """One row a word: ``near``, from the word before it to RUN + 1 words on, and where it starts."""
-    at = pieces.select("row", "base", "begin", "words", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"))
-    start = F.col("begin") + F.length(F.array_join(F.slice("words", F.lit(2), F.col("at") - 1), ""))
-    return at.select("row", "base", start.alias("start"), F.slice("words", F.col("at"), F.lit(RUN + 2)).alias("near"))
+def _codes(words: Column, n: Column) -> Column:
+    """Array of (at, k, code): the pattern codes around the runs of ``k`` words that begin at word ``at`` of a piece."""
+
+    def around(hashes):
+        def of(at):
+            before = F.get(hashes, at - 1)
+
+            def code(k, *parts):
+                known = parts[1].isNotNull() & parts[-1].isNotNull()
+                return F.when(known, F.struct(at.alias("at"), F.lit(k).alias("k"), F.xxhash64(*parts).alias("code")))
+
+            pairs = [code(k, F.lit("="), before, F.get(hashes, at + k)) for k in range(1, RUN + 1)]
+            return F.array(code(1, F.lit("<"), before), code(1, F.lit(">"), F.get(hashes, at + 1)), *pairs)
+
+        return F.flatten(F.transform(F.sequence(F.lit(1), n), of))
+
+    # Each word is bared and lowered once.
+    hashes = F.transform(words, lambda w: _let(_near(w), lambda x: F.when(x.isNotNull(), F.xxhash64(x))))
+    return _let(hashes, around)
 
 
-def _runs(words: DataFrame) -> DataFrame:
-    """``row, start, end, value, pattern`` of the runs that begin at the words and touch no base span."""
+def _pieces_of(rows: DataFrame) -> DataFrame:
+    """``row, piece, begin, words, n`` of ``rows(row, text)``."""
+    return rows.select("row", F.posexplode(_pieces(F.col("text"))).alias("piece", "p")).select("row", "piece", "p.*")
 
-    def run(n):
-        raw = F.array_join(F.slice("near", 2, n), "")
-        lead = F.length(raw) - F.length(F.ltrim(raw, F.lit(STRIP)))
-        after = F.coalesce(_near(F.get("near", F.lit(n + 1))), F.lit(""))
-        return F.struct((F.col("start") + lead).alias("start"), _bare(raw).alias("value"), _patterns(_near(F.get("near", F.lit(0))), after, F.lit(n == 1)).alias("patterns"))
 
-    each = F.explode(F.array(*[F.when(F.size("near") > n, run(n)) for n in range(1, RUN + 1)])).alias("r")
-    out = words.select("row", "base", each).where("r IS NOT NULL AND r.value != ''")
-    out = out.select("row", "base", "r.start", (F.col("r.start") + F.length("r.value")).alias("end"), "r.value", "r.patterns")
-    out = out.where(~F.exists("base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"])))
-    return out.select("row", "start", "end", "value", F.explode("patterns").alias("pattern")).where("pattern IS NOT NULL")
+def _occurrences(rows: DataFrame) -> DataFrame:
+    """``row, piece, at, k, code`` of every place around which a pattern could stand."""
+    out = _pieces_of(rows).select("row", "piece", F.explode(_codes(F.col("words"), F.col("n"))).alias("c"))
+    return out.where("c IS NOT NULL").select("row", "piece", "c.at", "c.k", "c.code")
 
 
-def _under(pieces: DataFrame, able: DataFrame) -> DataFrame:
-    """Runs under the patterns ``able(pattern)``."""
-    words = _words(pieces)
-    key = F.substring_index(F.expr("substr(pattern, 2)"), "\t", 1).alias("key")
-    before = able.where("pattern NOT LIKE '>%'").select(key).distinct()
-    after = able.where("pattern LIKE '>%'").select(key).distinct()
-    first = words.withColumn("key", _near(F.get("near", F.lit(0)))).join(before, "key", "left_semi")
-    last = words.withColumn("key", _near(F.get("near", F.lit(2)))).join(after, "key", "left_semi")
-    runs = _runs(first).where("pattern NOT LIKE '>%'").unionByName(_runs(last).where("pattern LIKE '>%'"))
-    return runs.join(able, "pattern", "left_semi")
+def _runs(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """The runs at ``hits(row, piece, at, k, ...)`` that touch no base span: their columns and ``start, end, value, patterns``."""
+    hits = materialise(hits, "pii-hits")  # its size is known to the planner then
+    held = rows.join(hits.select("row").distinct(), "row", "left_semi")
+    reach = F.col("begin") + F.length(F.array_join("words", ""))
+    near = F.filter("base", lambda s: (s["end"] > F.col("begin")) & (s["start"] < F.col("reach")))  # of the base spans, those at the piece
+    pieces = _pieces_of(held).withColumn("reach", reach).join(held.select("row", "base"), "row").withColumn("base", near)
+    at = hits.join(pieces, ["row", "piece"])
+    own = F.array_join(F.slice("words", F.col("at") + 1, F.col("k")), "")
+    ahead = F.length(F.array_join(F.slice("words", F.lit(2), F.col("at") - 1), ""))
+    at = at.withColumn("raw", own).withColumn("value", _bare(F.col("raw"))).where("value != ''")
+    lead = F.length("raw") - F.length(F.ltrim(F.col("raw"), F.lit(STRIP)))
+    at = at.withColumn("start", F.col("begin") + ahead + lead).withColumn("end", F.col("start") + F.length("value"))
+    at = at.where(~F.exists("base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"])))
+    patterns = _patterns(_near(F.get("words", F.col("at") - 1)), _near(F.get("words", F.col("at") + F.col("k"))))
+    return at.select(*hits.columns, "start", "end", "value", patterns.alias("patterns"))
 
 
-def _again(pieces: DataFrame, fresh: DataFrame) -> DataFrame:
-    """``pattern, value`` of every place where a value of ``fresh(value)`` stands."""
-    head = _bare(F.get(F.split(F.col("value"), r"\s", 2), F.lit(0))).alias("key")
-    words = _words(pieces).withColumn("key", _bare(F.get("near", F.lit(1)))).join(fresh.select(head).distinct(), "key", "left_semi")
-    return _runs(words).join(fresh, "value", "left_semi").select("pattern", "value").distinct()
+def _worthwhile(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """``pattern, code`` of the patterns of ``places(value, pattern, n)`` with enough known instances and occurrences."""
+    able = places.groupBy("pattern").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("known")).where(f"values >= {SUPPORT}")
+    able = materialise(able.select("pattern", "known", _code(F.col("pattern")).alias("code")), "pii-able")
+    seen = _occurrences(rows).join(able.select("code").distinct(), "code", "left_semi").groupBy("code").agg(F.count(F.lit(1)).alias("all"))
+    return able.join(seen, "code").where(F.col("known") >= F.lit(SHARE) * F.col("all")).select("pattern", "code")
+
+
+def _under(rows: DataFrame, good: DataFrame) -> DataFrame:
+    """``row, start, end, value, pattern`` of the runs under the patterns ``good(pattern, code)``."""
+    runs = _runs(rows, _occurrences(rows).join(good, "code").drop("code"))
+    return runs.where(F.array_contains("patterns", F.col("pattern"))).select("row", "start", "end", "value", "pattern")
+
+
+def _again(rows: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``value, pattern, n``: where the values of ``fresh(value)`` stand."""
+    head = _bare(F.get(F.split(F.col("value"), r"\s", 2), F.lit(0)))
+    heads = fresh.select(F.xxhash64(head).alias("code")).distinct()
+    firsts = F.transform(F.slice("words", F.lit(2), F.col("n")), lambda w: F.xxhash64(_bare(w)))
+    at = _pieces_of(rows).select("row", "piece", F.posexplode(firsts).alias("at", "code")).join(heads, "code", "left_semi")
+    hits = at.select("row", "piece", (F.col("at") + 1).alias("at"), F.explode(F.array(*[F.lit(k) for k in range(1, RUN + 1)])).alias("k"))
+    runs = _runs(rows, hits).join(fresh, "value", "left_semi")
+    # Single words stand under one neighbour too, longer runs between two.
+    each = runs.select("value", "k", F.explode("patterns").alias("pattern")).where("pattern IS NOT NULL AND (k = 1 OR pattern LIKE '=%')")
+    return each.groupBy("value", "pattern").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _confident(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -213,51 +258,44 @@ def _confident(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return patterns.select("pattern"), score
 
 
-def _bootstrap(found: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``row, start, end`` of the candidates under confident patterns."""
-    seed = found.select(F.explode("base").alias("s"))
-    before = F.lower(F.left(_bare(F.regexp_extract(_bare(F.col("s.before")), r"(\S+)$", 1)), F.lit(CONTEXT)))
-    after = F.lower(F.left(_bare(F.regexp_extract(_bare(F.col("s.after")), r"^(\S+)", 1)), F.lit(CONTEXT)))
-    seed = seed.select(F.col("s.value").alias("value"), F.explode(_patterns(before, after, F.lit(True))).alias("pattern"))
-    known = materialise(seed.where("pattern IS NOT NULL").distinct(), "pii-seeds")
-    places, tried, runs = known, None, None
+def _bootstrap(rows: DataFrame) -> DataFrame:
+    """``row, start, end`` of the candidates under confident patterns, of ``rows(row, text, base)``."""
+    seed = rows.select(F.explode("base").alias("s"))
+    before = _near(F.regexp_extract(_bare(F.col("s.before")), r"(\S+)$", 1))
+    after = _near(F.regexp_extract(_bare(F.col("s.after")), r"^(\S+)", 1))
+    seed = seed.select(F.col("s.value").alias("value"), F.explode(_patterns(before, after)).alias("pattern"))
+    known = materialise(seed.where("pattern IS NOT NULL").groupBy("value", "pattern").agg(F.count(F.lit(1)).alias("n")), "pii-seeds")
+    places, good, runs, confident = known, None, None, None
     for turn in range(GROWTHS + 1):
-        # Only patterns with enough instances can become confident.
-        able = places.groupBy("pattern").count().where(f"count >= {SUPPORT}").select("pattern")
-        able = materialise(able if tried is None else able.join(tried, "pattern", "left_anti"), "pii-able")
-        if turn and able.isEmpty():
+        new = _worthwhile(rows, places)
+        new = materialise(new if good is None else new.join(good, "pattern", "left_anti"), "pii-good")
+        if new.isEmpty():
             break
-        tried = able if tried is None else tried.union(able)
-        new = materialise(_under(pieces, able), "pii-runs")
-        runs = new if runs is None else runs.union(new)
-        edges = runs.select("pattern", "value", F.lit(False).alias("known")).union(known.join(tried, "pattern", "left_semi").select("pattern", "value", F.lit(True)))
+        good = new if good is None else good.union(new)
+        more = materialise(_under(rows, new), "pii-runs")
+        runs = more if runs is None else runs.union(more)
+        edges = runs.select("pattern", "value", F.lit(False).alias("known")).union(known.join(good, "pattern", "left_semi").select("pattern", "value", F.lit(True)))
         edges = materialise(edges.groupBy("pattern", "value").agg(F.max("known").alias("known")), "pii-edges")
-        good, score = _confident(edges)
+        confident, score = _confident(edges)
         if turn == GROWTHS:
             break
         fresh = materialise(score.where(f"score >= {CONFIDENT}").select("value").join(known, "value", "left_anti"), "pii-fresh")
         if fresh.isEmpty():
             break
-        places = known.union(materialise(_again(pieces, fresh), "pii-again").select("value", "pattern"))
-    return runs.join(good, "pattern", "left_semi").select("row", "start", "end").distinct()
+        places = known.union(materialise(_again(rows, fresh), "pii-again"))
+    if runs is None:
+        return rows.limit(0).select("row", F.lit(0).alias("start"), F.lit(0).alias("end"))
+    return runs.join(confident, "pattern", "left_semi").select("row", "start", "end").distinct()
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, base, added`` of every row: arrays of (start, kind, end)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    rows = rows.select("doc_id", base_spans(F.col("text")).alias("base"), _pieces(F.col("text")).alias("pieces"))
-    plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-
-    def with_base(p):
-        # Of the base spans only those near the piece go on with it.
-        near = _let(p["begin"] + F.length(F.array_join(p["words"], "")), lambda reach: F.filter(plain, lambda s: (s["end"] > p["begin"]) & (s["start"] < reach)))
-        return F.struct(p["begin"].alias("begin"), p["words"].alias("words"), p["n"].alias("n"), near.alias("base"))
-
-    rows = rows.withColumn("pieces", F.transform("pieces", with_base)).withColumn("row", F.monotonically_increasing_id())
+    # Written with the spans, so that nothing below computes them again.
+    rows = rows.withColumn("base", base_spans(F.col("text"))).withColumn("row", F.monotonically_increasing_id())
     rows = materialise(rows, "pii-base")
-    pieces = rows.select("row", F.explode("pieces").alias("p")).select("row", "p.*")
-    new = _bootstrap(rows, pieces)
+    new = _bootstrap(rows)
     new = new.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", (-F.col("end")).alias("end")))).alias("all"))
 
     def apart(acc, x):
@@ -267,6 +305,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     added = F.aggregate("all", F.struct(F.lit(0).alias("at"), empty.alias("out")), apart, lambda acc: acc["out"])
     new = materialise(new.select("row", added.alias("added")), "pii-added")
+    plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     out = rows.select("row", "doc_id", plain.alias("base")).join(new, "row", "left")
     return out.select("doc_id", "base", F.coalesce("added", empty).alias("added"))
 

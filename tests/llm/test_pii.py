@@ -50,8 +50,9 @@ def test_random_texts(spark):
 
 def test_very_long_texts_take_linear_time(spark):
     pairs = list(enumerate(["1" * 200_000, "a" * 200_000, "1 " * 50_000, "+1" + " " * 100_000, "1.2.3.4 " * 5000, "x" * 100_000 + "@y.z"]))
+    want = sorted(((d, brute(t)) for d, t in pairs), key=str)  # the plain expressions are quadratic: not timed
     began = time.time()
-    assert found(docs_of(spark, pairs)) == sorted(((d, brute(t)) for d, t in pairs), key=str)
+    assert found(docs_of(spark, pairs)) == want
     assert time.time() - began < 120
 
 
