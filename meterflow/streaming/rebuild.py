@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -62,8 +63,10 @@ def rebuild_stream(typed: DataFrame, topic_kinds: Mapping[str, str], topic: str
             if f not in fields:
                 out[f] = _column(f, pd.Series([None] * len(pdf), index=pdf.index, dtype=object))
                 continue
-            full = timely[f].astype(object).where(timely[f].notna(), None).ffill()
-            full = full.where(full.notna(), held[f])
+            # The last value at or before each message, else the held one.
+            at = np.maximum.accumulate(np.where(timely[f].notna(), np.arange(len(timely)), -1))
+            own = timely[f].to_numpy(object)
+            full = pd.Series([held[f] if i < 0 else own[i] for i in at], index=timely.index, dtype=object)
             value = pdf[f].astype(object).where(pdf[f].notna(), None)
             value[full.index] = full
             out[f] = _column(f, value)
