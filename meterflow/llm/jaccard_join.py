@@ -214,7 +214,7 @@ def _classes_of(k: int):
             for lo, hi in in_chunks(texts):
                 hashes, owner = shingle_sets(cut_words(texts[lo:hi], lower=True), k)
                 size, key, check = set_keys(hashes, owner, hi - lo)
-                out = {"doc_id": b["doc_id"].iloc[lo:hi].array, "tx": b["tx"].to_numpy()[lo:hi], "n": size.astype(np.int64), "key": _signed(key), "chk": _signed(check)}
+                out = {"doc_id": b["doc_id"].to_numpy()[lo:hi], "named": b["named"].to_numpy()[lo:hi], "tx": b["tx"].to_numpy()[lo:hi], "n": size.astype(np.int64), "key": _signed(key), "chk": _signed(check)}
                 yield pd.DataFrame(out | {"sketch": pd.Series(sketches(hashes, owner, hi - lo), dtype=object)})
 
     return run
@@ -276,7 +276,10 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tx"), text.alias("text"))
-    members = materialise(rows.mapInPandas(_classes_of(k), "doc_id bigint, tx bigint, n bigint, key bigint, chk bigint, sketch array<bigint>"), "set-classes")
+    # Ids pass pandas without nulls, which would turn them to floats.
+    sent = rows.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("named"), "tx", "text")
+    members = sent.mapInPandas(_classes_of(k), "doc_id bigint, named boolean, tx bigint, n bigint, key bigint, chk bigint, sketch array<bigint>")
+    members = materialise(members.withColumn("doc_id", F.when(F.col("named"), F.col("doc_id"))).drop("named"), "set-classes")
     # A class is one distinct set; its text is that of its first row.
     classes = members.where("n > 0").groupBy("key", "chk", "n").agg(F.min(F.struct("doc_id", "tx")).alias("rep"), F.first("sketch").alias("sketch"))
     classes = materialise(classes.select("key", "chk", "n", "rep", "sketch", F.monotonically_increasing_id().alias("cid")), "classes")
@@ -287,8 +290,7 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     shared = _shared_keys(index)
     nodes = classes.select("key", "cid")
     buckets = materialise(shared.join(nodes, "key").select("sig", "cid"), "buckets")
-    links = _compare(rows, classes, buckets, k, percent)
-    roots = connected(links)
+    roots = _compare(rows, classes, buckets, k, percent).roots()
     names = classes.join(roots, F.col("cid") == F.col("node"), "left").select("key", "chk", F.coalesce("root", "cid").alias("root"))
     own = members.select("doc_id", "tx", "n", "key", "chk").join(names, ["key", "chk"], "left")
     own = materialise(own.select("doc_id", "tx", "n", "root"), "set-members")
@@ -356,10 +358,29 @@ def _with_neighbour(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"sig": held[0], "key": held[1]})
 
 
-def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, percent: int) -> DataFrame:
+class _Links:
+    """Links found so far, as the components they amount to; nothing is worked out again where none were added."""
+
+    def __init__(self, spark):
+        self.known = spark.createDataFrame([], "node bigint, root bigint")
+        self.new: DataFrame | None = None
+
+    def add(self, links: DataFrame) -> None:
+        if not links.isEmpty():
+            self.new = links if self.new is None else self.new.union(links)
+
+    def roots(self) -> DataFrame:
+        """``node, root`` of every linked set."""
+        if self.new is not None:
+            # A component that is known goes on as one link from each of its sets to its root.
+            self.known = connected(self.known.select(F.col("root").alias("a"), F.col("node").alias("b")).union(self.new))
+            self.new = None
+        return self.known
+
+
+def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, percent: int) -> _Links:
     """Links among the sets of each bucket."""
-    spark = rows.sparkSession
-    links, left = spark.createDataFrame([], "a bigint, b bigint"), buckets
+    links, left = _Links(rows.sparkSession), buckets
     for _ in range(CENTRES):
         # The smallest set still open under a key is its centre; it is compared
         # with the others and leaves the key.
@@ -369,14 +390,17 @@ def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, pe
         pairs = materialise(_near(pairs, classes, percent), "near-pairs")
         # One pair of each set first: most other pairs then join what is joined already.
         one = materialise(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
-        links = links.union(_verified(one, rows, classes, k, percent))
-        rest = _apart(pairs.join(one, ["a", "b"], "left_anti"), connected(links))
-        links = links.union(_verified(rest, rows, classes, k, percent))
-        left = materialise(_open(others.select("sig", "cid"), connected(links)), "buckets")
+        links.add(_verified(one, rows, classes, k, percent))
+        rest = _apart(pairs.join(one, ["a", "b"], "left_anti"), links.roots())
+        links.add(_verified(rest, rows, classes, k, percent))
+        left = materialise(_open(others.select("sig", "cid"), links.roots()), "buckets")
+        if left.isEmpty():
+            return links
     # What is left under a key is compared block against block by sketch. Only
     # pairs of different components that the sketch cannot rule out come back.
-    near = _blockwise(left.join(connected(links).select(F.col("node").alias("cid"), F.col("root")), "cid", "left"), classes, percent)
-    return links.union(_verified(near, rows, classes, k, percent))
+    near = _blockwise(left.join(links.roots().select(F.col("node").alias("cid"), F.col("root")), "cid", "left"), classes, percent)
+    links.add(_verified(near, rows, classes, k, percent))
+    return links
 
 
 def _within(percent: int) -> str:
@@ -399,6 +423,8 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs that are links, decided on the texts."""
     pairs = materialise(pairs, "set-pairs")
+    if pairs.isEmpty():
+        return pairs
     who = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct().join(classes.select("cid", "rep.*"), "cid")
     texts = rows.alias("r").join(who.alias("i"), F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.tx") == F.col("i.tx")))
     texts = materialise(texts.select("cid", packed(F.col("text")).alias("body")).dropDuplicates(["cid"]), "set-texts")

@@ -101,7 +101,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 def _occurrences(window: int, k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, ids, tx = b["text"].tolist(), b["doc_id"], b["tx"].to_numpy()
+            texts, tx = b["text"].tolist(), b["tx"].to_numpy()
             for lo, hi in in_chunks(texts):
                 nodes = Nodes(texts[lo:hi], window, k)
                 if len(nodes.at):
@@ -111,7 +111,7 @@ def _occurrences(window: int, k: int):
                             "node": _signed(nodes.key),
                             "before": _signed(before),
                             "after": _signed(after),
-                            "doc_id": ids.iloc[lo:hi].array.take(nodes.text),
+                            **{c: b[c].to_numpy()[lo:hi][nodes.text] for c in _OWN},
                             "at": (nodes.at - nodes.cut.starts[nodes.text]).astype(np.int32),
                         }
                     )
@@ -135,7 +135,11 @@ def _outcome(text: str, mask: np.ndarray) -> tuple[int, int, str]:
     return len(mask), gone, hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-_JUDGED = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, packed binary, sure array<int>, at array<int>"
+# What names a text: its id (0 for none) and whether it has one, neither ever null so that pandas keeps them
+# exact, and the text's digest, which tells texts of one id apart.
+_OWN = ["doc_id", "named", "tx"]
+_OWN_DDL = "doc_id bigint, named boolean, tx bigint"
+_JUDGED = f"{_OWN_DDL}, n_words bigint, n_removed bigint, kept_sha256 string, packed binary, sure array<int>, at array<int>"
 
 
 def _mark(at: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -185,8 +189,7 @@ def _judge(window: int, k: int):
                         rows.append((*_outcome(texts[lo + i], _covered(s, n, window)), None, None, None))
                 out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "packed", "sure", "at"])
                 out["n_removed"] = out["n_removed"].astype("Int64")
-                out.insert(0, "doc_id", b["doc_id"].iloc[lo:hi].array)
-                yield out
+                yield pd.concat([b[_OWN].iloc[lo:hi].reset_index(drop=True), out], axis=1)
 
     return run
 
@@ -209,7 +212,7 @@ def _window_hashes(window: int):
             texts, places = [unpack(z) for z in b["packed"]], b["at"].tolist()
             for lo, hi in in_chunks(texts):
                 text, at, h1, h2 = _hashes(texts[lo:hi], places[lo:hi], window)
-                yield pd.DataFrame({"doc_id": b["doc_id"].array.take(text + lo), "at": at.astype(np.int32), "h1": _signed(h1), "h2": _signed(h2)})
+                yield pd.DataFrame({**{c: b[c].to_numpy()[text + lo] for c in _OWN}, "at": at.astype(np.int32), "h1": _signed(h1), "h2": _signed(h2)})
 
     return run
 
@@ -230,8 +233,7 @@ def _finish(window: int):
                     starts = np.concatenate([np.asarray(sure[lo + i], np.int64), again])
                     rows.append((*_outcome(texts[lo + i], _covered(starts, int(n[lo + i]), window)),))
                 out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
-                out.insert(0, "doc_id", b["doc_id"].iloc[lo:hi].array)
-                yield out
+                yield pd.concat([b[_OWN].iloc[lo:hi].reset_index(drop=True), out], axis=1)
 
     return run
 
@@ -239,25 +241,28 @@ def _finish(window: int):
 def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tx"), text.alias("text"))
-    found = rows.mapInPandas(_occurrences(window, k), "node bigint, before bigint, after bigint, doc_id bigint, at int")
+    given = F.col(id_col).cast("bigint")
+    rows = docs.select(F.coalesce(given, F.lit(0)).alias("doc_id"), given.isNotNull().alias("named"), F.xxhash64(text).alias("tx"), text.alias("text"))
+    found = rows.mapInPandas(_occurrences(window, k), f"node bigint, before bigint, after bigint, {_OWN_DDL}, at int")
     spread = [f(c).alias(f"{c}_{n}") for c in ("before", "after") for n, f in (("lo", F.min), ("hi", F.max))]
     nodes = found.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *spread).where("n > 1")
     flags = (F.col("before_lo") == F.col("before_hi")).cast("bigint") + (F.col("after_lo") == F.col("after_hi")).cast("bigint") * 2
     nodes = materialise(nodes.select("node", flags.alias("flags")), "nodes")
-    marks = found.select("node", "doc_id", "at").join(nodes, "node")
+    marks = found.select("node", *_OWN, "at").join(nodes, "node")
     mark = F.shiftleft(F.col("at").cast("bigint"), 34).bitwiseOR(F.shiftleft(F.col("node").bitwiseAND(F.lit(0xFFFFFFFF)), 2)).bitwiseOR(F.col("flags"))
-    marks = marks.groupBy("doc_id").agg(F.collect_set(mark).alias("marks")).select(F.col("doc_id").alias("m_id"), "marks")
-    bodies = rows.select("doc_id", packed(F.col("text")).alias("packed"))
-    both = bodies.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")), "left")
-    judged = materialise(both.select("doc_id", "packed", "marks").mapInPandas(_judge(window, k), _JUDGED), "windows")
-    done = judged.where("packed IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256")
+    # By id and text: however many rows share an id, a list is no longer than one text's.
+    marks = marks.groupBy(*_OWN).agg(F.collect_set(mark).alias("marks"))
+    bodies = rows.select(*_OWN, packed(F.col("text")).alias("packed"))
+    both = bodies.join(marks, _OWN, "left")
+    judged = materialise(both.select(*_OWN, "packed", "marks").mapInPandas(_judge(window, k), _JUDGED), "windows")
+    done = judged.where("packed IS NULL").select("doc_id", "named", "n_words", "n_removed", "kept_sha256")
     pending = judged.where("packed IS NOT NULL")
-    ends = pending.select("doc_id", "packed", "at").mapInPandas(_window_hashes(window), "doc_id bigint, at int, h1 bigint, h2 bigint")
+    ends = pending.select(*_OWN, "packed", "at").mapInPandas(_window_hashes(window), f"{_OWN_DDL}, at int, h1 bigint, h2 bigint")
     twice = ends.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
     twice = materialise(twice, "repeated-windows")  # a plain side for the join, so that a hot window's rows are split
     mark = F.shiftleft(F.col("at").cast("bigint"), 34).bitwiseOR(F.shiftleft(F.col("h1").bitwiseAND(F.lit(0xFFFFFFFF)), 2))
-    more = ends.join(twice, ["h1", "h2"]).groupBy("doc_id").agg(F.collect_set(mark).alias("more")).select(F.col("doc_id").alias("m_id"), "more")
-    rest = pending.join(more, F.col("doc_id").eqNullSafe(F.col("m_id")), "left")
-    rest = rest.select("doc_id", "packed", "n_words", "sure", "at", "more").mapInPandas(_finish(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
-    return done.union(rest)
+    more = ends.join(twice, ["h1", "h2"]).groupBy(*_OWN).agg(F.collect_set(mark).alias("more"))
+    rest = pending.join(more, _OWN, "left")
+    rest = rest.select(*_OWN, "packed", "n_words", "sure", "at", "more").mapInPandas(_finish(window), f"{_OWN_DDL}, n_words bigint, n_removed bigint, kept_sha256 string")
+    out = done.unionByName(rest.select(*done.columns))
+    return out.select(F.when(F.col("named"), F.col("doc_id")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")

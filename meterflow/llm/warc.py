@@ -41,6 +41,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +54,9 @@ ARCHIVE_BYTES = 256 << 20  # an archive file is closed after this many bytes
 DATE = "2000-01-01T00:00:00Z"  # pages carry no time of capture
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CAPTURE = "key string, page_id bigint, file string, offset bigint, length bigint"
+_CAPTURE_NAMES = ["key", "page_id", "file", "offset", "length"]
+_CAPTURE_TYPES = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+READ_BYTES = 1 << 24  # of the archives that one task of a full read takes, about
 _URL = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?(?P<host>\[[^\]]*\]|[^/?#:]*)(?::(?P<port>\d*))?(?P<rest>[^#]*)", re.I | re.S)
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
@@ -144,18 +148,17 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     revisit = F.col("known").isNotNull() & (F.octet_length("payload") >= REVISIT_BYTES) & ~F.col("page_id").eqNullSafe(F.col("response"))
     rows = rows.select("page_id", "url", "payload", "digest", "response", revisit.alias("revisit"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Arrow, not pandas: a null would turn a column of ids to floats.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _file_system(path)
         system.create_dir(base, recursive=True)
         out, name, at = None, "", 0
         try:
             for b in batches:
                 found = []
-                null = b["page_id"].isna().to_numpy()
-                ids, refs = b["page_id"].to_numpy(), b["response"].to_numpy()
-                for i, (url, payload, digest, again) in enumerate(zip(b["url"], b["payload"], b["digest"], b["revisit"])):
-                    page = None if null[i] else int(ids[i])
-                    data = record(page, url, payload, digest, None if not again or pd.isna(refs[i]) else int(refs[i]), bool(again))
+                for values in zip(*b.columns):
+                    page, url, payload, digest, response, again = (v.as_py() for v in values)
+                    data = record(page, url, payload, digest, response if again else None, again)
                     data = gzip.compress(data, 6, mtime=0)
                     if out is not None and at + len(data) > ARCHIVE_BYTES:
                         out.close()
@@ -167,12 +170,12 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                     found.append((capture_key(url, page), page, name, at, len(data)))
                     at += len(data)
                 if found:
-                    yield pd.DataFrame(found, columns=["key", "page_id", "file", "offset", "length"]).astype({"page_id": "Int64"})
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), _CAPTURE_TYPES)], names=_CAPTURE_NAMES)
         finally:
             if out is not None:
                 out.close()
 
-    return materialise(rows.mapInPandas(run, _CAPTURE), "captures")
+    return materialise(rows.mapInArrow(run, _CAPTURE), "captures")
 
 
 @dataclass(frozen=True)
@@ -246,18 +249,24 @@ class _Reader:
                 self.kept.popitem(last=False)
         return self.kept[key]
 
-    def directory(self, part: int) -> list:
+    def directory(self, part: int) -> tuple[list, list[str]]:
+        """Blocks of a part, and their first keys."""
+
         def make():
             with self.system.open_input_stream(f"{self.base}/{self.index.names[part]}.directory") as f:
-                return json.loads(f.read())
+                entries = json.loads(f.read())
+            return entries, [e[0] for e in entries]
 
         return self._keep(part, make)
 
-    def lines(self, part: int, n: int) -> list[list[str]]:
+    def lines(self, part: int, n: int) -> tuple[list[list[str]], list[str]]:
+        """Lines of a block, and their keys."""
+
         def make():
-            _, offset, length = self.directory(part)[n]
+            _, offset, length = self.directory(part)[0][n]
             data = gzip.decompress(self.read(self.system, f"{self.base}/{self.index.names[part]}.blocks", offset, length))
-            return [line.split("\t") for line in data.decode().split("\n")[:-1]]
+            lines = [line.split("\t") for line in data.decode().split("\n")[:-1]]
+            return lines, [x[0] for x in lines]
 
         return self._keep((part, n), make)
 
@@ -265,11 +274,10 @@ class _Reader:
         """File, offset and length of every capture with this key."""
         part = max(bisect_left(self.index.first, key) - 1, 0)
         while part < len(self.index.first) and self.index.first[part] <= key:
-            firsts = [d[0] for d in self.directory(part)]
+            _, firsts = self.directory(part)
             n = max(bisect_left(firsts, key) - 1, 0)
             while n < len(firsts) and firsts[n] <= key:
-                lines = self.lines(part, n)
-                keys = [x[0] for x in lines]
+                lines, keys = self.lines(part, n)
                 for _, file, offset, length in lines[bisect_left(keys, key) : bisect_right(keys, key)]:
                     yield file, int(offset), int(length)
                 n += 1
@@ -283,40 +291,42 @@ class _Reader:
 _RECORD = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
-def lookup(spark: SparkSession, index: Index, requests: DataFrame, payload: bool = False) -> DataFrame:
-    """Records of ``requests(url, page_id)``, one row per capture found."""
+def lookup(spark: SparkSession, index: Index, requests: DataFrame, payload: bool = False, tasks: int | None = None) -> DataFrame:
+    """Records of ``requests(url, page_id)``, one row per capture found, read by ``tasks`` tasks."""
 
     @F.pandas_udf("string")
     def key(url: pd.Series, page_id: pd.Series) -> pd.Series:
         return pd.Series([capture_key(u, None if pd.isna(p) else int(p)) for u, p in zip(url, page_id)], dtype=object)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(index)
         try:
             for b in batches:
-                places = [c for k in b["key"] for c in reader.captures(k)]
+                places = [c for k in b.column("key").to_pylist() for c in reader.captures(k)]
                 rows = []
                 for file, offset, length in sorted(places):
                     data = reader.read(reader.archive_system, f"{reader.archive_base}/{file}", offset, length)
                     row = parse(zlib.decompress(data, 31))
                     rows.append([row[c] for c in columns])
                     if payload and len(rows) >= 256:
-                        yield _frame(rows, columns)
+                        yield batch_of(rows)
                         rows = []
                 if rows:
-                    yield _frame(rows, columns)
+                    yield batch_of(rows)
         finally:
             reader.close()
 
     schema = _RECORD + (", payload binary" if payload else "")
     columns = [c.strip().split(" ")[0] for c in schema.split(",")]
-    # Ids pass through as text: a null would turn a pandas column to floats.
-    keyed = requests.select(key(F.col("url").cast("string"), F.col("page_id").cast("bigint").cast("string")).alias("key")).distinct()
-    return keyed.repartitionByRange("key").sortWithinPartitions("key").mapInPandas(run, schema)
+    kinds = [{"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}[c.strip().split(" ")[1]] for c in schema.split(",")]
 
+    def batch_of(rows: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=columns)
 
-def _frame(rows: list[list], columns: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
+    # Ids pass through as text: a null would turn a pandas column to floats.
+    keyed = requests.select(key(F.col("url").cast("string"), F.col("page_id").cast("bigint").cast("string")).alias("key")).distinct()
+    keyed = keyed.repartitionByRange(tasks, "key") if tasks else keyed.repartitionByRange("key")
+    return keyed.sortWithinPartitions("key").mapInArrow(run, schema)
 
 
 def archive_and_read(pages: DataFrame) -> DataFrame:
@@ -324,4 +334,7 @@ def archive_and_read(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     archives, index = work_dir(spark, "warc"), work_dir(spark, "warc-index")
     captures = write_archives(pages, archives)
-    return lookup(spark, build_index(captures, index, archives), pages.select("url", "page_id"))
+    # Keys are small, what they stand for is not: the tasks go by the archives' size.
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // READ_BYTES))
+    return lookup(spark, build_index(captures, index, archives), pages.select("url", "page_id"), tasks=tasks)
