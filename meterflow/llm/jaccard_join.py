@@ -46,6 +46,7 @@ BAND_RATIO = 1.3
 SHARED = 0.2  # cost model: chance that two sets of a band share a given shingle
 PROBE_COST = 20.0  # cost model: one comparison against one index row
 CENTRES = 2
+SET_BYTES = 1 << 19  # of texts whose shingles a task holds at once; a longer text stands alone
 BLOCK = 1024
 
 
@@ -211,7 +212,7 @@ def _classes_of(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = b["text"].tolist()
-            for lo, hi in in_chunks(texts):
+            for lo, hi in in_chunks(texts, SET_BYTES):
                 hashes, owner = shingle_sets(cut_words(texts[lo:hi], lower=True), k)
                 size, key, check = set_keys(hashes, owner, hi - lo)
                 out = {"doc_id": b["doc_id"].to_numpy()[lo:hi], "named": b["named"].to_numpy()[lo:hi], "tx": b["tx"].to_numpy()[lo:hi], "n": size.astype(np.int64), "key": _signed(key), "chk": _signed(check)}
@@ -225,7 +226,7 @@ def _keys_of(k: int, bands: Bands):
         seen = np.empty(0, np.uint64)  # sets this task has indexed; copies add nothing
         for b in batches:
             texts = b["text"].tolist()
-            for lo, hi in in_chunks(texts):
+            for lo, hi in in_chunks(texts, SET_BYTES):
                 hashes, owner = shingle_sets(cut_words(texts[lo:hi], lower=True), k)
                 _, key, _ = set_keys(hashes, owner, hi - lo)
                 _, first = np.unique(key, return_index=True)
