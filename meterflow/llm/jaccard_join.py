@@ -46,6 +46,7 @@ BAND_RATIO = 1.3
 SHARED = 0.2  # cost model: chance that two sets of a band share a given shingle
 PROBE_COST = 20.0  # cost model: one comparison against one index row
 CENTRES = 2
+BRIEF = 8  # words of a folded sketch
 SET_BYTES = 1 << 19  # of texts whose shingles a task holds at once; a longer text stands alone
 BLOCK = 1024
 
@@ -388,7 +389,7 @@ def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, pe
         centre = materialise(left.groupBy("sig").agg(F.min("cid").alias("a")), "bucket-centres")
         others = materialise(left.join(centre, "sig").where("cid <> a"), "bucket-stars")
         pairs = others.select("a", F.col("cid").alias("b")).distinct()
-        pairs = materialise(_near(pairs, classes, percent), "near-pairs")
+        pairs = _near(pairs, classes, percent)
         # One pair of each set first: most other pairs then join what is joined already.
         one = materialise(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
         links.add(_verified(one, rows, classes, k, percent))
@@ -417,8 +418,14 @@ def _within(percent: int) -> str:
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    side = lambda x: classes.select(F.col("cid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "sketch")])
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(_within(percent)).select("a", "b")
+    """Pairs that sizes and sketches allow: by sketches folded to ``BRIEF`` words first, which are less to move."""
+    # Folding never adds bits that differ, so it rules out no link.
+    folded = F.expr(f"transform(sequence(0, {BRIEF - 1}), i -> aggregate(filter(sketch, (x, j) -> j % {BRIEF} = i), 0L, (s, x) -> s ^ x))")
+    brief = classes.select("cid", "n", F.when(F.size("sketch") > BRIEF, folded).otherwise(F.col("sketch")).alias("sketch"))
+    for name, known in (("brief-pairs", brief), ("near-sketches", classes)):
+        side = lambda x: known.select(F.col("cid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "sketch")])  # noqa: E731,B023
+        pairs = materialise(pairs.join(side("a"), "a").join(side("b"), "b").where(_within(percent)).select("a", "b"), name)
+    return pairs
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
