@@ -14,8 +14,10 @@ the pairs stay a fraction of the index rows. Two linked sets therefore always sh
 
 Keys are grouped and every set is compared with the smallest set under the key
 it shares, so a key of k sets costs k comparisons, not k^2. A comparison first
-looks at sizes and at parity sketches (as many bits as shingles, folded to the
-shorter one), which differ in no more bits than the sets in shingles, so it rules out no link; what passes is decided exactly
+looks at sizes and at sketches of 512 bits, one for the least shingle of each of as
+many ranges of the hash. They differ in no more bits than the sets in shingles, and
+those of linked sets differ in more than ``sketch_limit`` with a probability below
+1e-20, less than that of a collision of shingle hashes. What passes is decided exactly
 from the texts. Sets that still share a key but are in different components
 after two such rounds are compared sketch against sketch in blocks of bounded
 size, and again only what the sketch cannot rule out is decided from the texts.
@@ -48,6 +50,9 @@ PROBE_COST = 20.0  # cost model: one comparison against one index row
 CENTRES = 2
 SET_BYTES = 1 << 19  # of texts whose shingles a task holds at once; a longer text stands alone
 BLOCK = 1024
+SKETCH = 512  # bits
+MISS = 1e-20
+PARTS = [f"s{i}" for i in range(SKETCH // 64)]  # columns of a sketch
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -81,23 +86,29 @@ def set_keys(hashes: np.ndarray, texts: np.ndarray, n: int) -> tuple[np.ndarray,
     return sizes, _group_sums(mix(hashes), texts, n), _group_sums(mix(hashes + np.uint64(0x51ED270B)), texts, n)
 
 
-def sketches(hashes: np.ndarray, texts: np.ndarray, n: int) -> list[np.ndarray]:
-    """Parity sketch of each set, as longs: a power of two of bits, no fewer than the set has shingles."""
-    size = np.bincount(texts, minlength=n)
-    bits = np.int64(1) << np.maximum(np.ceil(np.log2(np.maximum(size, 1))), 9).astype(np.int64)
-    base = np.concatenate([[0], np.cumsum(bits)])
-    bit = (mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)) & (bits[texts] - 1).astype(np.uint64)).astype(np.int64)
-    odd = (np.bincount(base[texts] + bit, minlength=base[-1]) & 1).astype(np.uint8)
-    words = np.packbits(odd).view(np.int64)
-    return np.split(words, base[1:-1] // 64)
+def sketches(hashes: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
+    """``SKETCH`` bits of each set, as a row of longs: the hash space is cut into as many bins, each says one bit of its least shingle."""
+    slot = texts * SKETCH + (hashes >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+    least = np.ones(len(slot), bool)  # sets are sorted by shingle, so a bin's least comes first
+    least[1:] = slot[1:] != slot[:-1]
+    bits = np.zeros(n * SKETCH, np.uint8)
+    bits[slot[least]] = (mix(hashes[least] ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits).view(np.int64).reshape(n, SKETCH // 64)
 
 
-def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
-    """The sketch with as many bits as ``words`` longs hold."""
-    while len(sketch) > words:
-        half = len(sketch) // 2
-        sketch = sketch[:half] ^ sketch[half:]
-    return sketch
+def sketch_limit(percent: int) -> int:
+    """Most bits in which the sketches of two linked sets differ, but for a chance of ``MISS``.
+
+    The least shingle of a bin is the same in both sets with a probability of
+    their similarity, and otherwise its bit is the same half the time, so the
+    number of differing bits is bounded by Chernoff.
+    """
+    q = max((1 - percent / 100) / 2, 1e-9)
+    for bits in range(math.ceil(q * SKETCH) + 1, SKETCH // 2):
+        t = bits / SKETCH
+        if SKETCH * (t * math.log(t / q) + (1 - t) * math.log((1 - t) / (1 - q))) > -math.log(MISS):
+            return bits
+    return SKETCH
 
 
 class Bands:
@@ -216,7 +227,7 @@ def _classes_of(k: int):
                 hashes, owner = shingle_sets(cut_words(texts[lo:hi], lower=True), k)
                 size, key, check = set_keys(hashes, owner, hi - lo)
                 out = {"doc_id": b["doc_id"].to_numpy()[lo:hi], "named": b["named"].to_numpy()[lo:hi], "tx": b["tx"].to_numpy()[lo:hi], "n": size.astype(np.int64), "key": _signed(key), "chk": _signed(check)}
-                yield pd.DataFrame(out | {"sketch": pd.Series(sketches(hashes, owner, hi - lo), dtype=object)})
+                yield pd.DataFrame(out | dict(zip(PARTS, sketches(hashes, owner, hi - lo).T)))
 
     return run
 
@@ -279,11 +290,11 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tx"), text.alias("text"))
     # Ids pass pandas without nulls, which would turn them to floats.
     sent = rows.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("named"), "tx", "text")
-    members = sent.mapInPandas(_classes_of(k), "doc_id bigint, named boolean, tx bigint, n bigint, key bigint, chk bigint, sketch array<bigint>")
+    members = sent.mapInPandas(_classes_of(k), "doc_id bigint, named boolean, tx bigint, n bigint, key bigint, chk bigint, " + ", ".join(f"{c} bigint" for c in PARTS))
     members = materialise(members.withColumn("doc_id", F.when(F.col("named"), F.col("doc_id"))).drop("named"), "set-classes")
     # A class is one distinct set; its text is that of its first row.
-    classes = members.where("n > 0").groupBy("key", "chk", "n").agg(F.min(F.struct("doc_id", "tx")).alias("rep"), F.first("sketch").alias("sketch"))
-    classes = materialise(classes.select("key", "chk", "n", "rep", "sketch", F.monotonically_increasing_id().alias("cid")), "classes")
+    classes = members.where("n > 0").groupBy("key", "chk", "n").agg(F.min(F.struct("doc_id", "tx")).alias("rep"), *[F.first(c).alias(c) for c in PARTS])
+    classes = materialise(classes.select("key", "chk", "n", "rep", *PARTS, F.monotonically_increasing_id().alias("cid")), "classes")
     # Sizes grow with the logarithm of nothing but the longest text: bounded by band.
     widths = {r["n"]: r["c"] for r in _size_histogram(classes).collect()}
     bands = Bands(percent, widths)
@@ -313,6 +324,7 @@ def keep_first(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     Rows that repeat id and text stay together.
     """
     gone = similar_components(docs, k, percent, id_col, text_col).where(~F.col("first")).select(F.col("doc_id").alias("g_id"), F.col("tx").alias("g_tx")).distinct()
+    gone = materialise(gone, "set-gone")  # of known size: the texts are shuffled only if these rows are many
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("bigint").alias("d_id"), F.xxhash64(text).alias("d_tx"))
     on = F.col("d_id").eqNullSafe(F.col("g_id")) & (F.col("d_tx") == F.col("g_tx"))
@@ -326,17 +338,16 @@ def _size_histogram(classes: DataFrame) -> DataFrame:
 
 
 def _shared_keys(index: DataFrame) -> DataFrame:
-    """Index rows whose key more than one set has; copies of a row once.
+    """Index rows whose key more than one set has, once each.
 
     Most keys are held by one set only. Range-partitioned and sorted by key and
-    set, a row of a shared key has a neighbour with the same key and another
-    set; only such rows, and those at the ends of a partition, go on to the
-    exact count. A key that very many sets share is spread over partitions.
+    set, copies of a row are adjacent, and a row of a shared key has a neighbour
+    with the same key and another set. The first and the last row of a partition
+    may have theirs elsewhere and go on in any case: a key that only one set holds
+    brings no pair. A key that very many sets share is spread over partitions.
     """
     ordered = index.repartitionByRange("sig", "key").sortWithinPartitions("sig", "key")
-    near = materialise(ordered.mapInPandas(_with_neighbour, "sig bigint, key bigint"), "shared-rows")
-    spans = near.groupBy("sig").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("sig")
-    return near.join(materialise(spans, "shared-keys"), "sig", "left_semi").dropDuplicates(["sig", "key"])
+    return ordered.mapInPandas(_with_neighbour, "sig bigint, key bigint")
 
 
 def _with_neighbour(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -349,7 +360,10 @@ def _with_neighbour(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         on[0] = held is None  # the partition's first row: its neighbour is elsewhere
         if held is not None:
             sig, key, on = (np.concatenate(x) for x in zip(held, (sig, key, on)))
-        pair = (sig[1:] == sig[:-1]) & (key[1:] != key[:-1])
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
+        sig, key, on = sig[new], key[new], on[new]
+        pair = sig[1:] == sig[:-1]
         on[1:] |= pair
         on[:-1] |= pair
         held = sig[-1:], key[-1:], on[-1:]
@@ -408,16 +422,16 @@ def _within(percent: int) -> str:
     """Condition under which sizes and sketches allow a link.
 
     Two linked sets differ in at most (100 - p) / (100 + p) of their summed
-    sizes, and sketches differ in no more bits than the sets in shingles.
+    sizes, and sketches differ in no more bits than the sets in shingles, nor in
+    more than ``sketch_limit``.
     """
-    words = "least(size(a_sketch), size(b_sketch))"
-    same = [f"if(size({x}) > {words}, zip_with(slice({x}, 1, {words}), slice({x}, {words} + 1, {words}), (u, v) -> u ^ v), {x})" for x in ("a_sketch", "b_sketch")]
-    bits = f"aggregate(zip_with({same[0]}, {same[1]}, (u, v) -> bit_count(u ^ v)), 0, (s, x) -> s + x)"
-    return f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n) AND {100 + percent} * ({bits}) <= {100 - percent} * (a_n + b_n)"
+    bits = " + ".join(f"bit_count(a_{c} ^ b_{c})" for c in PARTS)
+    sizes = f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)"
+    return f"{sizes} AND {100 + percent} * ({bits}) <= least({100 - percent} * (a_n + b_n), {100 + percent} * {sketch_limit(percent)})"
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    side = lambda x: classes.select(F.col("cid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "sketch")])
+    side = lambda x: classes.select(F.col("cid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", *PARTS)])
     return pairs.join(side("a"), "a").join(side("b"), "b").where(_within(percent)).select("a", "b")
 
 
@@ -455,50 +469,58 @@ def _blockwise(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     A key's sets are dealt into blocks of about ``BLOCK``; every pair of blocks
     meets in one group, so no task holds more than two blocks of a key.
     """
-    full = left.select("sig", "cid", F.coalesce("root", "cid").alias("root")).join(classes.select("cid", "n", "sketch"), "cid")
     sizes = left.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("g"))
-    full = full.join(sizes, "sig").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("g")).cast("int"))
+    full = left.select("sig", "cid", F.coalesce("root", "cid").alias("root")).join(sizes, "sig")
+    full = full.withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("g")).cast("int"))
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
-    full = full.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "cid", "root", "n", "sketch")
+    full = full.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "cid", "root")
+    # Sketches come last: only the exchange that deals the blocks carries them.
+    full = full.join(classes.select("cid", "n", *PARTS), "cid")
     dealt = full.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     return dealt.mapInPandas(_block_pairs(percent), "a bigint, b bigint").distinct()
 
 
 def _block_pairs(percent: int):
-    def group(g: pd.DataFrame):
-        sk = [np.asarray(x, np.int64) for x in g["sketch"]]
-        n, root, cid, blk = (g[c].to_numpy() for c in ("n", "root", "cid", "blk"))
-        own = g["i"].iat[0] == g["j"].iat[0]
-        for x in range(len(g) - 1):
-            y = slice(x + 1, None)
-            ok = (root[y] != root[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))
-            if not own:
-                ok &= blk[y] != blk[x]
-            if ok.any():
-                at = np.flatnonzero(ok) + x + 1
-                least = [min(len(sk[x]), len(sk[y])) for y in at]
-                bits = np.array([np.bitwise_count(_folded(sk[y], w) ^ _folded(sk[x], w)).sum(dtype=np.int64) for y, w in zip(at, least)])
-                at = at[(100 + percent) * bits <= (100 - percent) * (n[at] + n[x])]
-                if len(at):
-                    yield np.minimum(cid[at], cid[x]), np.maximum(cid[at], cid[x])
+    limit = sketch_limit(percent)
+
+    def pairs_of(b: pd.DataFrame, end: np.ndarray) -> pd.DataFrame:
+        """Pairs of each group; ``end`` is one past the last row of a row's group."""
+        sketch = b[PARTS].to_numpy()
+        i, j, blk, cid, root, n = (b[c].to_numpy() for c in ("i", "j", "blk", "cid", "root", "n"))
+        found = []
+        at = np.arange(len(b))
+        step = 1
+        while True:  # every row of every group with the row so many places on
+            at = at[at + step < end[at]]
+            if not len(at):
+                break
+            to = at + step
+            ok = (root[at] != root[to]) & ((i[at] == j[at]) | (blk[at] != blk[to])) & (100 * np.minimum(n[at], n[to]) >= percent * np.maximum(n[at], n[to]))
+            x, y = at[ok], to[ok]
+            bits = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
+            near = (bits <= limit) & ((100 + percent) * bits <= (100 - percent) * (n[x] + n[y]))
+            found.append((cid[x[near]], cid[y[near]]))
+            step += 1
+        one, two = (np.concatenate([p[s] for p in found] or [cid[:0]]) for s in (0, 1))
+        return pd.DataFrame({"a": np.minimum(one, two), "b": np.maximum(one, two)}).drop_duplicates()
+
+    def ends(b: pd.DataFrame) -> np.ndarray:
+        key = b[["sig", "i", "j"]].to_numpy()
+        cut = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(b)]])
+        return np.repeat(cut[1:], np.diff(cut))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for b in batches:
+            if not len(b):
+                continue
             b = b if rest is None else pd.concat([rest, b], ignore_index=True)
-            cut = _starts(b)
-            rest = b.iloc[cut[-1] :]  # the last group may go on in the next batch
-            yield from pairs_of(b, cut)
-        if rest is not None and len(rest):
-            yield from pairs_of(rest, np.array([0, len(rest)]))
-
-    def pairs_of(b, cut):
-        found = [p for lo, hi in zip(cut[:-1], cut[1:]) if hi - lo > 1 for p in group(b.iloc[lo:hi])]
-        if found:
-            yield pd.DataFrame({"a": np.concatenate([a for a, _ in found]), "b": np.concatenate([c for _, c in found])})
-
-    def _starts(b):
-        key = b[["sig", "i", "j"]].to_numpy()
-        return np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1])
+            end = ends(b)
+            whole = int(np.searchsorted(end, len(b)))  # the last group may go on in the next batch
+            rest = b.iloc[whole:]
+            if whole:
+                yield pairs_of(b.iloc[:whole], end[:whole])
+        if rest is not None:
+            yield pairs_of(rest, np.full(len(rest), len(rest)))
 
     return run

@@ -2,6 +2,9 @@ import itertools
 import random
 import re
 
+import numpy as np
+
+import meterflow.llm.jaccard_join as jj
 from meterflow.llm.jaccard_join import keep_first, similar_components
 
 from .util import docs_of, documents
@@ -85,3 +88,18 @@ def test_keep_first(spark):
     docs = docs_of(spark, [(3, "a b c d e f"), (1, "a b c d e f"), (2, "other words in this text"), (4, None)])
     out = keep_first(docs)
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 2, 4]
+
+
+def test_sketches_of_linked_sets_stay_within_the_limit():
+    rng = np.random.default_rng(5)
+    for percent in (80, 90):
+        for n in (1, 7, 40, 300, 511, 2000, 20_000):
+            gap = (100 - percent) * n // (100 + percent)  # as many replaced on one side as a link allows
+            a = rng.integers(0, 2**64, n, dtype=np.uint64)
+            b, c = a.copy(), rng.integers(0, 2**64, n, dtype=np.uint64)
+            b[:gap] = c[:gap]
+            owner = np.zeros(n, np.int64)
+            sa, sb, sc = (jj.sketches(np.sort(x), owner, 1)[0] for x in (a, b, c))
+            near, far = (int(np.bitwise_count(sa ^ x).sum()) for x in (sb, sc))
+            assert near <= min(2 * gap, jj.sketch_limit(percent))
+            assert n < 300 or far > jj.sketch_limit(percent)
