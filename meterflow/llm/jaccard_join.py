@@ -485,7 +485,7 @@ def _block_pairs(percent: int):
 
     def pairs_of(b: pd.DataFrame, end: np.ndarray) -> pd.DataFrame:
         """Pairs of each group; ``end`` is one past the last row of a row's group."""
-        sketch = b[PARTS].to_numpy()
+        sketch = b[PARTS].to_numpy().astype(np.uint64)  # bitwise_count takes signed numbers by their absolute value
         i, j, blk, cid, root, n = (b[c].to_numpy() for c in ("i", "j", "blk", "cid", "root", "n"))
         found = []
         at = np.arange(len(b))

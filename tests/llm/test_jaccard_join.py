@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 
 import meterflow.llm.jaccard_join as jj
 from meterflow.llm.jaccard_join import keep_first, similar_components
@@ -99,7 +100,35 @@ def test_sketches_of_linked_sets_stay_within_the_limit():
             b, c = a.copy(), rng.integers(0, 2**64, n, dtype=np.uint64)
             b[:gap] = c[:gap]
             owner = np.zeros(n, np.int64)
-            sa, sb, sc = (jj.sketches(np.sort(x), owner, 1)[0] for x in (a, b, c))
+            sa, sb, sc = (jj.sketches(np.sort(x), owner, 1)[0].view(np.uint64) for x in (a, b, c))
             near, far = (int(np.bitwise_count(sa ^ x).sum()) for x in (sb, sc))
             assert near <= min(2 * gap, jj.sketch_limit(percent))
             assert n < 300 or far > jj.sketch_limit(percent)
+
+
+def test_block_pairs_keep_linked_sets_of_any_sign():
+    """Sketches are signed longs: sets at the limit of a link must come back whichever their top bits are."""
+    rng = np.random.default_rng(11)
+    rows, want = [], set()
+    for pair in range(200):
+        n = int(rng.integers(100, 500))
+        gap = 20 * n // 120
+        a, c = (rng.integers(0, 2**64, n, dtype=np.uint64) for _ in range(2))
+        b = a.copy()
+        b[: gap // 2] = c[: gap // 2]
+        for i, x in enumerate((a, b)):
+            cid = 2 * pair + i
+            sketch = jj.sketches(np.sort(x), np.zeros(n, np.int64), 1)[0]
+            rows.append({"sig": 7, "i": 0, "j": 0, "blk": 0, "cid": cid, "root": cid, "n": n} | dict(zip(jj.PARTS, sketch)))
+        want.add((2 * pair, 2 * pair + 1))
+    out = pd.concat(jj._block_pairs(80)(iter([pd.DataFrame(rows)])))
+    assert want <= set(zip(out["a"].tolist(), out["b"].tolist()))
+    assert len(out) < 2 * len(want)
+
+
+def test_links_found_by_blocks_alone(spark, monkeypatch):
+    """Without rounds of centres every pair of a key is decided by the blocks."""
+    monkeypatch.setattr(jj, "CENTRES", 0)
+    for k, percent in ((3, 90), (5, 80)):
+        pairs = near_copies(percent + 1)
+        assert found(similar_components(docs_of(spark, pairs), k, percent)) == brute(pairs, k, percent)
