@@ -4,7 +4,9 @@ A ``Template`` names the roles, the strings put around each turn, which roles
 carry loss, and the finite-state machine over roles as ``state -> role ->
 state``. Every turn becomes three segments: head (no loss), text (loss as its
 role says), tail (no loss). Texts are escaped so that no control string of the
-template can occur in them, and ``read_back`` inverts the output exactly.
+template can occur in them, and ``read_back`` inverts the output exactly. The
+escapes follow from the template; one whose output could not be read back is
+refused.
 
 Defined cases: a null text or role counts as empty; turns of a conversation are
 ordered by turn (nulls first), ties by role, then text, repeated rows all stay;
@@ -41,23 +43,42 @@ class Template:
     )
     final: tuple[str, ...] = ("assistant",)
 
-
-# Escapes: every character that can begin a control string, and the escape
-# character itself. Escaped text holds none of # < :, so no control string.
-ESCAPES = (("\\", "\\\\"), ("#", "\\h"), ("<", "\\l"), (":", "\\c"), ("?", "\\q"))
-
-
-def escape(text: Column) -> Column:
-    for raw, esc in ESCAPES:
+    def __post_init__(self):
+        shown = list(self.labels.values())
+        if not self.after_label or not self.close or len(set(shown)) < len(shown) or any(x.startswith("?") for x in shown):
+            raise ValueError("a template needs a close, a string after the label, and different labels that do not begin with ?")
+        if any("\\" in x for x in (self.open, self.after_label, self.close, *shown)):
+            raise ValueError("the backslash is the escape character")
+        for label in (*shown, "?"):
+            head = self.open + label + self.after_label
+            if (label + self.after_label).find(self.after_label) != len(label):
+                raise ValueError(f"the label {label!r} runs into what follows it")
+            # Neither inside a head nor over its end may the closing string begin.
+            if self.close in head or any(head.endswith(self.close[:i]) for i in range(1, len(self.close))):
+                raise ValueError(f"the closing string begins inside the head of {label!r}")
+
+    @property
+    def escapes(self) -> tuple[tuple[str, str], ...]:
+        """Raw and escaped form of the escape character and of every character that can begin a control string."""
+        raw = list(dict.fromkeys(x[0] for x in (self.open, self.close, self.after_label, "?") if x))
+        codes = (c for c in CODES if c not in raw)
+        return (("\\", "\\\\"), *((r, "\\" + c) for r, c in zip(raw, codes)))
+
+
+CODES = "hlcqwxyz"  # more letters than there can be characters to escape, so that some are free
+
+
+def escape(text: Column, t: Template = Template()) -> Column:
+    for raw, esc in t.escapes:
         text = F.replace(text, F.lit(raw), F.lit(esc))
     return text
 
 
-def unescape(text: Column) -> Column:
+def unescape(text: Column, t: Template = Template()) -> Column:
     """Inverse of ``escape``: cut at doubled backslashes, undo the rest in each part."""
 
     def part(p):
-        for raw, esc in ESCAPES[1:]:
+        for raw, esc in t.escapes[1:]:
             p = F.replace(p, F.lit(esc), F.lit(raw))
         return p
 
@@ -65,14 +86,14 @@ def unescape(text: Column) -> Column:
 
 
 def _label(role: Column, t: Template) -> Column:
-    out = F.concat(F.lit("?"), escape(role))
+    out = F.concat(F.lit("?"), escape(role, t))
     for name, label in t.labels.items():
         out = F.when(role == name, F.lit(label)).otherwise(out)
     return out
 
 
 def _role(label: Column, t: Template) -> Column:
-    out = unescape(F.substring(label, 2, 2147483647))
+    out = unescape(F.substring(label, 2, 2147483647), t)
     for name, shown in t.labels.items():
         out = F.when(label == shown, F.lit(name)).otherwise(out)
     return out
@@ -95,7 +116,7 @@ def format_turns(rows: DataFrame, t: Template = Template()) -> DataFrame:
         head = F.concat(F.lit(t.open), _label(x["role"], t), F.lit(t.after_label))
         return F.array(
             F.struct(head.alias("text"), F.lit(False).alias("loss")),
-            F.struct(escape(x["text"]).alias("text"), x["role"].isin(*t.loss_roles).alias("loss")),
+            F.struct(escape(x["text"], t).alias("text"), x["role"].isin(*t.loss_roles).alias("loss")),
             F.struct(F.lit(t.close).alias("text"), F.lit(False).alias("loss")),
         )
 
@@ -126,22 +147,22 @@ def format_turns(rows: DataFrame, t: Template = Template()) -> DataFrame:
 
 def read_back(formatted: Column, t: Template = Template()) -> Column:
     """Array of (role, text, loss) that the formatted text says."""
-    pieces = F.split(formatted, t.close.replace("\n", "\\n"), -1)
+    pieces = F.split(formatted, f"\\Q{t.close}\\E", -1)
     pieces = F.slice(pieces, 1, F.size(pieces) - 1)
 
     def turn(p):
-        cut = F.instr(p, t.after_label)
+        cut = F.locate(t.after_label, p, len(t.open) + 1)
         label = F.substring(p, F.lit(len(t.open) + 1), cut - F.lit(len(t.open) + 1))
         role = _role(label, t)
         return F.struct(
             role.alias("role"),
-            unescape(F.substring(p, cut + F.lit(len(t.after_label)), F.length(p))).alias("text"),
+            unescape(F.substring(p, cut + F.lit(len(t.after_label)), F.length(p)), t).alias("text"),
             role.isin(*t.loss_roles).alias("loss"),
         )
 
     return F.transform(pieces, turn)
 
 
-def masked_text(segments: Column) -> Column:
+def masked_text(segments: Column, t: Template = Template()) -> Column:
     """Unescaped text under the loss mask, in order, nothing between."""
-    return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
+    return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescape(s["text"], t)), "")

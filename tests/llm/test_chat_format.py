@@ -1,13 +1,14 @@
+import pytest
 from pyspark.sql import functions as F
 
-from meterflow.llm.chat_format import format_turns, masked_text, read_back
+from meterflow.llm.chat_format import Template, format_turns, masked_text, read_back
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, t string, state string"
 
 
-def formatted(spark, rows):
+def formatted(spark, rows, t=Template()):
     df = spark.createDataFrame([(*r, "x", "x") for r in rows], SCHEMA)
-    out = format_turns(df).select("*", read_back(F.col("formatted")).alias("back"), masked_text(F.col("segments")).alias("masked"))
+    out = format_turns(df, t).select("*", read_back(F.col("formatted"), t).alias("back"), masked_text(F.col("segments"), t).alias("masked"))
     return {r.conv_id: r for r in out.collect()}
 
 
@@ -49,3 +50,24 @@ def test_order_ties_nulls_and_repeats(spark):
 
 def test_empty_table(spark):
     assert formatted(spark, []) == {}
+
+
+def test_any_template_reads_back(spark):
+    templates = [
+        Template(open="[", after_label="] ", close="[/]|\n"),
+        Template(open="", after_label="=", close="."),
+        Template(open="hl(", after_label="q", close="c*+?\n", labels={"system": "S", "user": "U", "assistant": "A"}),
+        Template(open="<|im_start|>", after_label="\n", close="<|im_end|>\n", labels={"user": "user", "assistant": "assistant"}),
+    ]
+    for t in templates:
+        says = [*NASTY, t.open, t.close, t.after_label, t.close[1:], t.open + "User" + t.after_label, "hlcqwxyz \\h\\l\\c\\q"]
+        rows = [(1, i, ("user", "assistant", "?x" + t.close)[i % 3], x) for i, x in enumerate(says)]
+        r = formatted(spark, rows, t)[1]
+        assert [(b.role, b.text) for b in r.back] == [(role, x or "") for _, _, role, x in rows]
+        assert r.masked == "".join(x or "" for _, _, role, x in rows if role == "assistant")
+
+
+def test_templates_that_cannot_be_read_back_are_refused():
+    for bad in ({"close": ""}, {"after_label": ""}, {"close": "\\"}, {"close": ": x"}, {"close": "User"}, {"labels": {"a": "X", "b": "X"}}, {"labels": {"a": "?"}}, {"labels": {"a": "x: y"}}):
+        with pytest.raises(ValueError):
+            Template(**bad)
