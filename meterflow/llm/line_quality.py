@@ -6,11 +6,14 @@ on the document labels, each line carrying its document's label. A document's
 score is the mean of the forward-backward marginals of "good", weighted by line
 length, then mapped through a logistic fitted on the same labelled rows.
 
-Training uses at most ``MAX_SAMPLE`` labelled documents (those with the smallest
-hash of their id) and lines up to ``MAX_LINES`` of each; scoring covers every
-line of every text. Only the text feeds a score.
-
-Defined cases: a null text counts as empty and is one empty line; labels that are
+The chain is trained on at most ``sample`` labelled rows (those with the smallest
+hash of their id; ``MAX_SAMPLE`` unless given), rows that repeat id and text counting once. Of a
+text of more than ``STRETCH * STRETCHES`` lines it sees that many stretches of
+consecutive lines, spread evenly from the first line to the last; the logistic is
+fitted on scores of all lines of those rows. Scoring covers every line of every
+text. Only the text feeds a score.
+
+Defined cases: rows with a null id are scored, never trained on, and not held out; a null text counts as empty and is one empty line; labels that are
 null are ignored, several labels of a document count by their largest; without
 any usable label the score is 0.5 for all. Very long texts and single lines of
 any length are scored whole. Extra columns are ignored.
@@ -25,10 +28,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import cut_words, in_chunks
+from meterflow.llm.common import cut_words, in_chunks, materialise
 
 MAX_SAMPLE = 4000
-MAX_LINES = 200
+STRETCH = 20
+STRETCHES = 10
 THRESHOLD = 0.7
 HELD_OUT = 2  # crc32 of the id modulo 4
 
@@ -136,18 +140,24 @@ def _forward_backward(unary: np.ndarray, first: np.ndarray, t: np.ndarray):
     return both[:, 1], moves
 
 
-def train(features: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.15, l2: float = 1e-3) -> Chain:
-    """Gradient ascent (Adam) on the likelihood of the line labels."""
+def train(features: list[np.ndarray], stretches: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.15, l2: float = 1e-3) -> Chain:
+    """Gradient ascent (Adam) on the likelihood of the line labels.
+
+    ``stretches`` are the numbers of consecutive lines that make up each
+    document's features; no move is learned from one stretch to the next.
+    """
     x = np.vstack(features)
     lengths = np.array([len(f) for f in features])
-    first = np.concatenate([[0], np.cumsum(lengths)])
+    runs = np.concatenate(stretches)
+    first = np.concatenate([[0], np.cumsum(runs)])
     y = np.repeat(labels, lengths).astype(float)
     # Documents count alike and classes count alike, however many lines they have.
     share = np.where(labels == 1, 0.5 / max((labels == 1).sum(), 1), 0.5 / max((labels == 0).sum(), 1))
     weight = np.repeat(share / lengths, lengths)
+    of_run = np.repeat(labels, [len(s) for s in stretches])
     same = np.zeros((2, 2))
     for v in (0, 1):
-        same[v, v] = (lengths[labels == v] - 1).sum()
+        same[v, v] = (runs[of_run == v] - 1).sum()
     total = max(same.sum(), 1)
     p = np.zeros(x.shape[1] + 4)
     m, v = np.zeros_like(p), np.zeros_like(p)
@@ -173,42 +183,68 @@ def _calibrate(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(b[0], 0.0)), float(b[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = MAX_SAMPLE) -> Chain | None:
-    """Train on a bounded sample of the labelled rows that are not held out."""
+def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """``doc_id, tx, quality, text`` of at most ``sample`` labelled rows that are not held out."""
     use = labels.where(held_out(F.col("doc_id")) == F.lit(False)).where("quality IS NOT NULL AND doc_id IS NOT NULL")
     use = use.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     # The sample is bounded by a parameter, so joining it by broadcast is too.
     use = use.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(use), "doc_id")
-    rows = rows.select("doc_id", "quality", "text").mapInPandas(_sample_features, "doc_id bigint, quality int, x binary").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["x"])))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id"), text.alias("text")).join(F.broadcast(use), "doc_id").withColumn("tx", F.xxhash64("text"))
+    # An id may stand on any number of rows: the bound holds for rows, and is found without their texts.
+    few = rows.select("doc_id", "tx").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "tx").limit(sample)
+    rows = rows.join(F.broadcast(few), ["doc_id", "tx"]).select("doc_id", "tx", "quality", "text")
+    return materialise(rows.dropDuplicates(["doc_id", "tx"]), "quality-sample")
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = MAX_SAMPLE) -> Chain | None:
+    """Train on a bounded sample of the labelled rows that are not held out."""
+    chosen = _sample(docs, labels, sample)
+    rows = chosen.mapInPandas(_sample_features, "doc_id bigint, tx bigint, quality int, x binary, runs array<bigint>").collect()
+    rows = sorted(rows, key=lambda r: (r["doc_id"], r["tx"]))
     if not rows:
         return None
     x = [np.frombuffer(r["x"], np.float32).reshape(-1, 3 * N_OWN + 1).astype(float) for r in rows]
     y = np.array([int(r["quality"] > 0) for r in rows])
     if y.min() == y.max():
         return None
-    model = train(x, y)
-    lengths = [np.expm1(f[:, 8] * 8) + 1 for f in x]
-    first = np.concatenate([[0], np.cumsum([len(f) for f in x])])
-    good, _ = _forward_backward(np.vstack(x) @ model.w, first, model.t)
-    weight = np.concatenate(lengths)
-    raw = np.add.reduceat(good * weight, first[:-1]) / np.add.reduceat(weight, first[:-1])
-    model.scale = _calibrate(raw, y)
+    model = train(x, [np.array(r["runs"], np.int64) for r in rows], y)
+    scored = chosen.mapInPandas(_sample_scores(model), "doc_id bigint, tx bigint, raw double").collect()
+    raw = {(r["doc_id"], r["tx"]): r["raw"] for r in scored}
+    model.scale = _calibrate(np.array([raw[r["doc_id"], r["tx"]] for r in rows]), y)
     return model
 
 
+def spread_lines(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lines of a text of ``n`` that training sees, and the lengths of their stretches."""
+    if n <= STRETCH * STRETCHES:
+        return np.arange(n), np.array([n])
+    begin = np.arange(STRETCHES) * (n - STRETCH) // (STRETCHES - 1)
+    return (begin[:, None] + np.arange(STRETCH)).ravel(), np.full(STRETCHES, STRETCH)
+
+
 def _sample_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         texts = b["text"].tolist()
         for lo, hi in in_chunks(texts):
             x, _, first = line_features(texts[lo:hi])
-            rows = [x[first[i] : min(first[i + 1], first[i] + MAX_LINES)].astype(np.float32).tobytes() for i in range(hi - lo)]
-            yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[lo:hi], "quality": b["quality"].to_numpy()[lo:hi], "x": rows})
+            picked = [spread_lines(int(n)) for n in np.diff(first)]
+            rows = [x[first[i] + at].astype(np.float32).tobytes() for i, (at, _) in enumerate(picked)]
+            yield b.iloc[lo:hi][["doc_id", "tx", "quality"]].assign(x=rows, runs=[runs for _, runs in picked])
+
+
+def _sample_scores(model: Chain):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts = b["text"].tolist()
+            for lo, hi in in_chunks(texts):
+                yield b.iloc[lo:hi][["doc_id", "tx"]].assign(raw=model.raw_scores(texts[lo:hi]))
+
+    return run
 
 
 def held_out(doc_id):
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
 def score_column(model: Chain | None, text):
