@@ -2,7 +2,8 @@
 
 Markup is stripped to lines, one per block element, in page order. Lines inside
 menus, page headers and footers, sidebars, notices, adverts, forms and reader
-comments are left out; text before and after them is adjacent. A line's weight is
+comments are left out, told by element, role, or a class or id that says nothing else
+(never on a heading); text before and after them is adjacent. A line's weight is
 the length of its text outside links. Lines of a marked article (``<article>`` or
 ``<main>``) weigh their whole text. Only where such articles hold more than half of
 the page's text outside links, lines outside them are left out, too; all lines that
@@ -15,7 +16,7 @@ links and short ones.
 
 Defined cases: a null or empty page gives an empty text; broken or cut-off
 markup is read as far as it goes; a page without markup is one line; character
-references are decoded once; white space inside a line becomes one space. Long
+references are decoded once, each within its piece of text; white space inside a line becomes one space. Long
 pages are read whole, in time linear in their length. Extra columns are ignored
 and repeated rows are each answered.
 """
@@ -38,7 +39,7 @@ BLOCK_TAGS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table "
     "tbody td tfoot th thead tr ul".split()
 )
-RAW_TAGS = frozenset("script style noscript template title textarea iframe svg math object canvas select button noframes".split())
+RAW_TAGS = frozenset("script style noscript template title textarea iframe svg object canvas select button noframes".split())
 SKIP_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
 SKIP_WORDS = frozenset(
@@ -47,6 +48,16 @@ SKIP_WORDS = frozenset(
     "comment comments disqus reply replies respond share sharing social newsletter subscribe subscription related recommended "
     "widget toolbar pagination pager login signup search".split()
 )
+# Words that say where a box is or what it holds, beside a word of SKIP_WORDS.
+PLACE_WORDS = frozenset(
+    "area bar block bottom box button buttons col column container cookie fixed form global icon icons inner item items left link links "
+    "list main mobile outer page panel primary reader right secondary section site slot sticky top unit user wrap wrapper "
+    "articles posts stories".split()
+)
+# Words of the text itself: its comments and adverts are unwanted, its header is its title.
+OWN_WORDS = frozenset("article entry post story".split())
+TITLE_WORDS = frozenset("header banner masthead".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 _TOKEN = re.compile(
@@ -58,21 +69,32 @@ _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
+def _unwanted_name(name: str) -> bool:
+    """Whether a class or id names something unwanted: by itself, or together with words of place only.
+
+    So ad-box, site_header and post-comments are unwanted; shadow, related-work
+    and entry-header are not.
+    """
+    if name in SKIP_WORDS:
+        return True
+    parts = [p for p in re.split(r"[-_0-9]+", name) if p]
+    skip = SKIP_WORDS.intersection(parts)
+    place = PLACE_WORDS if skip & TITLE_WORDS else PLACE_WORDS | OWN_WORDS
+    return bool(skip) and all(p in skip or p in place for p in parts)
+
+
 def _unwanted(tag: str, attrs: str) -> bool:
     if tag in SKIP_TAGS:
         return True
-    if not attrs or tag in ("html", "body", "a"):
+    if not attrs or tag in ("html", "body", "a") or tag in HEADINGS:
         return False
     for name, value in _ATTR.findall(attrs):
         value = value.strip("\"'").lower()
         if name.lower() == "role":
             if value in SKIP_ROLES:
                 return True
-        else:
-            names = value.split()
-            # A name counts by its parts, so ad-box and ad_box are adverts, shadow is not.
-            if any(w in SKIP_WORDS for n in names for w in (n, *re.split(r"[-_]+", n))):
-                return True
+        elif any(_unwanted_name(n) for n in value.split()):
+            return True
     return False
 
 
@@ -88,7 +110,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
     def flush():
         nonlocal linked
         if parts:
-            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
+            text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 lines.append((text, -1 if skip else max(len(text) - linked, 0), article > 0))
             parts.clear()
@@ -97,6 +119,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
     def text(s):
         nonlocal linked
         if s:
+            s = html.unescape(s)  # a reference does not go on over a tag
             parts.append(s)
             if links:
                 linked += len(s)

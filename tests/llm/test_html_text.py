@@ -70,6 +70,24 @@ def test_an_article_element_that_is_not_the_main_text():
     assert main_text("<article>" + links + "</article>") == "\n".join(["more"] * 5)
 
 
+def test_names_that_only_hold_an_unwanted_word():
+    for kept in (
+        '<section id="related-work"><h2 id="related-work">Related work</h2><p>Others did this before.</p></section>',
+        '<div class="entry-header"><h2 id="search">Search</h2></div><p class="comment-on-method">A note.</p>',
+        '<div class="cookie-recipes"><p>Take some flour.</p></div>',
+    ):
+        lines = [re.sub(r"<[^>]*>", "", x) for x in re.findall(r"<(?:p|h2)[^>]*>[^<]*", kept)]
+        assert main_text(LONG + kept + LONG) == "\n".join([TOLD, *lines, TOLD])
+    for name in ("ad", "ad-box", "ad_slot_3", "site-header", "cookie-banner", "post-comments", "related-posts", "side-bar", "share-buttons", "newsletter"):
+        for tag in ("div", "section"):
+            assert main_text(f'{LONG}<{tag} class="x1 {name}"><p>Not of the text.</p></{tag}>{LONG}') == TOLD + "\n" + TOLD
+
+
+def test_references_and_formulas():
+    assert main_text("<p>&am<b>p;x</b> &amp;lt; 1&nbsp;&#x32;</p>") == "&amp;x &lt; 1 2"
+    assert main_text("<p>where <math><mi>x</mi><mo>&lt;</mo><mn>2</mn></math> holds</p>") == "where x<2 holds"
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<!-- x") == ""
     assert main_text("plain &eacute; text\n here") == "plain é text here"
