@@ -2,12 +2,14 @@
 
 State per (topic, meter) is the last value of each of the topic's fields, and the order
 value it was reached at; it lives in the checkpoint and is there again after a
-restart. A micro-batch's messages of a meter are put in order, absent fields take
-the value before (zero before the first), and the last row becomes the state.
+restart. Meters are dealt into groups by their hash (``streaming.keyed``), and a
+micro-batch's rows of a group are worked on together: a meter's messages are put
+in order, absent fields take the value before (zero before the first), and the last
+row becomes the state.
 
 Order across micro-batches is the source's: a topic partition delivers a meter in
 order. A message that comes late (not above the state's order value) changes
-nothing and is given out with its own fields only, marked in ``late``. A meter's
+nothing and is given out with its own fields only, marked in ``late``. A group's
 messages of one micro-batch are held together: the source's per-trigger cap bounds
 them.
 """
@@ -24,21 +26,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.rebuild import ALL_PAYLOAD_FIELDS, TOPIC_FIELDS
 from ..schemas import FIELD_TYPES, ZERO_VALUES
-
-_STATE = T.StructType([T.StructField(f, FIELD_TYPES[f]) for f in ALL_PAYLOAD_FIELDS] + [T.StructField("__at", T.LongType())])
-
-
-def _column(field: str, values: pd.Series) -> pd.Series:
-    kind = FIELD_TYPES[field]
-    if isinstance(kind, T.StringType):
-        return values.astype(object).where(values.notna(), None)
-    return values.astype("Int32" if isinstance(kind, T.IntegerType) else "float64")
-
-
-def _plain(field: str, value):
-    """A value as the state holds it."""
-    kind = FIELD_TYPES[field]
-    return str(value) if isinstance(kind, T.StringType) else int(value) if isinstance(kind, T.IntegerType) else float(value)
+from . import keyed
 
 
 def rebuild_stream(typed: DataFrame, topic_kinds: Mapping[str, str], topic: str = "topic", key: str = "meter_id", order: str = "seq") -> DataFrame:
@@ -52,29 +40,27 @@ def rebuild_stream(typed: DataFrame, topic_kinds: Mapping[str, str], topic: str
     rows = typed.select(*columns)
     schema = T.StructType([*rows.schema.fields, T.StructField("late", T.BooleanType())])
 
+    ids = [T.StructField(keyed.NAMED, T.BooleanType()), *(rows.schema[c] for c in (key, topic, order))]
+    held_schema = T.StructType(ids + [T.StructField(f, FIELD_TYPES[f]) for f in ALL_PAYLOAD_FIELDS])
+
     def fill(group_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        fields = TOPIC_FIELDS[kinds[group_key[1]]]
-        held = dict(zip([*ALL_PAYLOAD_FIELDS, "__at"], state.get)) if state.exists else {**ZERO_VALUES, "__at": None}
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
-        late = pdf[order].duplicated() | (pdf[order] <= held["__at"] if held["__at"] is not None else False)
-        out = pdf.copy()
-        timely = pdf[~late]
+        pdf = keyed.in_order(batches, state, [key, topic], order)
+        late, start = pdf[keyed.LATE].to_numpy(bool), pdf["start"].to_numpy()
+        kind = pdf[topic].map({t: kinds[t] for t in pdf[topic].unique()})
+        last = pdf.copy()
         for f in ALL_PAYLOAD_FIELDS:
-            if f not in fields:
-                out[f] = _column(f, pd.Series([None] * len(pdf), index=pdf.index, dtype=object))
-                continue
-            # The last value at or before each message, else the held one.
-            at = np.maximum.accumulate(np.where(timely[f].notna(), np.arange(len(timely)), -1))
-            own = timely[f].to_numpy(object)
-            full = pd.Series([held[f] if i < 0 else own[i] for i in at], index=timely.index, dtype=object)
-            value = pdf[f].astype(object).where(pdf[f].notna(), None)
-            value[full.index] = full
-            out[f] = _column(f, value)
-            if len(full):
-                held[f] = _plain(f, full.iloc[-1])
-        if len(timely):
-            held["__at"] = int(timely[order].iloc[-1])
-        state.update(tuple(held[f] for f in [*ALL_PAYLOAD_FIELDS, "__at"]))
-        yield out[columns].assign(late=late.to_numpy(bool))
-
-    return rows.groupBy(key, topic).applyInPandasWithState(fill, schema, _STATE, "append", GroupStateTimeout.NoTimeout)
+            own = pdf[f].to_numpy(object)
+            there = pdf[f].notna().to_numpy()
+            # The last value at or before each message of its key, else zero.
+            at = np.maximum.accumulate(np.where(there & ~late, np.arange(len(pdf)), -1))
+            full = np.where(at >= start, own[np.maximum(at, 0)], ZERO_VALUES[f])
+            mine = kind.isin([k for k, fields in TOPIC_FIELDS.items() if f in fields]).to_numpy()
+            last[f] = keyed.typed(FIELD_TYPES[f], pd.Series(np.where(mine, full, ZERO_VALUES[f]), dtype=object))
+            shown = np.where(late, np.where(there, own, None), full)
+            pdf[f] = keyed.typed(FIELD_TYPES[f], pd.Series(np.where(mine, shown, None), dtype=object))
+        last = last[~late]
+        keyed.keep(state, last.iloc[keyed.last_of(last)], held_schema)
+        out = pdf[~pdf[keyed.HELD].to_numpy(bool)]
+        yield out.assign(**{key: keyed.ids(out, key), "late": out[keyed.LATE].astype(bool)})[[*columns, "late"]]
+
+    return keyed.dealt(rows, key).applyInPandasWithState(fill, schema, keyed.STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
