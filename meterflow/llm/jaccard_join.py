@@ -19,9 +19,11 @@ many ranges of the hash. They differ in no more bits than the sets in shingles,
 those of linked sets differ in more than ``sketch_limit`` with a probability below
 1e-20, less than that of a collision of shingle hashes. What passes is decided exactly
 from the texts. Sets that still share a key but are in different components
-after two such rounds are compared sketch against sketch in blocks of bounded
-size, and again only what the sketch cannot rule out is decided from the texts.
-No pair is lost, and a group of similar documents never expands into its pairs.
+after two such rounds meet in blocks of bounded size. There first the sketches say
+which sets have a pair at all that they cannot rule out; only those sets go on, with
+their texts, and their pairs are decided inside the block. A block gives out the links
+that join components, never its pairs. No pair is lost. Sets that are many, similar
+and unlinked still cost their square in comparisons, but not in rows or memory.
 
 Defined cases: words are maximal runs outside space and 0x09-0x0D, A-Z
 lower-cased; fewer than k words make one shingle of the whole sequence; a null
@@ -49,7 +51,8 @@ SHARED = 0.2  # cost model: chance that two sets of a band share a given shingle
 PROBE_COST = 20.0  # cost model: one comparison against one index row
 CENTRES = 2
 SET_BYTES = 1 << 19  # of texts whose shingles a task holds at once; a longer text stands alone
-BLOCK = 1024
+BLOCK = 1024  # sets of a key in one block
+BLOCK_SHINGLES = 1 << 19  # and their shingles, where these are held
 SKETCH = 512  # bits
 MISS = 1e-20
 PARTS = [f"s{i}" for i in range(SKETCH // 64)]  # columns of a sketch
@@ -253,31 +256,44 @@ def _keys_of(k: int, bands: Bands):
     return run
 
 
+def _texts_of_pairs(left: list[bytes], right: list[bytes]) -> Iterator[tuple[int, int, dict[bytes, str]]]:
+    """Ranges of pairs with their texts unpacked, about ``SET_BYTES`` at a time; a text that repeats, as centres do, is unpacked once."""
+    lo, size, texts = 0, 0, {}
+    for i, pair in enumerate(zip(left, right)):
+        for body in pair:
+            if body not in texts:
+                texts[body] = unpack(body)
+                size += len(texts[body])
+        if size > SET_BYTES or i == len(left) - 1:
+            yield lo, i + 1, texts
+            lo, size, texts = i + 1, 0, {}
+
+
 def _linked(k: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            left, right = ([unpack(z) for z in b[c]] for c in ("a_body", "b_body"))
-            for lo, hi in in_chunks([x + y for x, y in zip(left, right)] if left else []):
-                # Centres repeat within a run of rows: cut each different text once.
-                index: dict[str, int] = {}
-                at = [[index.setdefault(t, len(index)) for t in side[lo:hi]] for side in (left, right)]
-                hashes, owner = shingle_sets(cut_words(list(index), lower=True), k)
-                cut = np.searchsorted(owner, np.arange(len(index) + 1))
-                sets = [hashes[cut[i] : cut[i + 1]] for i in range(len(index))]
+            left, right = (b[c].tolist() for c in ("a_body", "b_body"))
+            for lo, hi, texts in _texts_of_pairs(left, right):
+                sets = dict(zip(texts, _sets(list(texts.values()), k)))
                 ok = np.zeros(hi - lo, bool)
-                for i, (x, y) in enumerate(zip(*at)):
-                    x, y = sets[x], sets[y]
+                for i in range(lo, hi):
+                    x, y = sets[left[i]], sets[right[i]]
                     if len(x) and len(y) and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
                         z = np.concatenate([x, y])
                         z.sort()
                         both = int(np.count_nonzero(z[1:] == z[:-1]))
-                        ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
+                        ok[i - lo] = 100 * both >= percent * (len(x) + len(y) - both)
                 if ok.any():
                     yield pd.DataFrame({"a": b["a"].to_numpy()[lo:hi][ok], "b": b["b"].to_numpy()[lo:hi][ok]})
 
     return run
 
 
+def _sets(texts: list[str], k: int) -> list[np.ndarray]:
+    hashes, owner = shingle_sets(cut_words(texts, lower=True), k)
+    return np.split(hashes, np.searchsorted(owner, np.arange(1, len(texts))))
+
+
 def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, tx, n_shingles, component_id, first``.
 
@@ -411,10 +427,8 @@ def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, pe
         left = materialise(_open(others.select("sig", "cid"), links.roots()), "buckets")
         if left.isEmpty():
             return links
-    # What is left under a key is compared block against block by sketch. Only
-    # pairs of different components that the sketch cannot rule out come back.
-    near = _blockwise(left.join(links.roots().select(F.col("node").alias("cid"), F.col("root")), "cid", "left"), classes, percent)
-    links.add(_verified(near, rows, classes, k, percent))
+    # What is left under a key is compared block against block.
+    links.add(_blockwise(left.join(links.roots().select(F.col("node").alias("cid"), F.col("root")), "cid", "left"), rows, classes, k, percent))
     return links
 
 
@@ -440,14 +454,19 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, per
     pairs = materialise(pairs, "set-pairs")
     if pairs.isEmpty():
         return pairs
-    who = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct().join(classes.select("cid", "rep.*"), "cid")
-    texts = rows.alias("r").join(who.alias("i"), F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.tx") == F.col("i.tx")))
-    texts = materialise(texts.select("cid", packed(F.col("text")).alias("body")).dropDuplicates(["cid"]), "set-texts")
+    texts = _texts(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")), rows, classes)
     both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("body").alias("b_body")), "b")
     both = both.join(texts.select(F.col("cid").alias("a"), F.col("body").alias("a_body")), "a")
     return materialise(both.select("a", "b", "a_body", "b_body").mapInPandas(_linked(k, percent), "a bigint, b bigint"), "set-links")
 
 
+def _texts(sets: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``cid, body``: the packed text of each set."""
+    who = sets.select("cid").distinct().join(classes.select("cid", "rep.*"), "cid")
+    texts = rows.alias("r").join(who.alias("i"), F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.tx") == F.col("i.tx")))
+    return materialise(texts.select("cid", packed(F.col("text")).alias("body")).dropDuplicates(["cid"]), "set-texts")
+
+
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of different components."""
     ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
@@ -463,31 +482,123 @@ def _open(left: DataFrame, roots: DataFrame) -> DataFrame:
     return named.join(materialise(mixed, "mixed-keys"), "sig", "left_semi").select("sig", "cid")
 
 
-def _blockwise(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of one key and different roots that pass ``_within``.
+def _blockwise(left: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links ``a, b`` among the sets of each key, as many as join its components.
 
-    A key's sets are dealt into blocks of about ``BLOCK``; every pair of blocks
-    meets in one group, so no task holds more than two blocks of a key.
+    Most sets have no pair that the sketches cannot rule out, so the texts are
+    fetched for the others only. Keys of which the same sets are left are one.
+    """
+    sets = left.select("sig", "cid", F.coalesce("root", "cid").alias("root"))
+    met = _dealt(sets, F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), classes.select("cid", "n", *PARTS))
+    near = materialise(met.mapInPandas(_block_pairs(percent, _open_sets), "sig bigint, cid bigint, root bigint, n bigint").distinct(), "block-sets")
+    alike = [F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("cid")).alias("x"), F.sum(F.xxhash64("cid", F.lit(1)).cast("decimal(38,0)")).alias("s")]
+    keys = near.groupBy("sig").agg(*alike).groupBy("c", "x", "s").agg(F.min("sig").alias("sig")).select("sig")
+    near = materialise(near.join(keys, "sig", "left_semi"), "block-sets")
+    if near.isEmpty():
+        return near.select(F.col("cid").alias("a"), F.col("cid").alias("b"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)))
+    met = _dealt(near, blocks, classes.select("cid", "n", *PARTS).join(_texts(near, rows, classes), "cid"))
+    return materialise(met.mapInPandas(_block_pairs(percent, _links_in(k, percent)), "a bigint, b bigint").distinct(), "set-links")
+
+
+def _dealt(sets: DataFrame, blocks, held: DataFrame) -> DataFrame:
+    """The sets of each key dealt into blocks, with the columns of ``held``.
+
+    Every pair of blocks of a key meets in one group, ``sig, i, j``, so no task
+    needs more than two blocks of a key.
     """
-    sizes = left.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("g"))
-    full = left.select("sig", "cid", F.coalesce("root", "cid").alias("root")).join(sizes, "sig")
+    sizes = sets.groupBy("sig").agg(blocks.cast("int").alias("g"))
+    full = sets.join(sizes, "sig")
     full = full.withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("g")).cast("int"))
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     full = full.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "cid", "root")
-    # Sketches come last: only the exchange that deals the blocks carries them.
-    full = full.join(classes.select("cid", "n", *PARTS), "cid")
-    dealt = full.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return dealt.mapInPandas(_block_pairs(percent), "a bigint, b bigint").distinct()
-
-
-def _block_pairs(percent: int):
+    # Sketches and texts come last: only the exchange that deals the blocks carries them.
+    full = full.join(held, "cid")
+    return full.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+
+
+def _joined(steps: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    none = np.empty(0, np.int64)
+    x, y = zip((none, none), *steps)
+    return np.concatenate(x), np.concatenate(y)
+
+
+def _pairs_in(b: pd.DataFrame, end: np.ndarray, near) -> pd.DataFrame:
+    """Every pair that may be a link."""
+    one, two = (b["cid"].to_numpy()[z] for z in _joined(near(b, end)))
+    return pd.DataFrame({"a": np.minimum(one, two), "b": np.maximum(one, two)}).drop_duplicates()
+
+
+def _open_sets(b: pd.DataFrame, end: np.ndarray, near) -> pd.DataFrame:
+    """Sets that are in a pair that may be a link."""
+    hit = np.zeros(len(b), bool)
+    for x, y in near(b, end):
+        hit[x] = hit[y] = True
+    return b.loc[hit, ["sig", "cid", "root", "n"]]
+
+
+def _links_in(k: int, percent: int):
+    """Links that join components, decided on the texts."""
+
+    def found(b: pd.DataFrame, end: np.ndarray, near) -> pd.DataFrame:
+        links, lo = [np.empty((0, 2), np.int64)], 0
+        weight = np.cumsum(b["n"].to_numpy())
+        while lo < len(b):  # whole groups, together of bounded size, or one alone
+            most = min(lo + 2 * BLOCK, int(np.searchsorted(weight, weight[lo] + BLOCK_SHINGLES)))
+            hi = len(b) if most >= len(b) else max(int(end[lo]), int(np.searchsorted(end, end[most])))
+            part = b.iloc[lo:hi]
+            x, y = _joined(near(part, end[lo:hi] - lo))
+            if len(x):
+                links.append(_decided(part, x, y, k, percent))
+            lo = hi
+        a, c = np.sort(np.concatenate(links), axis=1).T
+        return pd.DataFrame({"a": a, "b": c})
+
+    return found
+
+
+def _decided(b: pd.DataFrame, x: np.ndarray, y: np.ndarray, k: int, percent: int) -> np.ndarray:
+    """Of the pairs of rows ``x, y`` the links, as pairs of sets, without those whose components earlier ones have joined."""
+    row = np.concatenate([x, y])
+    cid, first, at = np.unique(b["cid"].to_numpy()[row], return_index=True, return_inverse=True)
+    row = row[first]  # one for each set: it can be under several keys
+    component = np.unique(b["root"].to_numpy()[row], return_inverse=True)[1]
+    pair = np.unique(np.minimum(at[: len(x)], at[len(x) :]) * len(cid) + np.maximum(at[: len(x)], at[len(x) :]))
+    x, y = pair // len(cid), pair % len(cid)
+    bodies, sets = b["body"].to_numpy()[row].tolist(), []
+    for _, _, texts in _texts_of_pairs(bodies, bodies):  # different sets have different texts
+        sets += _sets(list(texts.values()), k)
+    size = np.array([len(s) for s in sets])
+    # Numbers for shingles: a set is marked in one array and looked up from all others.
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    mark = np.zeros(len(number), bool)
+    sets = np.split(number, np.cumsum(size)[:-1])
+    links = []
+    run = np.concatenate([[0], np.flatnonzero(np.diff(x)) + 1, [len(x)]])
+    for lo, hi in zip(run[:-1], run[1:]):
+        one, others = x[lo], y[lo:hi]
+        others = others[component[others] != component[one]]
+        if not len(others):
+            continue
+        mark[sets[one]] = True
+        start = np.concatenate([[0], np.cumsum(size[others])[:-1]])
+        both = np.add.reduceat(mark[np.concatenate([sets[o] for o in others])], start, dtype=np.int64)
+        mark[sets[one]] = False
+        for o in others[100 * both >= percent * (size[one] + size[others] - both)]:
+            if component[o] != component[one]:
+                component[component == component[o]] = component[one]
+                links.append((cid[one], cid[o]))
+    return np.array(links, np.int64).reshape(-1, 2)
+
+
+def _block_pairs(percent: int, found=_pairs_in):
+    """Runs ``found`` on whole groups, with a function that gives the pairs that sizes and sketches allow, step by step."""
     limit = sketch_limit(percent)
 
-    def pairs_of(b: pd.DataFrame, end: np.ndarray) -> pd.DataFrame:
-        """Pairs of each group; ``end`` is one past the last row of a row's group."""
+    def near(b: pd.DataFrame, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows of pairs of each group; ``end`` is one past the last row of a row's group."""
         sketch = b[PARTS].to_numpy().astype(np.uint64)  # bitwise_count takes signed numbers by their absolute value
-        i, j, blk, cid, root, n = (b[c].to_numpy() for c in ("i", "j", "blk", "cid", "root", "n"))
-        found = []
+        i, j, blk, root, n = (b[c].to_numpy() for c in ("i", "j", "blk", "root", "n"))
         at = np.arange(len(b))
         step = 1
         while True:  # every row of every group with the row so many places on
@@ -498,11 +609,9 @@ def _block_pairs(percent: int):
             ok = (root[at] != root[to]) & ((i[at] == j[at]) | (blk[at] != blk[to])) & (100 * np.minimum(n[at], n[to]) >= percent * np.maximum(n[at], n[to]))
             x, y = at[ok], to[ok]
             bits = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
-            near = (bits <= limit) & ((100 + percent) * bits <= (100 - percent) * (n[x] + n[y]))
-            found.append((cid[x[near]], cid[y[near]]))
+            keep = (bits <= limit) & ((100 + percent) * bits <= (100 - percent) * (n[x] + n[y]))
+            yield x[keep], y[keep]
             step += 1
-        one, two = (np.concatenate([p[s] for p in found] or [cid[:0]]) for s in (0, 1))
-        return pd.DataFrame({"a": np.minimum(one, two), "b": np.maximum(one, two)}).drop_duplicates()
 
     def ends(b: pd.DataFrame) -> np.ndarray:
         key = b[["sig", "i", "j"]].to_numpy()
@@ -519,8 +628,8 @@ def _block_pairs(percent: int):
             whole = int(np.searchsorted(end, len(b)))  # the last group may go on in the next batch
             rest = b.iloc[whole:]
             if whole:
-                yield pairs_of(b.iloc[:whole], end[:whole])
+                yield found(b.iloc[:whole], end[:whole], near)
         if rest is not None:
-            yield pairs_of(rest, np.full(len(rest), len(rest)))
+            yield found(rest, np.full(len(rest), len(rest)), near)
 
     return run

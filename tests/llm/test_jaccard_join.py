@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -132,3 +133,63 @@ def test_links_found_by_blocks_alone(spark, monkeypatch):
     for k, percent in ((3, 90), (5, 80)):
         pairs = near_copies(percent + 1)
         assert found(similar_components(docs_of(spark, pairs), k, percent)) == brute(pairs, k, percent)
+
+
+def family(seed, variants=600, size=200):
+    """Texts that each differ from one base in a few words: most pairs are similar, but few are linked."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(4000)}" for _ in range(size)]
+    out = []
+    for _ in range(variants):
+        near = list(base)
+        for _ in range(rng.randint(2, 8)):
+            near[rng.randrange(size)] = f"v{rng.randrange(10**6)}"
+        out.append(" ".join(near))
+    return list(enumerate(out))
+
+
+def counted(monkeypatch):
+    """Rows of every table that is written out."""
+    rows, write = [], jj.materialise
+
+    def materialise(df, name):
+        out = write(df, name)
+        rows.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(jj, "materialise", materialise)
+    return rows
+
+
+def test_similar_sets_do_not_expand_into_their_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jj, "BLOCK", 100)  # several blocks a key
+    rows = counted(monkeypatch)
+    pairs = family(3)
+    want = brute(pairs, 3, 90)
+    assert 1 < len({c for _, _, c in want}) < len(pairs)
+    monkeypatch.setattr(jj, "CENTRES", 0)
+    assert found(similar_components(docs_of(spark, pairs), 3, 90)) == want
+    buckets = next(n for n, name in rows if name == "buckets")
+    sets = [n for n, name in rows if name in ("set-pairs", "set-links")]
+    assert sets and max(sets) < min(len(pairs) ** 2 // 20, buckets)
+
+
+def test_blocks_of_few_shingles(spark, monkeypatch):
+    """Blocks are cut by the shingles they hold too; sets of one key then meet across blocks."""
+    monkeypatch.setattr(jj, "CENTRES", 0)
+    monkeypatch.setattr(jj, "BLOCK_SHINGLES", 2000)
+    pairs = near_copies(7) + [(1000 + i, t) for i, t in family(4, 60)]
+    assert found(similar_components(docs_of(spark, pairs), 3, 90)) == brute(pairs, 3, 90)
+
+
+def test_pairs_are_unpacked_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(jj, "SET_BYTES", 1000)
+    bodies = [jj_pack(f"{i} " + "x " * 200) for i in range(50)]
+    right = [bodies[0]] * 50
+    parts = list(jj._texts_of_pairs(bodies, right))
+    assert [p[0] for p in parts[1:]] == [p[1] for p in parts[:-1]] and parts[0][0] == 0 and parts[-1][1] == 50
+    assert all(len(texts) <= 5 and all(bodies[i] in texts and right[i] in texts for i in range(lo, hi)) for lo, hi, texts in parts)
+
+
+def jj_pack(text):
+    return zlib.compress(text.encode(), 1)
