@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -28,6 +29,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+TASK_ROWS = 1 << 16
+
+
+def fitted(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` of up to ``rows`` rows, its last stage in no more tasks than these are worth, but two for each core.
+
+    A shuffle has as many partitions as the session says, however few rows go
+    through it. Partitions are only put together, nothing is dealt anew.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(2 * cores, math.ceil(rows / task_rows)))
+
+
 def packed(text: Column) -> Column:
     """Texts compressed for a shuffle, of which they would be most."""
 

@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import Words, cut_words, in_chunks, materialise, mix, packed, rolling, unpack
+from meterflow.llm.common import Words, cut_words, fitted, in_chunks, materialise, mix, packed, rolling, unpack
 from meterflow.llm.components import connected
 
 LIGHT = (2, 1, 0, -1)
@@ -51,6 +51,7 @@ SHARED = 0.2  # cost model: chance that two sets of a band share a given shingle
 PROBE_COST = 20.0  # cost model: one comparison against one index row
 CENTRES = 2
 SET_BYTES = 1 << 19  # of texts whose shingles a task holds at once; a longer text stands alone
+TASK_TEXTS = 1 << 11  # texts, or pairs of texts, that are worth a task
 BLOCK = 1024  # sets of a key in one block
 BLOCK_SHINGLES = 1 << 19  # and their shingles, where these are held
 SKETCH = 512  # bits
@@ -310,7 +311,8 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     members = materialise(members.withColumn("doc_id", F.when(F.col("named"), F.col("doc_id"))).drop("named"), "set-classes")
     # A class is one distinct set; its text is that of its first row.
     classes = members.where("n > 0").groupBy("key", "chk", "n").agg(F.min(F.struct("doc_id", "tx")).alias("rep"), *[F.first(c).alias(c) for c in PARTS])
-    classes = materialise(classes.select("key", "chk", "n", "rep", *PARTS, F.monotonically_increasing_id().alias("cid")), "classes")
+    many = members.count()
+    classes = materialise(fitted(classes, many).select("key", "chk", "n", "rep", *PARTS, F.monotonically_increasing_id().alias("cid")), "classes")
     # Sizes grow with the logarithm of nothing but the longest text: bounded by band.
     widths = {r["n"]: r["c"] for r in _size_histogram(classes).collect()}
     bands = Bands(percent, widths)
@@ -319,11 +321,11 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     nodes = classes.select("key", "cid")
     buckets = materialise(shared.join(nodes, "key").select("sig", "cid"), "buckets")
     roots = _compare(rows, classes, buckets, k, percent).roots()
-    names = classes.join(roots, F.col("cid") == F.col("node"), "left").select("key", "chk", F.coalesce("root", "cid").alias("root"))
+    names = fitted(classes.join(roots, F.col("cid") == F.col("node"), "left"), many).select("key", "chk", F.coalesce("root", "cid").alias("root"))
     own = members.select("doc_id", "tx", "n", "key", "chk").join(names, ["key", "chk"], "left")
-    own = materialise(own.select("doc_id", "tx", "n", "root"), "set-members")
+    own = materialise(fitted(own.select("doc_id", "tx", "n", "root"), many), "set-members")
     least = own.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "tx")).alias("least"))
-    out = own.join(materialise(least, "component-names"), "root", "left")
+    out = fitted(own.join(materialise(fitted(least, many), "component-names"), "root", "left"), many)
     lone = F.col("root").isNull()
     return out.select(
         "doc_id",
@@ -415,20 +417,24 @@ def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, pe
     for _ in range(CENTRES):
         # The smallest set still open under a key is its centre; it is compared
         # with the others and leaves the key.
-        centre = materialise(left.groupBy("sig").agg(F.min("cid").alias("a")), "bucket-centres")
-        others = materialise(left.join(centre, "sig").where("cid <> a"), "bucket-stars")
-        pairs = others.select("a", F.col("cid").alias("b")).distinct()
-        pairs = materialise(_near(pairs, classes, percent), "near-pairs")
+        many = left.count()
+        centre = materialise(fitted(left.groupBy("sig").agg(F.min("cid").alias("a")), many), "bucket-centres")
+        others = materialise(fitted(left.join(centre, "sig").where("cid <> a"), many), "bucket-stars")
+        pairs = fitted(others.select("a", F.col("cid").alias("b")).distinct(), many)
+        pairs = materialise(_near(pairs, classes, percent, many), "near-pairs")
+        many_pairs = pairs.count()
         # One pair of each set first: most other pairs then join what is joined already.
-        one = materialise(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+        one = materialise(fitted(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), many_pairs), "first-pairs")
         links.add(_verified(one, rows, classes, k, percent))
-        rest = _apart(pairs.join(one, ["a", "b"], "left_anti"), links.roots())
+        rest = _apart(fitted(pairs.join(one, ["a", "b"], "left_anti"), many_pairs), links.roots(), many_pairs)
         links.add(_verified(rest, rows, classes, k, percent))
-        left = materialise(_open(others.select("sig", "cid"), links.roots()), "buckets")
+        left = materialise(_open(others.select("sig", "cid"), links.roots(), many), "buckets")
         if left.isEmpty():
             return links
     # What is left under a key is compared block against block.
-    links.add(_blockwise(left.join(links.roots().select(F.col("node").alias("cid"), F.col("root")), "cid", "left"), rows, classes, k, percent))
+    many = left.count()
+    left = fitted(left.join(links.roots().select(F.col("node").alias("cid"), F.col("root")), "cid", "left"), many)
+    links.add(_blockwise(left, many, rows, classes, k, percent))
     return links
 
 
@@ -444,77 +450,84 @@ def _within(percent: int) -> str:
     return f"{sizes} AND {100 + percent} * ({bits}) <= least({100 - percent} * (a_n + b_n), {100 + percent} * {sketch_limit(percent)})"
 
 
-def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, classes: DataFrame, percent: int, many: int) -> DataFrame:
     side = lambda x: classes.select(F.col("cid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", *PARTS)])
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(_within(percent)).select("a", "b")
+    return fitted(fitted(pairs.join(side("a"), "a"), many).join(side("b"), "b").where(_within(percent)).select("a", "b"), many)
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs that are links, decided on the texts."""
     pairs = materialise(pairs, "set-pairs")
-    if pairs.isEmpty():
+    many = pairs.count()
+    if not many:
         return pairs
-    texts = _texts(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")), rows, classes)
+    texts = _texts(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")), 2 * many, rows, classes)
     both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("body").alias("b_body")), "b")
-    both = both.join(texts.select(F.col("cid").alias("a"), F.col("body").alias("a_body")), "a")
+    both = fitted(both, many, TASK_TEXTS).join(texts.select(F.col("cid").alias("a"), F.col("body").alias("a_body")), "a")
+    both = fitted(both, many, TASK_TEXTS)
     return materialise(both.select("a", "b", "a_body", "b_body").mapInPandas(_linked(k, percent), "a bigint, b bigint"), "set-links")
 
 
-def _texts(sets: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """``cid, body``: the packed text of each set."""
-    who = sets.select("cid").distinct().join(classes.select("cid", "rep.*"), "cid")
+def _texts(sets: DataFrame, many: int, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``cid, body``: the packed text of each of up to ``many`` sets."""
+    who = fitted(sets.select("cid").distinct().join(classes.select("cid", "rep.*"), "cid"), many)
     texts = rows.alias("r").join(who.alias("i"), F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.tx") == F.col("i.tx")))
-    return materialise(texts.select("cid", packed(F.col("text")).alias("body")).dropDuplicates(["cid"]), "set-texts")
+    texts = fitted(texts.select("cid", "text"), many, TASK_TEXTS).select("cid", packed(F.col("text")).alias("body"))
+    return materialise(fitted(texts.dropDuplicates(["cid"]), many, TASK_TEXTS), "set-texts")
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+def _apart(pairs: DataFrame, roots: DataFrame, many: int) -> DataFrame:
     """Pairs of different components."""
     ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    both = pairs.join(ra, "a", "left").join(rb, "b", "left")
+    both = fitted(fitted(pairs.join(ra, "a", "left"), many).join(rb, "b", "left"), many)
     return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _open(left: DataFrame, roots: DataFrame) -> DataFrame:
+def _open(left: DataFrame, roots: DataFrame, many: int) -> DataFrame:
     """Keys that still hold sets of different components."""
-    named = left.join(roots, F.col("cid") == F.col("node"), "left").select("sig", "cid", F.coalesce("root", "cid").alias("root"))
+    named = fitted(left.join(roots, F.col("cid") == F.col("node"), "left"), many).select("sig", "cid", F.coalesce("root", "cid").alias("root"))
+    named = materialise(named, "named-keys")
     mixed = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    return named.join(materialise(mixed, "mixed-keys"), "sig", "left_semi").select("sig", "cid")
+    return fitted(named.join(materialise(fitted(mixed, many), "mixed-keys"), "sig", "left_semi"), many).select("sig", "cid")
 
 
-def _blockwise(left: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links ``a, b`` among the sets of each key, as many as join its components.
+def _blockwise(left: DataFrame, many: int, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links ``a, b`` among the sets of each key, ``many`` in all, as many as join its components.
 
     Most sets have no pair that the sketches cannot rule out, so the texts are
     fetched for the others only. Keys of which the same sets are left are one.
     """
-    sets = left.select("sig", "cid", F.coalesce("root", "cid").alias("root"))
-    met = _dealt(sets, F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), classes.select("cid", "n", *PARTS))
-    near = materialise(met.mapInPandas(_block_pairs(percent, _open_sets), "sig bigint, cid bigint, root bigint, n bigint").distinct(), "block-sets")
+    sets = materialise(left.select("sig", "cid", F.coalesce("root", "cid").alias("root")), "open-sets")
+    met = _dealt(sets, many, F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), classes.select("cid", "n", *PARTS))
+    near = met.mapInPandas(_block_pairs(percent, _open_sets), "sig bigint, cid bigint, root bigint, n bigint")
+    near = materialise(fitted(near.distinct(), many), "block-sets")
     alike = [F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("cid")).alias("x"), F.sum(F.xxhash64("cid", F.lit(1)).cast("decimal(38,0)")).alias("s")]
-    keys = near.groupBy("sig").agg(*alike).groupBy("c", "x", "s").agg(F.min("sig").alias("sig")).select("sig")
-    near = materialise(near.join(keys, "sig", "left_semi"), "block-sets")
-    if near.isEmpty():
+    keys = fitted(near.groupBy("sig").agg(*alike), many).groupBy("c", "x", "s").agg(F.min("sig").alias("sig")).select("sig")
+    near = materialise(fitted(near.join(materialise(fitted(keys, many), "block-keys"), "sig", "left_semi"), many), "block-sets")
+    many = near.count()
+    if not many:
         return near.select(F.col("cid").alias("a"), F.col("cid").alias("b"))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)))
-    met = _dealt(near, blocks, classes.select("cid", "n", *PARTS).join(_texts(near, rows, classes), "cid"))
-    return materialise(met.mapInPandas(_block_pairs(percent, _links_in(k, percent)), "a bigint, b bigint").distinct(), "set-links")
+    texts = _texts(near, many, rows, classes)
+    met = _dealt(near, many, blocks, fitted(classes.select("cid", "n", *PARTS).join(texts, "cid"), many, TASK_TEXTS))
+    return materialise(fitted(met.mapInPandas(_block_pairs(percent, _links_in(k, percent)), "a bigint, b bigint").distinct(), many), "set-links")
 
 
-def _dealt(sets: DataFrame, blocks, held: DataFrame) -> DataFrame:
-    """The sets of each key dealt into blocks, with the columns of ``held``.
+def _dealt(sets: DataFrame, many: int, blocks, held: DataFrame) -> DataFrame:
+    """The sets of each key, ``many`` in all, dealt into blocks, with the columns of ``held``.
 
     Every pair of blocks of a key meets in one group, ``sig, i, j``, so no task
     needs more than two blocks of a key.
     """
     sizes = sets.groupBy("sig").agg(blocks.cast("int").alias("g"))
-    full = sets.join(sizes, "sig")
+    full = fitted(sets.join(sizes, "sig"), many)
     full = full.withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("g")).cast("int"))
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     full = full.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "cid", "root")
     # Sketches and texts come last: only the exchange that deals the blocks carries them.
-    full = full.join(held, "cid")
-    return full.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    full = fitted(full.join(held, "cid"), many, BLOCK)
+    return fitted(full.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"), many, BLOCK)
 
 
 def _joined(steps: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:

@@ -5,7 +5,9 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pytest
 
+import meterflow.llm.components as components
 import meterflow.llm.jaccard_join as jj
 from meterflow.llm.jaccard_join import keep_first, similar_components
 
@@ -193,3 +195,63 @@ def test_pairs_are_unpacked_few_at_a_time(monkeypatch):
 
 def jj_pack(text):
     return zlib.compress(text.encode(), 1)
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """A session whose shuffles have far more partitions than small tables need."""
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def files_written(monkeypatch, module):
+    """Files of every table that ``module`` writes out, one for each task that had rows."""
+    files, write = [], module.materialise
+
+    def materialise(df, name):
+        out = write(df, name)
+        files.append((len(out.inputFiles()), name))
+        return out
+
+    monkeypatch.setattr(module, "materialise", materialise)
+    return files
+
+
+def test_components_take_no_more_tasks_than_their_links_need(spark, monkeypatch, many_partitions):
+    files = files_written(monkeypatch, components)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 500)] + [(i, i - 7) for i in range(1007, 1100)]
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    want = sorted((x, find(x)) for x in root if find(x) != x)
+    assert sorted(map(tuple, components.connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect())) == want
+    assert max(n for n, _ in files[1:]) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_components_end_with_the_second_star_that_changes_nothing(spark, monkeypatch):
+    files = files_written(monkeypatch, components)
+    stars = [(100 * (i // 100), i) for i in range(1, 300) if i % 100]
+    assert sorted((r, n) for n, r in components.connected(spark.createDataFrame(stars, "a bigint, b bigint")).collect()) == stars
+    assert len(files) == 3
+
+
+def test_small_tables_of_the_join_take_few_tasks(spark, monkeypatch, many_partitions):
+    files = files_written(monkeypatch, jj)
+    pairs = near_copies(5) + [(5000 + i, t) for i, t in family(6, 150)]
+    monkeypatch.setattr(jj, "CENTRES", 1)
+    assert found(similar_components(docs_of(spark, pairs), 3, 90)) == brute(pairs, 3, 90)
+    small = [(n, name) for n, name in files if name not in ("set-classes", "buckets")]
+    assert {"near-pairs", "set-texts", "set-links", "block-sets"} <= {name for _, name in small}
+    assert max(small)[0] <= 2 * spark.sparkContext.defaultParallelism, max(small)
