@@ -33,7 +33,7 @@ TASK_ROWS = 1 << 16
 
 
 def fitted(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
-    """``df`` of up to ``rows`` rows, its last stage in no more tasks than these are worth, but two for each core.
+    """``df``, whose last stage reads up to about ``rows`` rows, with no more tasks than these are worth, but two for each core.
 
     A shuffle has as many partitions as the session says, however few rows go
     through it. Partitions are only put together, nothing is dealt anew.

@@ -320,7 +320,7 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     shared = _shared_keys(index)
     nodes = classes.select("key", "cid")
     buckets = materialise(shared.join(nodes, "key").select("sig", "cid"), "buckets")
-    roots = _compare(rows, classes, buckets, k, percent).roots()
+    roots = _compare(rows, many, classes, buckets, k, percent).roots()
     names = fitted(classes.join(roots, F.col("cid") == F.col("node"), "left"), many).select("key", "chk", F.coalesce("root", "cid").alias("root"))
     own = members.select("doc_id", "tx", "n", "key", "chk").join(names, ["key", "chk"], "left")
     own = materialise(fitted(own.select("doc_id", "tx", "n", "root"), many), "set-members")
@@ -411,8 +411,8 @@ class _Links:
         return self.known
 
 
-def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, percent: int) -> _Links:
-    """Links among the sets of each bucket."""
+def _compare(rows: DataFrame, docs: int, classes: DataFrame, buckets: DataFrame, k: int, percent: int) -> _Links:
+    """Links among the sets of each bucket; there are ``docs`` documents, and no more sets."""
     links, left = _Links(rows.sparkSession), buckets
     for _ in range(CENTRES):
         # The smallest set still open under a key is its centre; it is compared
@@ -421,20 +421,20 @@ def _compare(rows: DataFrame, classes: DataFrame, buckets: DataFrame, k: int, pe
         centre = materialise(fitted(left.groupBy("sig").agg(F.min("cid").alias("a")), many), "bucket-centres")
         others = materialise(fitted(left.join(centre, "sig").where("cid <> a"), many), "bucket-stars")
         pairs = fitted(others.select("a", F.col("cid").alias("b")).distinct(), many)
-        pairs = materialise(_near(pairs, classes, percent, many), "near-pairs")
+        pairs = materialise(_near(pairs, classes, percent, docs + many), "near-pairs")
         many_pairs = pairs.count()
         # One pair of each set first: most other pairs then join what is joined already.
         one = materialise(fitted(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), many_pairs), "first-pairs")
-        links.add(_verified(one, rows, classes, k, percent))
-        rest = _apart(fitted(pairs.join(one, ["a", "b"], "left_anti"), many_pairs), links.roots(), many_pairs)
-        links.add(_verified(rest, rows, classes, k, percent))
-        left = materialise(_open(others.select("sig", "cid"), links.roots(), many), "buckets")
+        links.add(_verified(one, rows, docs, classes, k, percent))
+        rest = _apart(fitted(pairs.join(one, ["a", "b"], "left_anti"), many_pairs), links.roots(), docs + many_pairs)
+        links.add(_verified(rest, rows, docs, classes, k, percent))
+        left = materialise(_open(others.select("sig", "cid"), links.roots(), docs + many), "buckets")
         if left.isEmpty():
             return links
     # What is left under a key is compared block against block.
     many = left.count()
-    left = fitted(left.join(links.roots().select(F.col("node").alias("cid"), F.col("root")), "cid", "left"), many)
-    links.add(_blockwise(left, many, rows, classes, k, percent))
+    left = fitted(left.join(links.roots().select(F.col("node").alias("cid"), F.col("root")), "cid", "left"), docs + many)
+    links.add(_blockwise(left, many, rows, docs, classes, k, percent))
     return links
 
 
@@ -455,24 +455,24 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int, many: int) -> Data
     return fitted(fitted(pairs.join(side("a"), "a"), many).join(side("b"), "b").where(_within(percent)).select("a", "b"), many)
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, docs: int, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs that are links, decided on the texts."""
     pairs = materialise(pairs, "set-pairs")
     many = pairs.count()
     if not many:
         return pairs
-    texts = _texts(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")), 2 * many, rows, classes)
+    texts = _texts(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")), 2 * many, rows, docs, classes)
     both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("body").alias("b_body")), "b")
     both = fitted(both, many, TASK_TEXTS).join(texts.select(F.col("cid").alias("a"), F.col("body").alias("a_body")), "a")
     both = fitted(both, many, TASK_TEXTS)
     return materialise(both.select("a", "b", "a_body", "b_body").mapInPandas(_linked(k, percent), "a bigint, b bigint"), "set-links")
 
 
-def _texts(sets: DataFrame, many: int, rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _texts(sets: DataFrame, many: int, rows: DataFrame, docs: int, classes: DataFrame) -> DataFrame:
     """``cid, body``: the packed text of each of up to ``many`` sets."""
-    who = fitted(sets.select("cid").distinct().join(classes.select("cid", "rep.*"), "cid"), many)
+    who = fitted(sets.select("cid").distinct().join(classes.select("cid", "rep.*"), "cid"), docs + many)
     texts = rows.alias("r").join(who.alias("i"), F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.tx") == F.col("i.tx")))
-    texts = fitted(texts.select("cid", "text"), many, TASK_TEXTS).select("cid", packed(F.col("text")).alias("body"))
+    texts = fitted(texts.select("cid", "text"), docs, TASK_TEXTS).select("cid", packed(F.col("text")).alias("body"))
     return materialise(fitted(texts.dropDuplicates(["cid"]), many, TASK_TEXTS), "set-texts")
 
 
@@ -492,14 +492,14 @@ def _open(left: DataFrame, roots: DataFrame, many: int) -> DataFrame:
     return fitted(named.join(materialise(fitted(mixed, many), "mixed-keys"), "sig", "left_semi"), many).select("sig", "cid")
 
 
-def _blockwise(left: DataFrame, many: int, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+def _blockwise(left: DataFrame, many: int, rows: DataFrame, docs: int, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Links ``a, b`` among the sets of each key, ``many`` in all, as many as join its components.
 
     Most sets have no pair that the sketches cannot rule out, so the texts are
     fetched for the others only. Keys of which the same sets are left are one.
     """
     sets = materialise(left.select("sig", "cid", F.coalesce("root", "cid").alias("root")), "open-sets")
-    met = _dealt(sets, many, F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), classes.select("cid", "n", *PARTS))
+    met = _dealt(sets, many, F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), docs, classes.select("cid", "n", *PARTS))
     near = met.mapInPandas(_block_pairs(percent, _open_sets), "sig bigint, cid bigint, root bigint, n bigint")
     near = materialise(fitted(near.distinct(), many), "block-sets")
     alike = [F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("cid")).alias("x"), F.sum(F.xxhash64("cid", F.lit(1)).cast("decimal(38,0)")).alias("s")]
@@ -509,24 +509,26 @@ def _blockwise(left: DataFrame, many: int, rows: DataFrame, classes: DataFrame,
     if not many:
         return near.select(F.col("cid").alias("a"), F.col("cid").alias("b"))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)))
-    texts = _texts(near, many, rows, classes)
-    met = _dealt(near, many, blocks, fitted(classes.select("cid", "n", *PARTS).join(texts, "cid"), many, TASK_TEXTS))
+    texts = _texts(near, many, rows, docs, classes)
+    met = _dealt(near, many, blocks, docs, fitted(classes.select("cid", "n", *PARTS).join(texts, "cid"), docs, TASK_TEXTS))
     return materialise(fitted(met.mapInPandas(_block_pairs(percent, _links_in(k, percent)), "a bigint, b bigint").distinct(), many), "set-links")
 
 
-def _dealt(sets: DataFrame, many: int, blocks, held: DataFrame) -> DataFrame:
+def _dealt(sets: DataFrame, many: int, blocks, docs: int, held: DataFrame) -> DataFrame:
     """The sets of each key, ``many`` in all, dealt into blocks, with the columns of ``held``.
 
     Every pair of blocks of a key meets in one group, ``sig, i, j``, so no task
     needs more than two blocks of a key.
     """
-    sizes = sets.groupBy("sig").agg(blocks.cast("int").alias("g"))
-    full = fitted(sets.join(sizes, "sig"), many)
+    sizes = sets.groupBy("sig").agg(blocks.cast("int").alias("g"), F.count(F.lit(1)).alias("c"))
+    sizes = materialise(fitted(sizes, many), "key-sizes")
+    many = sizes.agg(F.sum(F.col("g") * F.col("c"))).first()[0] or 0  # a set is dealt once for each block of its key
+    full = fitted(sets.join(sizes.select("sig", "g"), "sig"), many)
     full = full.withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("g")).cast("int"))
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     full = full.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "cid", "root")
     # Sketches and texts come last: only the exchange that deals the blocks carries them.
-    full = fitted(full.join(held, "cid"), many, BLOCK)
+    full = fitted(full.join(held, "cid"), docs + many, BLOCK)
     return fitted(full.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"), many, BLOCK)
 
 
