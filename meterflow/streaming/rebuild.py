@@ -43,24 +43,34 @@ def rebuild_stream(typed: DataFrame, topic_kinds: Mapping[str, str], topic: str
     ids = [T.StructField(keyed.NAMED, T.BooleanType()), *(rows.schema[c] for c in (key, topic, order))]
     held_schema = T.StructType(ids + [T.StructField(f, FIELD_TYPES[f]) for f in ALL_PAYLOAD_FIELDS])
 
+    zeros = {f: ZERO_VALUES[f] for f in ALL_PAYLOAD_FIELDS}
+    owner = {f: k for k, fields in TOPIC_FIELDS.items() for f in fields}
+    names = sorted(kinds)
+
     def fill(group_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = keyed.in_order(batches, state, [key, topic], order)
-        late, start = pdf[keyed.LATE].to_numpy(bool), pdf["start"].to_numpy()
-        kind = pdf[topic].map({t: kinds[t] for t in pdf[topic].unique()})
-        last = pdf.copy()
+        # Groups are many and a frame's operations have a fixed cost each, so the work is done on arrays.
+        new, held = list(batches), keyed.held(state)
+        rows, is_held, late, start = keyed.ordered(new, held, [key, topic], order, {topic: names})
+        kind = np.array([kinds[t] for t in names], object)[rows[topic]]
+        here = np.arange(len(start))
+        last = np.flatnonzero(~late)
+        last = last[np.append(start[last][1:] != start[last][:-1], len(last) > 0)]
+        shown, kept = {}, {}
         for f in ALL_PAYLOAD_FIELDS:
-            own = pdf[f].to_numpy(object)
-            there = pdf[f].notna().to_numpy()
+            text = isinstance(FIELD_TYPES[f], T.StringType)
+            own = keyed.column(new, held, f, object if text else np.float64)[rows[keyed.ROW]]
+            there, mine = ~pd.isna(own), kind == owner[f]
             # The last value at or before each message of its key, else zero.
-            at = np.maximum.accumulate(np.where(there & ~late, np.arange(len(pdf)), -1))
-            full = np.where(at >= start, own[np.maximum(at, 0)], ZERO_VALUES[f])
-            mine = kind.isin([k for k, fields in TOPIC_FIELDS.items() if f in fields]).to_numpy()
-            last[f] = keyed.typed(FIELD_TYPES[f], pd.Series(np.where(mine, full, ZERO_VALUES[f]), dtype=object))
-            shown = np.where(late, np.where(there, own, None), full)
-            pdf[f] = keyed.typed(FIELD_TYPES[f], pd.Series(np.where(mine, shown, None), dtype=object))
-        last = last[~late]
-        keyed.keep(state, last.iloc[keyed.last_of(last)], held_schema)
-        out = pdf[~pdf[keyed.HELD].to_numpy(bool)]
-        yield out.assign(**{key: keyed.ids(out, key), "late": out[keyed.LATE].astype(bool)})[[*columns, "late"]]
+            at = np.maximum.accumulate(np.where(there & ~late, here, -1))
+            full = np.where(at >= start, own[np.maximum(at, 0)], zeros[f])
+            kept[f] = np.where(mine, full, zeros[f])[last]
+            shown[f] = np.where(mine & (there | ~late), np.where(late, own, full), None if text else np.nan)[~is_held]
+        ids = {c: rows[c][last] for c in (keyed.NAMED, key, order)} | {topic: np.array(names, object)[rows[topic][last]]}
+        keyed.keep_columns(state, ids | kept, held_schema)
+        out = {c: rows[c][~is_held] for c in (keyed.NAMED, key, order)}
+        stamps = keyed.column(new, held, "telegramTimestamp", object)[rows[keyed.ROW]][~is_held]
+        out |= {topic: np.array(names, object)[rows[topic][~is_held]], "telegramTimestamp": stamps, **shown, "late": late[~is_held]}
+        pdf = pd.DataFrame(out)
+        yield pdf.assign(**{key: keyed.ids(pdf, key)})[[*columns, "late"]]
 
     return keyed.dealt(rows, key).applyInPandasWithState(fill, schema, keyed.STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
