@@ -1,9 +1,10 @@
+import os
 import random
 
 from pyspark.sql import functions as F
 
 from meterflow.operators.framing import frame_lines
-from meterflow.sources.captures import capture_block, capture_source
+from meterflow.sources.captures import capture_block, capture_source, write_captures
 from meterflow.session import work_dir
 
 ORDER = ["capture_file", "split_start", "pos"]
@@ -78,3 +79,36 @@ def test_a_capture_of_many_splits_equals_the_state_machine(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert df.where(F.col("line").isNull()).count() == 0
+
+
+def test_written_captures_are_files_per_meter_in_order(spark):
+    rows = [(i % 5 if i % 7 else None, i, None if i == 9 else f"/S{i}\r\nv\n!{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "meter_id long, seq long, text string").repartition(4)
+    path = work_dir(spark, "captures")
+    write_captures(df, path, "meter_id", ["seq"], "text")
+    root = path.removeprefix("file://")
+    names = {d: sorted(os.listdir(f"{root}/{d}")) for d in os.listdir(root)}
+    assert sorted(names) == ["meter_id=0", "meter_id=1", "meter_id=2", "meter_id=3", "meter_id=4", "meter_id=__HIVE_DEFAULT_PARTITION__"]
+    # No checksum files, no files of tasks that did not end.
+    assert all(n.startswith("part-") and n.endswith(".txt") for d in names.values() for n in d)
+    for d, files in names.items():
+        meter = int(d[9:]) if d[9:].isdigit() else None
+        data = b"".join(open(f"{root}/{d}/{n}", "rb").read() for n in files)
+        assert data == "".join((t or "") + "\n" for m, _, t in rows if m == meter).encode()
+    lines = capture_source(spark, path)
+    assert lines.select("meter_id").distinct().count() == 6 and lines.count() == 299 * 3 + 1
+
+
+def test_folders_are_listed_by_few_tasks(spark):
+    root = folder(spark, {f"meter_id={i}/a.txt": b"x\n" for i in range(200)})
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, group = spark.conf.get(name), "listing"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        df = capture_source(spark, root)
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages) <= 40
+    assert spark.conf.get(name) == before and df.count() == 200

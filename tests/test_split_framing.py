@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +124,35 @@ def test_parse_of_arrays_equals_parse_of_lines(spark):
     a = parse_telegrams(arrays.where(F.size("lines") > 0), keep_dst_flag=True)
     b = parse_telegram_lines(lines, ["id"], ["n"], keep_dst_flag=True)
     assert sorted(a.select(*b.columns).collect()) == sorted(b.collect())
+
+
+def test_whole_splits_of_a_batch_equal_the_walk_over_each():
+    rng = random.Random(6)
+    for _ in range(400):
+        splits = [[l.strip() for l in rng.choices(PIECES, k=rng.randrange(1, 25))] for _ in range(rng.randrange(1, 7))]
+        lines = [l for s in splits for l in s]
+        kinds = [sf.END if l.startswith("!") else sf.START if l.startswith("/") else sf.OTHER if l else sf.BLANK for l in lines]
+        rows = pa.RecordBatch.from_arrays([pa.array(range(len(lines)), pa.int64()), pa.array(kinds, pa.int8()), pa.array(lines, pa.string())], names=["pos", "__flag", "line"])
+        bounds = np.cumsum([0, *map(len, splits)])
+        got = sf._whole_splits(["pos"], rows, np.array(kinds, np.int8), bounds).to_pylist()
+        want = [(r[0] + at, *r[1:]) for s, at in zip(splits, bounds.tolist()) for r in walk(s, [], None)]
+        assert sorted(tuple(r.values()) for r in got) == sorted(want)
+
+
+def test_splits_inside_a_batch_are_not_walked_one_by_one(spark, monkeypatch):
+    rows = [(i // 10, i // 10, i, t) for i in range(1000) for t in [["!", "/A", "x", "!1", "/B", "y", "!2", "", "/C", "z"][i % 10]]]
+    df = spark.createDataFrame(rows, "meter long, split long, pos long, line string").coalesce(1).sortWithinPartitions("pos")
+    calls = []
+    plan = lambda fn, schema: calls.append(fn) or df
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, fn, schema: plan(fn, schema))
+    flagged = df.withColumn("__flag", sf._kind_of(F.col("line")))
+    sf._pass(flagged, ["meter", "split"], [], None)
+    ids, kinds = [r[0] for r in rows], [sf.END if r[3][:1] == "!" else sf.START if r[3][:1] == "/" else sf.OTHER if r[3] else sf.BLANK for r in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), pa.array(ids), pa.array(kinds, pa.int8()), pa.array([r[3] for r in rows])],
+                                       names=["meter", "split", "__split", "__flag", "line"])
+    walked = []
+    monkeypatch.setattr(sf._Walk, "open", lambda self, split, old=sf._Walk.open: (walked.append(split), old(self, split))[1])
+    out = pa.Table.from_batches(calls[0](iter([batch, batch.slice(0, 0)])))
+    assert walked == [0, 99]
+    kind = out.column("__kind").to_pylist()
+    assert kind.count(sf.TELEGRAM) == 200 and kind.count(sf.TAIL) == 100 and kind.count(sf.INSIDE) == 100
